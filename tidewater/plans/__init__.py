@@ -1 +1,8 @@
+"""Importing this package registers every named query."""
 
+from tidewater.plans import (  # noqa: F401
+    basics,
+)
+from tidewater.plans.registry import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
