@@ -2,6 +2,7 @@
 
 from tidewater.plans import (  # noqa: F401
     basics,
+    joins,
 )
 from tidewater.plans.registry import ORACLE, QUERIES
 
