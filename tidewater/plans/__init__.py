@@ -3,6 +3,7 @@
 from tidewater.plans import (  # noqa: F401
     basics,
     joins,
+    windows,
 )
 from tidewater.plans.registry import ORACLE, QUERIES
 
