@@ -104,3 +104,45 @@ def kappa(df: DataFrame, a: str, b: str) -> DataFrame:
     return agree.select("total", "same", chance.scalar().alias("products")).select(
         po.alias("observed"), F.round((po - pe) / (1 - pe), 8).alias("kappa")
     )
+
+
+def bin_shares(df: DataFrame, column: str, edges: Sequence[float], side: str) -> DataFrame:
+    """Share of rows per bin; a bin is the number of edges below the value."""
+    above = [F.when(F.col(column) > F.lit(float(e)), 1).otherwise(0) for e in edges]
+    bin_no = F.lit(0)
+    for a in above:
+        bin_no = bin_no + a
+    counts = df.where(F.col(column).isNotNull()).groupBy(bin_no.alias("bin")).agg(F.count(F.lit(1)).alias(f"{side}_n"))
+    total = counts.agg(F.sum(f"{side}_n")).scalar()
+    return counts.select("bin", f"{side}_n", (F.col(f"{side}_n") / total).alias(side))
+
+
+def drift(baseline: DataFrame, current: DataFrame, column: str, edges: Sequence[float]) -> DataFrame:
+    """PSI, KL divergence and chi-square of a feature between two frames, over fixed bins."""
+    both = bin_shares(baseline, column, edges, "expected").join(bin_shares(current, column, edges, "actual"), "bin", "full")
+    filled = both.fillna(0.0, ["expected", "actual"]).fillna(0, ["expected_n", "actual_n"])
+    n = current.where(F.col(column).isNotNull()).agg(F.count(F.lit(1))).scalar()
+    floor = F.lit(1e-6)
+    e, a = F.greatest("expected", floor), F.greatest("actual", floor)
+    return filled.agg(
+        F.round(F.sum(psi(F.col("expected"), F.col("actual"))), 8).alias("psi"),
+        F.round(F.sum(a * F.ln(a / e)), 8).alias("kl"),
+        F.round(F.sum(F.pow(F.col("actual") - F.col("expected"), 2) / e) * F.max(n), 4).alias("chi_square"),
+    ).withColumn("drifted", F.col("psi") > 0.2)
+
+
+def unbalanced(entries: DataFrame, txn: str, amount: str) -> DataFrame:
+    """Transactions whose entries do not sum to zero, in exact decimals."""
+    exact = F.sum(F.col(amount).cast("decimal(20,4)"))
+    return entries.groupBy(txn).agg(exact.alias("balance"), F.count(F.lit(1)).alias("entries")).where("balance <> 0")
+
+
+def dataset_slo(df: DataFrame, keys: Sequence[str], lag_seconds: str, limit: float) -> DataFrame:
+    """Rows, share within the limit and exact 95th percentile of a delay, per dataset."""
+    from tidewater.operators.ranking import quantiles
+
+    known = df.where(F.col(lag_seconds).isNotNull())
+    shares = known.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), (F.count_if(F.col(lag_seconds) <= limit) / F.count(F.lit(1))).alias("within")
+    )
+    return shares.join(quantiles(known, keys, lag_seconds, {"p95": 0.95}), list(keys))

@@ -2,7 +2,10 @@
 
 from tidewater.plans import (  # noqa: F401
     basics,
+    changes,
     joins,
+    quality,
+    scalars,
     windows,
 )
 from tidewater.plans.registry import ORACLE, QUERIES
