@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,47 +52,81 @@ def query_frame(df: DataFrame, queries: Queries) -> DataFrame:
     return df.sparkSession.createDataFrame([(int(k), [float(x) for x in v]) for k, v in queries.items()], _QUERY)
 
 
-def scored(df: DataFrame, item: str, vector: str, queries: Queries) -> DataFrame:
-    """Cosine of every row with every query vector; the queries travel as one constant."""
-    rows = query_frame(df, queries).collect()
-    held = df.sparkSession.createDataFrame([(rows,)], T.StructType([T.StructField("__q", T.ArrayType(_QUERY))]))
-    wide = df.select(item, vector, F.inline(held.scalar()))
-    return wide.select("query", item, F.round(cosine(F.col(vector), F.col("q")), 6).alias("score"))
+def _matrix(queries: Queries) -> tuple[np.ndarray, np.ndarray]:
+    if len(queries) > MAX_QUERIES:
+        raise ValueError(f"more than {MAX_QUERIES} query vectors")
+    return np.array(list(queries), dtype="int64"), np.array([list(v) for v in queries.values()], dtype="float64")
+
+
+def _batch_best(item: str, vector: str, queries: Queries, k: int, measure: str):
+    """For mapInPandas: the k best rows of each batch per query; every overall winner is among them."""
+    names, q = _matrix(queries)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if batch.empty:
+                continue
+            x = np.stack(batch[vector].to_numpy()).astype("float64")
+            items = batch[item].to_numpy()
+            if measure == "cosine":
+                lengths = np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(q, axis=1)[None, :]
+                values = np.round(np.divide(x @ q.T, lengths, out=np.zeros_like(lengths), where=lengths > 0), 6)
+                keys = -values
+            else:
+                values = np.round(np.sqrt(np.maximum(0, ((x[:, None, :] - q[None, :, :]) ** 2).sum(axis=2))), 6)
+                keys = values
+            for j, name in enumerate(names):
+                best = np.lexsort((items, keys[:, j]))[:k]
+                yield pd.DataFrame({"query": name, item: items[best], "score": values[best, j]})
+
+    return run
+
+
+def _best(df: DataFrame, item: str, vector: str, queries: Queries, k: int, measure: str) -> DataFrame:
+    known = df.select(item, vector).where(F.col(vector).isNotNull())
+    schema = T.StructType([T.StructField("query", T.LongType()), df.schema[item], T.StructField("score", T.DoubleType())])
+    near = known.mapInPandas(_batch_best(item, vector, queries, k, measure), schema)
+    order = F.desc("score") if measure == "cosine" else F.asc("score")
+    return top_n(near, ["query"], [order, F.asc(item)], k, rank="rank").withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def knn(df: DataFrame, item: str, vector: str, queries: Queries, k: int) -> DataFrame:
-    """The k rows nearest to each query vector; each task keeps k rows per query before the shuffle."""
-    best = top_n(scored(df, item, vector, queries), ["query"], [F.desc("score"), F.asc(item)], k, rank="rank")
-    return best.withColumn("rank", F.col("rank").cast("bigint"))
+    """The k rows nearest to each query vector by cosine.
+
+    A batch is one matrix product and passes on at most k rows per query, so the
+    shuffle carries winners only.
+    """
+    return _best(df, item, vector, queries, k, "cosine")
 
 
 def knn_l2(df: DataFrame, item: str, vector: str, queries: Queries, k: int) -> DataFrame:
-    rows = query_frame(df, queries).collect()
-    held = df.sparkSession.createDataFrame([(rows,)], T.StructType([T.StructField("__q", T.ArrayType(_QUERY))]))
-    gap = F.zip_with(F.col(vector), F.col("q"), lambda x, y: x.cast("double") - y)
-    near = df.select(item, vector, F.inline(held.scalar())).select("query", item, F.round(norm(gap), 6).alias("distance"))
-    return top_n(near, ["query"], [F.asc("distance"), F.asc(item)], k, rank="rank").withColumn("rank", F.col("rank").cast("bigint"))
+    """The same by Euclidean distance."""
+    return _best(df, item, vector, queries, k, "l2").withColumnRenamed("score", "distance")
+
+
+def _sign_codes(width: int, bands: int, bits: int, seed: int):
+    """A vectorised function from vectors to one number per band: signs against fixed directions."""
+    planes = np.random.default_rng(seed).standard_normal((bands * bits, width))
+    weights = 1 << np.arange(bits)
 
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def codes(vectors: pd.Series) -> pd.Series:
+        if vectors.empty:
+            return pd.Series([], dtype=object)
+        signs = (np.stack(vectors.to_numpy()).astype("float64") @ planes.T > 0).reshape(len(vectors), bands, bits)
+        return pd.Series(list((signs * weights).sum(axis=2).astype("int32")))
 
-def _bands(vector: Column, planes: Column, bands: int, bits: int) -> Column:
-    """Signs of the vector against fixed directions, read as one number per band of `bits` signs."""
-    signs = F.transform(planes, lambda p: F.when(dot(vector, p) > 0, 1).otherwise(0))
-    number = lambda b: F.aggregate(F.slice(signs, b * bits + 1, F.lit(bits)), F.lit(0), lambda n, x: n * 2 + x)
-    return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.struct(b.alias("band"), number(b).alias("code")))
+    return codes
 
 
 def knn_lsh(df: DataFrame, item: str, vector: str, queries: Queries, k: int, bands: int = 12, bits: int = 4, seed: int = 7) -> DataFrame:
     """Approximate neighbours: only rows that share a band with the query are scored, exactly."""
-    rng = random.Random(seed)
-    width = len(next(iter(queries.values())))
-    directions = [[rng.gauss(0, 1) for _ in range(width)] for _ in range(bands * bits)]
-    held = df.sparkSession.createDataFrame([(directions,)], "planes array<array<double>>")
-    q = query_frame(df, queries)
-    planes = F.col("__planes")
-    wanted = q.withColumn("__planes", held.scalar()).select("query", "q", F.inline(_bands(F.col("q"), planes, bands, bits)))
-    placed = df.withColumn("__planes", held.scalar()).select(item, vector, F.inline(_bands(F.col(vector), planes, bands, bits)))
+    codes = _sign_codes(len(next(iter(queries.values()))), bands, bits, seed)
+    wanted = query_frame(df, queries).select("query", "q", F.posexplode(codes("q")).alias("band", "code"))
+    placed = df.select(item, vector, codes(vector).alias("c")).select(item, vector, F.posexplode("c").alias("band", "code"))
     met = placed.join(F.broadcast(wanted), ["band", "code"])  # at most MAX_QUERIES * bands rows
-    best = met.groupBy("query", item).agg(F.max(F.round(cosine(F.col(vector), F.col("q")), 6)).alias("score"))
+    once = met.groupBy("query", item).agg(F.first(vector).alias(vector), F.first("q").alias("q"))
+    best = once.select("query", item, F.round(cosine(F.col(vector), F.col("q")), 6).alias("score"))
     return top_n(best, ["query"], [F.desc("score"), F.asc(item)], k, rank="rank").withColumn("rank", F.col("rank").cast("bigint"))
 
 
