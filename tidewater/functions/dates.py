@@ -65,3 +65,14 @@ def date_attributes(df: DataFrame, d: str) -> DataFrame:
         (F.weekday(c) >= 5).alias("is_weekend"),
         (F.last_day(c) == c).alias("is_month_end"),
     )
+
+
+def as_instant(c: Column | str) -> Column:
+    """A wall-clock timestamp as a point in time, read as UTC; streams need this for watermarks."""
+    return F.timestamp_micros(epoch_micros(c))
+
+
+def as_wall_clock(c: Column | str) -> Column:
+    """The UTC wall-clock reading of a point in time."""
+    seconds = (F.unix_micros(_c(c)) / F.lit(1_000_000).cast("decimal(20,0)")).cast("decimal(18,6)")
+    return F.expr("TIMESTAMP_NTZ'1970-01-01'") + F.make_dt_interval(secs=seconds)

@@ -6,6 +6,7 @@ from tidewater.plans import (  # noqa: F401
     joins,
     quality,
     scalars,
+    streams,
     texts,
     windows,
 )
