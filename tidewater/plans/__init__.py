@@ -3,6 +3,7 @@
 from tidewater.plans import (  # noqa: F401
     basics,
     changes,
+    files,
     joins,
     quality,
     scalars,
