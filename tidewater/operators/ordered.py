@@ -32,12 +32,14 @@ _CUTS = "__cuts"
 class Ordered:
     df: DataFrame
     keys: tuple[str, ...]
-    order: tuple[Column, ...]
+    order: tuple[str | Column, ...]
     sliced: bool = False
 
-    def window(self):
+    def window(self, reverse: bool = False):
+        """Ascending by default; backwards only when the order is given by names."""
         parts = [*self.keys, _SLICE] if self.sliced else [*self.keys]
-        return Window.partitionBy(*parts).orderBy(*self.order)
+        order = [F.desc(c) for c in self.order] if reverse else list(self.order)
+        return Window.partitionBy(*parts).orderBy(*order)
 
     def using(self, df: DataFrame) -> Ordered:
         return Ordered(df, self.keys, self.order, self.sliced)
@@ -104,7 +106,7 @@ def ordered(
 
     `along` must not decrease along `order`; it defaults to the first order column.
     """
-    cols = tuple(F.col(c) if isinstance(c, str) else c for c in order)
+    cols = tuple(order)
     if along is None:
         along = numeric(df, order[0])
     if not keys:
@@ -160,12 +162,11 @@ def running(
 ) -> Ordered:
     """Add running `sum`, `count`, `max` or `min` columns, as ROWS frames.
 
-    `exclusive` leaves the current row out; `reverse` runs from the end of the key.
+    `exclusive` leaves the current row out; `reverse` runs from the end of the key,
+    as a growing frame over the reversed order (a frame up to the end of the
+    partition would be evaluated anew for every row).
     """
-    if reverse:
-        w = o.window().rowsBetween(1 if exclusive else 0, Window.unboundedFollowing)
-    else:
-        w = o.window().rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    w = o.window(reverse).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
     local = {n: _FOLD[kind](c).over(w) for n, (kind, c) in outs.items()}
     if not o.sliced:
         return o.using(o.df.withColumns(local))

@@ -395,8 +395,8 @@ def _spend(t):
     return orders(t).groupBy("customer_id").agg(F.round(F.sum("amount"), 2).alias("total"))
 
 
-@query("total_gt_avg", f"WITH t AS ({SPEND}) SELECT * FROM t WHERE total > (SELECT sum(total) / count(*) FROM t)")
-def total_gt_avg(t):
+@query("nth_group_total_gt_avg", f"WITH t AS ({SPEND}) SELECT * FROM t WHERE total > (SELECT sum(total) / count(*) FROM t)")
+def nth_group_total_gt_avg(t):
     spend = _spend(t)
     mean = spend.agg(F.sum("total") / F.count(F.lit(1))).scalar()
     return spend.where(F.col("total") > mean)

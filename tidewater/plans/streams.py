@@ -284,3 +284,13 @@ def event_fold(t):
     e = t.events.select("event_id", "user_id", "ts", delta.alias("delta"))
     folded = running(ordered(e, ["user_id"], ["ts", "event_id"]), {"balance": ("sum", F.col("delta"))}).result()
     return folded.select("event_id", "user_id", F.round("balance", 2).alias("balance"))
+
+
+@query("stream_event_fold", "SELECT user_id, count(*) AS events, round(sum(CASE event_type WHEN 'purchase' THEN -value WHEN 'signup' THEN value ELSE 0 END), 2) AS balance FROM events GROUP BY 1")
+def stream_event_fold(t):
+    """The same state kept by a stream that sees the events file by file."""
+    kind, v = F.col("event_type"), F.col("value")
+    delta = F.when(kind == "purchase", -v).when(kind == "signup", v).otherwise(F.lit(0.0))
+    e = S.file_stream(t.spark, f"{sliced_feed(t)}/*", SCHEMAS["events"], files_per_batch=1)
+    state = e.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), F.sum(delta).alias("balance"))
+    return S.drained(state, "update", keys=["user_id"]).withColumn("balance", F.round("balance", 2))
