@@ -142,3 +142,20 @@ def test_range_frame(frame):
     for rows in by_key(sample()).values():
         for r in rows:
             assert got[r[0]] == sum(r[2] - 5 <= x[2] <= r[2] for x in rows)
+
+
+@pytest.mark.parametrize("most", [5, 50_000])
+def test_select_quantiles(spark, most):
+    import numpy as np
+
+    from tidewater.operators.ranking import select_quantiles
+
+    rng = random.Random(3)
+    values = [float(rng.randrange(0, 5000)) for _ in range(20_000)] + [77.0] * 10_000 + [None] * 10
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0]
+    got = select_quantiles(df, "v", probs, most=most)
+    clean = [v for v in values if v is not None]
+    for p in probs:
+        assert got[p] == pytest.approx(np.quantile(clean, p))
+    assert select_quantiles(df.where("v > 1e9"), "v", [0.5]) == {0.5: None}

@@ -25,3 +25,13 @@ def partition_sizes(df: DataFrame) -> DataFrame:
 def partitions_used(df: DataFrame, upper: int) -> DataFrame:
     """How many partitions hold rows, at most `upper`."""
     return partition_sizes(df).agg(F.least(F.count(F.lit(1)).cast("int"), F.lit(upper)).alias("partitions"))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share before heavy work on each row.
+
+    A small table may come as one split; it is redistributed by key.  A table
+    with more splits than cores is left alone, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -87,7 +87,8 @@ def basket_pairs(df: DataFrame, basket: str, item: str, top: int = 10, seed_item
     lines = df.select(basket, item).distinct()
     support = lines.groupBy(item).agg(F.count(F.lit(1)).alias("__n"))
     frequent = support.orderBy(F.desc("__n"), item).limit(seed_items).select(item)
-    seeds = pairs_within(lines.join(F.broadcast(frequent), item, "left_semi"), [basket], item)
+    few = lines.join(F.broadcast(frequent), item, "left_semi")  # at most seed_items rows per basket
+    seeds = few.withColumnRenamed(item, "a").join(few.withColumnRenamed(item, "b"), basket).where("a < b")
     best = seeds.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(top).collect()
     bound = best[-1]["n"] if len(best) == top else 1
     if bound > 1:

@@ -110,9 +110,14 @@ def ordered(
     if along is None:
         along = numeric(df, order[0])
     if not keys:
-        rows = df.count()
-        bits = _bits(rows, hot_rows, least=3)
-        cuts = df.agg(_cut_points(along, bits).alias("c")).first()["c"] or []
+        fine = 9
+        facts = df.agg(F.count(F.lit(1)).alias("n"), _cut_points(along, fine).alias("c")).first()
+        bits = _bits(facts["n"], hot_rows, least=3)
+        if bits > fine:
+            cuts = df.agg(_cut_points(along, bits).alias("c")).first()["c"] or []
+        else:
+            every = 1 << (fine - bits)
+            cuts = (facts["c"] or [])[every - 1 :: every]
         sliced = df.withColumn(_SLICE, _slice_of(along, F.lit(list(cuts)).cast("array<double>"), bits))
         return Ordered(sliced, (), cols, True)
     hot = hot_keys(df, keys, hot_rows)

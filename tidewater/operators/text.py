@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.text import jaccard, trigrams, words
+from tidewater.operators.control import spread
 from tidewater.operators.ordered import ordered, running
 from tidewater.operators.ranking import top_n
 
@@ -26,7 +27,7 @@ def bm25(df: DataFrame, doc: str, text: str, queries: dict[int, Sequence[str]],
     neither words nor documents are shuffled, only the best rows of each task.
     """
     terms = sorted({t for q in queries.values() for t in q})
-    tokens = df.select(doc, words(text).alias("__w")).withColumn("__len", F.size("__w"))
+    tokens = spread(df.select(doc, text), doc).select(doc, words(text).alias("__w")).withColumn("__len", F.size("__w"))
     few = tokens.select(doc, "__len", F.filter("__w", lambda w: w.isin(*terms)).alias("__w"))
     facts = few.agg(
         F.count(F.lit(1)).alias("n"), F.sum("__len").alias("total"), *[F.count_if(F.array_contains("__w", t)).alias(f"df_{i}") for i, t in enumerate(terms)]
@@ -47,7 +48,7 @@ def bm25(df: DataFrame, doc: str, text: str, queries: dict[int, Sequence[str]],
 
 def inverted_index(df: DataFrame, doc: str, text: str) -> DataFrame:
     """(term, doc, tf) rows; counted inside each document before anything is shuffled."""
-    tokens = df.select(doc, words(text).alias("__w"))
+    tokens = spread(df.select(doc, text), doc).select(doc, words(text).alias("__w"))
     return tokens.select(F.explode("__w").alias("term"), doc).groupBy("term", doc).agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -55,7 +56,7 @@ def fulltext_search(
     df: DataFrame, doc: str, text: str, must: Sequence[str], phrase: str | None = None, exclude: Sequence[str] = (), k: int = 10
 ) -> DataFrame:
     """Documents with all terms and the phrase and none of the excluded terms, best share of matches first, with a snippet."""
-    tokens = df.select(doc, text, words(text).alias("__w"))
+    tokens = spread(df.select(doc, text), doc).select(doc, text, words(text).alias("__w"))
     cond = F.lit(True)
     for t in must:
         cond = cond & F.array_contains("__w", t)
@@ -74,7 +75,7 @@ def fulltext_search(
 def chunk_fixed(df: DataFrame, doc: str, text: str, size: int = 200, overlap: int = 40) -> DataFrame:
     """Chunks of `size` words, each repeating the last `overlap` words of the one before."""
     step = size - overlap
-    tokens = df.select(doc, F.filter(F.split(text, r"\s+"), lambda w: w != "").alias("__w"))
+    tokens = spread(df.select(doc, text), doc).select(doc, F.filter(F.split(text, r"\s+"), lambda w: w != "").alias("__w"))
     n = F.size("__w")
     chunks = F.greatest(F.lit(1), F.ceil((n - overlap) / step).cast("int"))
     placed = tokens.where(n > 0).select(doc, "__w", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk_no"))
@@ -84,7 +85,7 @@ def chunk_fixed(df: DataFrame, doc: str, text: str, size: int = 200, overlap: in
 
 def chunk_sentences(df: DataFrame, doc: str, text: str, max_words: int = 120) -> DataFrame:
     """Sentences packed into chunks: a sentence goes to the chunk in whose span of words it starts."""
-    sentence = df.select(doc, F.posexplode(F.split(F.regexp_replace(text, r"([.!?])\s+", "$1\x01"), "\x01")).alias("__pos", "__s"))
+    sentence = spread(df.select(doc, text), doc).select(doc, F.posexplode(F.split(F.regexp_replace(text, r"([.!?])\s+", "$1\x01"), "\x01")).alias("__pos", "__s"))
     sized = sentence.where(F.trim("__s") != "").withColumn("__n", F.size(F.filter(F.split("__s", r"\s+"), lambda w: w != "")))
     o = running(ordered(sized, [doc], ["__pos"]), {"__before": ("sum", F.col("__n"))}, exclusive=True).result()
     chunk = F.floor(F.coalesce("__before", F.lit(0)) / max_words)
@@ -95,7 +96,8 @@ def chunk_sentences(df: DataFrame, doc: str, text: str, max_words: int = 120) ->
 
 def chunk_turns(df: DataFrame, conversation: str, turn: str, role: str, text: str) -> DataFrame:
     """Unbroken runs of one speaker, as first turn, number of turns and length."""
-    from tidewater.operators.ordered import shift
+    from tidewater.operators.control import spread
+from tidewater.operators.ordered import shift
 
     o = shift(ordered(df, [conversation], [turn]), {"__prev": F.col(role)}, [turn])
     o = o.using(o.df.withColumn("__new", (~F.col("__prev").eqNullSafe(F.col(role))).cast("bigint")))
@@ -135,11 +137,11 @@ def license_scan(df: DataFrame, doc: str, text: str) -> DataFrame:
     kind = F.lit(None).cast("string")
     for name, pattern in reversed(LICENSES.items()):
         kind = F.when(F.col(text).rlike(pattern), F.lit(name)).otherwise(kind)
-    return df.select(doc, kind.alias("license")).where("license IS NOT NULL")
+    return spread(df.select(doc, text), doc).select(doc, kind.alias("license")).where("license IS NOT NULL")
 
 
 def exact_cache(df: DataFrame, request: str, text: str) -> DataFrame:
     """Requests with the same normalised text share one answer: the first request, how many came, how many it saved."""
     key = F.sha2(F.array_join(words(text), " "), 256)
-    groups = df.groupBy(key.alias("cache_key")).agg(F.min(request).alias("first_request"), F.count(F.lit(1)).alias("requests"))
+    groups = spread(df.select(request, text), request).groupBy(key.alias("cache_key")).agg(F.min(request).alias("first_request"), F.count(F.lit(1)).alias("requests"))
     return groups.withColumn("hits", F.col("requests") - 1)

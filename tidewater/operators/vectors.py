@@ -158,16 +158,21 @@ def win_rates(pairs: DataFrame, winner: str, loser: str) -> DataFrame:
     return each.withColumn("win_rate", F.col("wins") / F.col("games"))
 
 
-def bradley_terry(pairs: DataFrame, winner: str, loser: str, rounds: int = 6) -> DataFrame:
-    """Strengths from paired comparisons by repeated aggregation over the distinct pairings."""
+def bradley_terry(pairs: DataFrame, winner: str, loser: str, rounds: int = 6, cut_every: int = 3) -> DataFrame:
+    """Strengths from paired comparisons by repeated aggregation over the distinct pairings.
+
+    A round scales with its input, so the mean is brought to 1 once at the end.
+    """
     a, b = F.least(winner, loser), F.greatest(winner, loser)
     met = cut_lineage(pairs.groupBy(a.alias("a"), b.alias("b")).agg(F.count(F.lit(1)).alias("n")))
     both = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
-    wins = cut_lineage(win_rates(pairs, winner, loser).select(F.col("player").alias("a"), "wins", "win_rate", "games"))
+    wins = cut_lineage(win_rates(pairs, winner, loser).select(F.col("player").alias("a"), "wins", "games"))
     strength = wins.select("a", F.lit(1.0).alias("s"))
-    for _ in range(rounds):
+    for i in range(rounds):
         other = strength.select(F.col("a").alias("b"), F.col("s").alias("so"))
         load = both.join(strength, "a").join(other, "b").groupBy("a").agg(F.sum(F.col("n") / (F.col("s") + F.col("so"))).alias("load"))
-        raw = wins.join(load, "a").select("a", (F.greatest(F.col("wins"), F.lit(0.5)) / F.col("load")).alias("s"))
-        strength = cut_lineage(raw.select("a", (F.col("s") / raw.agg(F.avg("s")).scalar()).alias("s")))
-    return strength.join(wins, "a").select(F.col("a").alias("player"), "games", "wins", F.round("s", 6).alias("strength"))
+        strength = wins.join(load, "a").select("a", (F.greatest(F.col("wins"), F.lit(0.5)) / F.col("load")).alias("s"))
+        if (i + 1) % cut_every == 0:
+            strength = cut_lineage(strength)
+    mean = strength.agg(F.avg("s")).scalar()
+    return strength.join(wins, "a").select(F.col("a").alias("player"), "games", "wins", F.round(F.col("s") / mean, 6).alias("strength"))

@@ -525,8 +525,10 @@ def funnel_counts(t):
 @query("word_count", """SELECT word, count(*) AS n FROM (SELECT unnest(string_split(regexp_replace(lower(text), '[^\\p{L} ]', ' ', 'g'), ' ')) AS word FROM documents) WHERE word <> '' GROUP BY 1""")
 def word_count(t):
     from tidewater.functions.text import words
+    from tidewater.operators.control import spread
 
-    return t.documents.select(F.explode(words("text")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    docs = spread(t.documents.select("doc_id", "text"), "doc_id")
+    return docs.select(F.explode(words("text")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("describe_profile", """SELECT 'o_totalprice' AS column_name, count(o_totalprice) AS n, round(sum(o_totalprice), 2) / count(o_totalprice) AS mean, round(stddev_samp(o_totalprice), 2) AS stddev, min(o_totalprice) AS min, max(o_totalprice) AS max FROM orders

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tidewater.functions.dates import day, epoch_micros, month
 from tidewater.operators import governance as G
 from tidewater.operators import quality as Q
+from tidewater.operators.control import spread
 from tidewater.operators.ordered import ordered, shift
 from tidewater.operators.ranking import quantiles
 from tidewater.operators.schemas import drift_report
@@ -181,7 +182,7 @@ def _pattern(kind):
     f"SELECT '{c}' AS column_name, '{k}' AS kind, sum(len(regexp_extract_all({c}, '{p}')))::BIGINT AS matches, count(*) FILTER (WHERE regexp_matches({c}, '{p}')) AS matching_rows FROM documents"
     for c in ("text", "source") for k, p in G.PII_PATTERNS.items()))
 def pii_detect(t):
-    return G.pii_report(t.documents, ["text", "source"])
+    return G.pii_report(spread(t.documents.select("doc_id", "text", "source"), "doc_id"), ["text", "source"])
 
 
 _REDACT = "text"
@@ -191,7 +192,8 @@ for _kind, _p in G.PII_PATTERNS.items():
 
 @query("pii_redact", f"SELECT doc_id, {_REDACT} AS text, sha256('s1' || source) AS source_token FROM documents")
 def pii_redact(t):
-    return t.documents.select("doc_id", G.redact(F.col("text")).alias("text"), G.token_of(F.col("source"), "s1").alias("source_token"))
+    docs = spread(t.documents.select("doc_id", "text", "source"), "doc_id")
+    return docs.select("doc_id", G.redact(F.col("text")).alias("text"), G.token_of(F.col("source"), "s1").alias("source_token"))
 
 
 @query("cost_showback", """WITH m AS (SELECT p_type AS tag, date_trunc('month', l_shipdate)::DATE AS month, round(sum(l_extendedprice), 2) AS spend FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),

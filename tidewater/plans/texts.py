@@ -8,6 +8,7 @@ from tidewater.functions import udfs as U
 from tidewater.functions.dates import day, month
 from tidewater.operators import text as X
 from tidewater.operators import vectors as V
+from tidewater.operators.control import spread
 from tidewater.operators.ordered import range_frame
 from tidewater.plans.registry import query
 
@@ -51,7 +52,7 @@ def chunk_turns(t):
 @query("embed_batch")
 def embed_batch(t):
     """Vectors of all documents, made in Arrow batches by a replaceable function."""
-    return U.in_batches(t.documents.select("doc_id", "text"), U.hashing_vectors, "doc_id bigint, vector array<double>")
+    return U.in_batches(spread(t.documents.select("doc_id", "text"), "doc_id"), U.hashing_vectors, "doc_id bigint, vector array<double>")
 
 
 CENTROIDS = """cen AS (SELECT label, list(m ORDER BY pos) AS q FROM (SELECT label, pos, avg(v::DOUBLE) AS m FROM (SELECT label, unnest(embedding) AS v, unnest(range(len(embedding))) AS pos FROM embeddings) GROUP BY 1, 2) GROUP BY 1)"""
@@ -199,7 +200,7 @@ def baseline_model(t):
         "line_share": (length - F.length(F.replace(text, F.lit("\n"), F.lit("")))) / (length + 1.0),
         "symbol_share": (length - F.length(F.regexp_replace(text, r"[^\p{L}\p{N}\s]", ""))) / (length + 1.0),
     }
-    joined = t.documents.select("doc_id", "text").join(t.labels, "doc_id").select("doc_id", F.col("quality").cast("double").alias("label"), *[c.alias(n) for n, c in features.items()])
+    joined = spread(t.documents.select("doc_id", "text"), "doc_id").join(t.labels, "doc_id").select("doc_id", F.col("quality").cast("double").alias("label"), *[c.alias(n) for n, c in features.items()])
     return baseline(joined, "doc_id", list(features), "label")
 
 
