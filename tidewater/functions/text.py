@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NOT_LETTERS = r"[^\p{L} ]"
+LETTER_GAPS = r"[^\p{L}]+"
 
 
 def _c(c: Column | str) -> Column:

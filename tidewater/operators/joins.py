@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.operators.ordered import HOT_ROWS, ordered, running
 from tidewater.operators.ranking import latest
 from tidewater.operators.skew import pairs_within
+from tidewater.session import cut_lineage
 
 
 def asof_join(
@@ -84,14 +85,14 @@ def basket_pairs(df: DataFrame, basket: str, item: str, top: int = 10, seed_item
     frequent items give a bound that the answer must reach; items below it are
     dropped before the full pairing, which cannot change the result.
     """
-    lines = df.select(basket, item).distinct()
+    lines = cut_lineage(df.select(basket, item).distinct())  # read three times below
     support = lines.groupBy(item).agg(F.count(F.lit(1)).alias("__n"))
     frequent = support.orderBy(F.desc("__n"), item).limit(seed_items).select(item)
     few = lines.join(F.broadcast(frequent), item, "left_semi")  # at most seed_items rows per basket
     seeds = few.withColumnRenamed(item, "a").join(few.withColumnRenamed(item, "b"), basket).where("a < b")
     best = seeds.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(top).collect()
     bound = best[-1]["n"] if len(best) == top else 1
-    if bound > 1:
+    if bound > 1 and not support.where(F.col("__n") < bound).isEmpty():
         lines = lines.join(support.where(F.col("__n") >= bound).select(item), item, "left_semi")
     pairs = pairs_within(lines, [basket], item)
     counts = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("pair_count"))

@@ -8,9 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.text import jaccard, trigrams, words
+from tidewater.functions.text import LETTER_GAPS, jaccard, trigrams, words
 from tidewater.operators.control import spread
-from tidewater.operators.ordered import ordered, running
+from tidewater.operators.ordered import ordered, running, shift
 from tidewater.operators.ranking import top_n
 
 K1, B = 1.2, 0.75  # fixed values: the usual BM25 parameters
@@ -23,14 +23,23 @@ def _count(tokens: Column, term: str) -> Column:
 def bm25(df: DataFrame, doc: str, text: str, queries: dict[int, Sequence[str]], k: int) -> DataFrame:
     """The k best documents per query with score and rank.
 
-    Document frequencies are one aggregate; scoring is then a projection, so
-    neither words nor documents are shuffled, only the best rows of each task.
+    Words are counted in place.  Document frequencies are one aggregate and scoring
+    is a projection, so neither words nor documents are shuffled, only the best
+    rows of each task.
     """
     terms = sorted({t for q in queries.values() for t in q})
-    tokens = spread(df.select(doc, text), doc).select(doc, words(text).alias("__w")).withColumn("__len", F.size("__w"))
-    few = tokens.select(doc, "__len", F.filter("__w", lambda w: w.isin(*terms)).alias("__w"))
-    facts = few.agg(
-        F.count(F.lit(1)).alias("n"), F.sum("__len").alias("total"), *[F.count_if(F.array_contains("__w", t)).alias(f"df_{i}") for i, t in enumerate(terms)]
+    if not all(t.isalpha() and t == t.lower() for t in terms):
+        raise ValueError("query terms are lower-case words")
+    # every word stands between blanks of its own, so counting " word " finds whole words only
+    spaced = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), LETTER_GAPS, "  ")), F.lit(" "))
+    plain = spread(df.select(doc, text), doc).select(doc, spaced.alias("__t"))
+    times = lambda piece: (F.length("__t") - F.length(F.replace(F.col("__t"), F.lit(piece), F.lit("")))) / len(piece)
+    tf_of = {t: F.col(f"__tf{i}") for i, t in enumerate(terms)}
+    counted = plain.select(
+        doc, (times(" ") / 2).alias("__len"), *[times(f" {t} ").alias(f"__tf{i}") for i, t in enumerate(terms)]
+    )
+    facts = counted.agg(
+        F.count(F.lit(1)).alias("n"), F.sum("__len").alias("total"), *[F.count_if(tf_of[t] > 0).alias(f"df_{i}") for i, t in enumerate(terms)]
     ).first()
     n, mean = facts["n"], (facts["total"] or 0) / max(1, facts["n"])
     idf = {t: math.log((n - facts[f"df_{i}"] + 0.5) / (facts[f"df_{i}"] + 0.5) + 1) for i, t in enumerate(terms)}
@@ -39,10 +48,9 @@ def bm25(df: DataFrame, doc: str, text: str, queries: dict[int, Sequence[str]],
     for q, wanted in queries.items():
         score = F.lit(0.0)
         for t in wanted:
-            tf = _count(F.col("__w"), t)
-            score = score + F.lit(idf[t]) * tf * (K1 + 1) / (tf + norm)
+            score = score + F.lit(idf[t]) * tf_of[t] * (K1 + 1) / (tf_of[t] + norm)
         scored.append(F.struct(F.lit(q).cast("bigint").alias("query"), F.round(score, 8).alias("score")))
-    hits = few.where(F.size("__w") > 0).select(doc, F.inline(F.array(*scored))).where("score > 0")
+    hits = counted.select(doc, F.inline(F.array(*scored))).where("score > 0")
     return top_n(hits, ["query"], [F.desc("score"), F.asc(doc)], k, rank="rank").withColumn("rank", F.col("rank").cast("bigint"))
 
 
@@ -96,9 +104,6 @@ def chunk_sentences(df: DataFrame, doc: str, text: str, max_words: int = 120) ->
 
 def chunk_turns(df: DataFrame, conversation: str, turn: str, role: str, text: str) -> DataFrame:
     """Unbroken runs of one speaker, as first turn, number of turns and length."""
-    from tidewater.operators.control import spread
-from tidewater.operators.ordered import shift
-
     o = shift(ordered(df, [conversation], [turn]), {"__prev": F.col(role)}, [turn])
     o = o.using(o.df.withColumn("__new", (~F.col("__prev").eqNullSafe(F.col(role))).cast("bigint")))
     runs = running(o, {"chunk_no": ("sum", F.col("__new"))}).result()
