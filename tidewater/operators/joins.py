@@ -85,16 +85,17 @@ def basket_pairs(df: DataFrame, basket: str, item: str, top: int = 10, seed_item
     frequent items give a bound that the answer must reach; items below it are
     dropped before the full pairing, which cannot change the result.
     """
-    lines = cut_lineage(df.select(basket, item).distinct())  # read three times below
-    support = lines.groupBy(item).agg(F.count(F.lit(1)).alias("__n"))
-    frequent = support.orderBy(F.desc("__n"), item).limit(seed_items).select(item)
-    few = lines.join(F.broadcast(frequent), item, "left_semi")  # at most seed_items rows per basket
-    seeds = few.withColumnRenamed(item, "a").join(few.withColumnRenamed(item, "b"), basket).where("a < b")
+    named = df.select(F.col(basket).alias("__basket"), F.col(item).alias("__item"))
+    lines = cut_lineage(named.where("__basket IS NOT NULL AND __item IS NOT NULL").distinct())  # read three times below
+    support = lines.groupBy("__item").agg(F.count(F.lit(1)).alias("__n"))
+    frequent = support.orderBy(F.desc("__n"), "__item").limit(seed_items).select("__item")
+    few = lines.join(F.broadcast(frequent), "__item", "left_semi")  # at most seed_items rows per basket
+    seeds = few.withColumnRenamed("__item", "a").join(few.withColumnRenamed("__item", "b"), "__basket").where("a < b")
     best = seeds.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(top).collect()
     bound = best[-1]["n"] if len(best) == top else 1
     if bound > 1 and not support.where(F.col("__n") < bound).isEmpty():
-        lines = lines.join(support.where(F.col("__n") >= bound).select(item), item, "left_semi")
-    pairs = pairs_within(lines, [basket], item)
+        lines = lines.join(support.where(F.col("__n") >= bound).select("__item"), "__item", "left_semi")
+    pairs = pairs_within(lines, ["__basket"], "__item")
     counts = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("pair_count"))
     return counts.orderBy(F.desc("pair_count"), "a", "b").limit(top)
 
