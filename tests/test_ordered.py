@@ -136,12 +136,16 @@ def test_top_n_trims_before_the_shuffle(frame):
     assert "WindowGroupLimit" in plan
 
 
-def test_range_frame(frame):
-    got = {r["id"]: r["n"] for r in range_frame(frame, ["k"], F.col("t"), 5, {"n": F.count(F.lit(1))}, bucket=20).collect()}
+@pytest.mark.parametrize("crowded", [0, 1_000_000], ids=["totals", "sliding"])
+def test_range_frame(frame, hot_rows, crowded):
+    outs = {"n": ("count", F.lit(1)), "s": ("sum", F.coalesce("v", F.lit(0)))}
+    got = {r["id"]: r for r in range_frame(frame, ["k"], F.col("t"), 5, outs, crowded=crowded, hot_rows=hot_rows).collect()}
     assert len(got) == 400
     for rows in by_key(sample()).values():
         for r in rows:
-            assert got[r[0]] == sum(r[2] - 5 <= x[2] <= r[2] for x in rows)
+            near = [x for x in rows if r[2] - 5 <= x[2] <= r[2]]
+            assert got[r[0]]["n"] == len(near)
+            assert got[r[0]]["s"] == sum(x[3] or 0 for x in near)
 
 
 @pytest.mark.parametrize("most", [5, 50_000])

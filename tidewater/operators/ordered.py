@@ -123,14 +123,19 @@ def ordered(
     hot = hot_keys(df, keys, hot_rows)
     if not hot:
         return Ordered(df, tuple(keys), cols)
-    bits = _bits(hot[0]["__n"], hot_rows, least=3)
     spark = df.sparkSession
-    key_schema = T.StructType([df.schema[k] for k in keys])
-    picked = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], _nullable(key_schema))
-    hot_rows_only = df.join(F.broadcast(picked), same(df, picked, keys), "left_semi")
-    cut_rows = hot_rows_only.groupBy(*keys).agg(_cut_points(along, bits).alias(_CUTS)).collect()
-    schema = _nullable(key_schema).add(_CUTS, T.ArrayType(T.DoubleType()))
-    cuts = spark.createDataFrame([tuple(r) for r in cut_rows], schema)
+    key_schema = _nullable(T.StructType([df.schema[k] for k in keys]))
+    sizes: dict[int, list[tuple]] = {}
+    for r in hot:
+        sizes.setdefault(_bits(r["__n"], hot_rows, least=3), []).append(tuple(r[k] for k in keys))
+    cut_rows = []  # in all about two numbers per `hot_rows` rows of the table
+    for bits, members in sizes.items():
+        picked = spark.createDataFrame(members, key_schema)
+        chosen = df.join(F.broadcast(picked), same(df, picked, keys), "left_semi")
+        cut_rows += [tuple(r) for r in chosen.groupBy(*keys).agg(_cut_points(along, bits).alias(_CUTS)).collect()]
+    bits = max(sizes)  # the search stops early in the shorter lists of smaller keys
+    schema = T.StructType([*key_schema, T.StructField(_CUTS, T.ArrayType(T.DoubleType()))])
+    cuts = spark.createDataFrame(cut_rows, schema)
     named = cuts.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], _CUTS)
     cond = F.lit(True)
     for k in keys:
@@ -185,9 +190,9 @@ def running(
         *[F.col(p).alias(f"__k_{p}") for p in parts],
         *[carry_fold.get(kind, _FOLD[kind])(f"__t_{n}").over(before).alias(f"__e_{n}") for n, (kind, _) in outs.items()],
     )
-    cond = F.lit(True)
-    for p in parts:
-        cond = cond & marked[p].eqNullSafe(carried[f"__k_{p}"])
+    cond = marked[_SLICE] == carried[f"__k_{_SLICE}"]
+    for k in o.keys:
+        cond = cond & marked[k].eqNullSafe(carried[f"__k_{k}"])
     joined = marked.join(carried, cond, "left")
     done = joined.withColumns({n: _combine(kind, F.col(f"__e_{n}"), F.col(f"__l_{n}")) for n, (kind, _) in outs.items()})
     extra = [f"__k_{p}" for p in parts] + [f"__{x}_{n}" for x in "le" for n in outs]
@@ -222,24 +227,50 @@ def shift(
     return run.using(run.df.withColumns(made).drop("__near"))
 
 
+CROWDED = 5_000  # rows of one key within a frame's reach that a sliding frame may go through per row
+
+
 def range_frame(
     df: DataFrame,
     keys: Sequence[str],
     position: Column,
     back: int,
-    outs: dict[str, Column],
-    bucket: int | None = None,
+    outs: dict[str, tuple[str, Column]],
+    crowded: int = CROWDED,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Aggregates over the rows of a key at `position - back` .. `position`.
+    """Running `sum` or `count` over the rows of a key at `position - back` .. `position`.
 
-    Rows are grouped by (key, bucket of the position) so that a busy key spreads
-    over many tasks; the last `back` of each bucket is also given to the next one.
+    Rows are grouped by (key, cell of the position), so that a busy key spreads
+    over many tasks; the last `back` of each cell is also given to the next one.
+    Where a cell is crowded, a sliding frame would go through too many rows for
+    each row, and the difference of two running totals is taken instead.
     """
-    bucket = max(bucket or 0, 60 * back)
-    at = F.floor(F.col("__pos") / bucket)
-    late = F.col("__pos") - at * bucket >= bucket - back
-    copies = F.when(late, F.array(at, at + 1)).otherwise(F.array(at))
-    spread = df.withColumn("__pos", position.cast("bigint")).withColumn("__home", at).withColumn("__cell", F.explode(copies))
+    cell = 8 * back
+    placed = df.withColumn("__pos", position.cast("bigint")).withColumn("__home", F.floor(F.col("__pos") / cell))
+    densest = placed.groupBy(*keys, "__home").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if densest > crowded:
+        return _range_by_totals(placed.drop("__home"), keys, back, outs, hot_rows).drop("__pos")
+    late = F.col("__pos") - F.col("__home") * cell >= cell - back
+    copies = F.when(late, F.array("__home", F.col("__home") + 1)).otherwise(F.array("__home"))
+    spread = placed.withColumn("__cell", F.explode(copies))
     w = Window.partitionBy(*keys, "__cell").orderBy("__pos").rangeBetween(-back, 0)
-    framed = spread.withColumns({n: c.over(w) for n, c in outs.items()})
-    return framed.where("__cell = __home").drop("__pos", "__home", "__cell")
+    framed = spread.withColumns({n: _FOLD[kind](c).over(w) for n, (kind, c) in outs.items()})
+    return framed.where("__cell <=> __home").drop("__pos", "__home", "__cell")
+
+
+def _range_by_totals(df: DataFrame, keys: Sequence[str], back: int, outs: dict[str, tuple[str, Column]], hot_rows: int) -> DataFrame:
+    """Total up to a position minus the total before `position - back`, for each distinct position."""
+    sums = df.groupBy(*keys, "__pos").agg(*[_FOLD[kind](c).alias(f"__s_{n}") for n, (kind, c) in outs.items()])
+    values = [F.coalesce(f"__s_{n}", F.lit(0)).alias(f"__s_{n}") for n in outs]
+    nothing = [F.lit(0).cast(sums.schema[f"__s_{n}"].dataType).alias(f"__s_{n}") for n in outs]
+    ends = sums.select(*keys, F.col("__pos").alias("__at"), F.lit(1).alias("__end"), F.col("__pos").alias("__of"), *values)
+    starts = sums.select(*keys, (F.col("__pos") - back).alias("__at"), F.lit(0).alias("__end"), F.col("__pos").alias("__of"), *nothing)
+    o = ordered(ends.unionByName(starts), keys, ["__at", "__end"], hot_rows=hot_rows)
+    line = running(o, {f"__t_{n}": ("sum", F.col(f"__s_{n}")) for n in outs}).result()
+    side = lambda n, end: F.max(F.when(F.col("__end") == end, F.col(f"__t_{n}")))
+    frames = line.groupBy(*[F.col(k).alias(f"__f_{k}") for k in keys], "__of").agg(*[(side(n, 1) - side(n, 0)).alias(n) for n in outs])
+    cond = F.col("__pos") == F.col("__of")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__f_{k}"))
+    return df.join(frames, cond, "left").drop("__of", *[f"__f_{k}" for k in keys])

@@ -174,7 +174,7 @@ def license_scan(t):
 def feature_table(t):
     daily = t.events.groupBy("user_id", day("ts").alias("d")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("spend"), F.max_by("event_type", F.struct("ts", "event_id")).alias("last_type"))
-    framed = range_frame(daily, ["user_id"], F.unix_date("d"), 6, {"events_7d": F.sum("n"), "s": F.sum("spend")})
+    framed = range_frame(daily, ["user_id"], F.unix_date("d"), 6, {"events_7d": ("sum", F.col("n")), "s": ("sum", F.col("spend"))})
     return framed.select("user_id", "d", "last_type", "events_7d", F.round("s", 2).alias("spend_7d"))
 
 

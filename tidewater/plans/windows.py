@@ -123,7 +123,7 @@ def win_moving_avg_rows(t):
 
 @query("win_rolling_calendar", f"SELECT order_day, round(sum(sales) OVER (ORDER BY order_day RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW), 2) AS rolling_30d FROM {DAILY}")
 def win_rolling_calendar(t):
-    framed = range_frame(daily(t), [], F.unix_date("order_day"), 29, {"s": F.sum("sales")})
+    framed = range_frame(daily(t), [], F.unix_date("order_day"), 29, {"s": ("sum", F.col("sales"))})
     return framed.select("order_day", F.round("s", 2).alias("rolling_30d"))
 
 
@@ -168,7 +168,7 @@ def price_drops(t):
 def fraud_velocity(t):
     # more than two events within the hour: the data has too few for the one-minute rule
     e = t.events.select("event_id", "user_id", "ts")
-    return range_frame(e, ["user_id"], epoch_micros("ts"), 3_600_000_000, {"recent": F.count(F.lit(1))}).where("recent > 2")
+    return range_frame(e, ["user_id"], epoch_micros("ts"), 3_600_000_000, {"recent": ("count", F.lit(1))}).where("recent > 2")
 
 
 @query("first_touch", "SELECT o_custkey AS customer_id, l_partkey AS product_id, o_orderdate::DATE AS order_date FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey, l_linenumber, l_partkey) AS rn FROM orders JOIN lineitem ON o_orderkey = l_orderkey) WHERE rn = 1")
