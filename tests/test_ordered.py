@@ -163,3 +163,12 @@ def test_select_quantiles(spark, most):
     for p in probs:
         assert got[p] == pytest.approx(np.quantile(clean, p))
     assert select_quantiles(df.where("v > 1e9"), "v", [0.5]) == {0.5: None}
+
+
+def test_running_in_the_order_of_names(spark, hot_rows):
+    rng = random.Random(11)
+    names = ["".join(rng.choice("abzäß€") for _ in range(rng.randrange(0, 9))) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(names)), "id long, s string").withColumn("k", F.lit(1)).repartition(3)
+    got = running(ordered(df, ["k"], ["s", "id"], hot_rows=hot_rows), {"n": ("count", F.lit(1))}).result()
+    want = sorted(range(200), key=lambda i: (names[i].encode(), i))
+    assert {r["id"]: r["n"] for r in got.collect()} == {i: n + 1 for n, i in enumerate(want)}

@@ -65,6 +65,9 @@ def numeric(df: DataFrame, name: str) -> Column:
         return F.unix_date(F.col(name)).cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return epoch_micros(name).cast("double")
+    if isinstance(kind, T.StringType):
+        first = F.hex(F.substring(F.encode(F.col(name), "utf-8"), 1, 6))
+        return F.conv(F.rpad(first, 12, "0"), 16, 10).cast("double")
     return F.col(name).cast("double")
 
 

@@ -86,7 +86,7 @@ def src_text_lines(t):
 def src_multi_file(t):
     root = scratch_path(t.spark, "tree")
     o = t.orders.select("o_orderkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
-    o.repartition("year", "month").write.partitionBy("year", "month").parquet(root)
+    W.write_partitioned(o, root, ["year", "month"])
     both = R.read_tree(t.spark, [f"{root}/year=1996", f"{root}/year=1999"], "o_orderkey bigint")
     year = F.regexp_extract("file", "year=([0-9]+)", 1).cast("bigint")
     return both.groupBy(year.alias("year")).agg(F.count(F.lit(1)).alias("n"))
@@ -157,7 +157,7 @@ def snk_file_size(t):
 
 @query("snk_partitioned_json", f"SELECT status, count(*) AS n, round(sum(amount), 2) AS total FROM {ORDERS} GROUP BY 1")
 def snk_partitioned_json(t):
-    path = W.write_partitioned(orders(t), scratch_path(t.spark, "json-lake"), ["status"], fmt="json", files_per_value=4)
+    path = W.write_partitioned(orders(t), scratch_path(t.spark, "json-lake"), ["status"], fmt="json")
     return by_status(t.spark.read.schema("order_id bigint, amount double, status string").json(path))
 
 

@@ -10,16 +10,14 @@ from pyspark.sql import functions as F
 from tidewater.session import scratch_path
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", rows_per_file: int = 0, files_per_value: int = 1) -> str:
-    """Overwrite `path`, one folder per partition value.
+def _by_partition(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows gathered by partition value; adaptive execution splits a large value over tasks and joins small ones."""
+    return df.hint("rebalance", *[F.col(c) for c in by])
 
-    Rows are gathered by partition value, spread over `files_per_value` tasks so
-    that a large value is not written by a single one.
-    """
-    spread = [F.col(c) for c in by]
-    if files_per_value > 1:
-        spread.append(F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value)))
-    writer = df.repartition(*spread).write.mode("overwrite").partitionBy(*by)
+
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", rows_per_file: int = 0) -> str:
+    """Overwrite `path`, one folder per partition value, few files in each."""
+    writer = _by_partition(df, by).write.mode("overwrite").partitionBy(*by)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.format(fmt).save(path)
@@ -28,7 +26,7 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "p
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> str:
     """Replace only the partitions that occur in `df`; the others stay."""
-    df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    _by_partition(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
     return path
 
 
