@@ -8,7 +8,7 @@ from math import ceil, floor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.ordered import HOT_ROWS, hot_keys, numeric, ordered, running, same
+from tidewater.operators.ordered import HOT_ROWS, hot_keys, numeric, ordered, running
 
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:

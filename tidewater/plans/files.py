@@ -6,9 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidewater.functions.dates import day, month
 from tidewater.operators.control import plan_text
-from tidewater.plans.bindings import CUSTOMERS, ORDERS, customers, orders
+from tidewater.plans.bindings import ORDERS, orders
 from tidewater.plans.registry import query
 from tidewater.session import scratch_path
 from tidewater.sources import readers as R

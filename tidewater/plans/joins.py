@@ -9,7 +9,7 @@ from tidewater.operators import joins as J
 from tidewater.operators.ranking import quantiles, top_n
 from tidewater.operators.skew import bounded_cross, lookup_join, pairs_within, salted_join, split_hot_join
 from tidewater.plans.bindings import (
-    CUSTOMERS, EMPLOYEES, ITEMS, ORDERS, PRODUCTS, SUBSCRIPTIONS, customers, employees, items, orders, products, subscriptions,
+    CUSTOMERS, EMPLOYEES, ORDERS, SUBSCRIPTIONS, employees, orders, products, subscriptions,
 )
 from tidewater.plans.registry import query
 

@@ -13,7 +13,7 @@ from tidewater.operators.control import spread
 from tidewater.operators.ordered import ordered, shift
 from tidewater.operators.ranking import quantiles
 from tidewater.operators.schemas import drift_report
-from tidewater.plans.bindings import CUSTOMERS, EMPLOYEES, ORDERS, customers, employees, orders
+from tidewater.plans.bindings import CUSTOMERS, EMPLOYEES, customers, employees
 from tidewater.plans.registry import query
 from tidewater.session import scratch_path
 

@@ -11,9 +11,8 @@ from tidewater.functions import strings as S
 from tidewater.functions import udfs as U
 from tidewater.functions.text import jaccard, trigrams
 from tidewater.operators.quality import row_hash
-from tidewater.operators.ranking import top_n
 from tidewater.operators.skew import skew_report as hot_report
-from tidewater.plans.bindings import CUSTOMERS, ITEMS, ORDERS, PRODUCT_REVENUE, customers, items, orders, product_revenue
+from tidewater.plans.bindings import CUSTOMERS, ORDERS, PRODUCT_REVENUE, customers, orders, product_revenue
 from tidewater.plans.registry import query
 from tidewater.session import cut_lineage
 

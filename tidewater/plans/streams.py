@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.dates import as_wall_clock, day
 from tidewater.operators import merge as M
 from tidewater.operators.ordered import ordered, running
-from tidewater.plans.bindings import CHANGE_TARGET, CHANGES, changes, change_target
+from tidewater.plans.bindings import CHANGE_TARGET, change_target
 from tidewater.plans.changes import LAST_CHANGE
 from tidewater.plans.registry import query
 from tidewater.plans.windows import SESSIONS

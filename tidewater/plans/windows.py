@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.dates import day, days_between, epoch_micros, month
+from tidewater.functions.dates import day, days_between, epoch_micros
 from tidewater.operators import patterns as P
 from tidewater.operators import sketches as S
 from tidewater.operators.ordered import ordered, range_frame, running, shift
