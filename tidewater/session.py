@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 def local_session(app: str = "tidewater", cpus: int | None = None, partitions: int = 8) -> SparkSession:
     """A session for tests and the benchmark; on a cluster the caller brings its own."""
     cpus = cpus or os.cpu_count() or 4
-    return (
+    session = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -22,6 +25,27 @@ def local_session(app: str = "tidewater", cpus: int | None = None, partitions: i
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
+    ship_package(session)
+    return session
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once for each application, wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+        for path in sorted(root.rglob("*.py")):
+            archive.write(path, path.relative_to(root.parent))
+    target = Path(tempfile.mkdtemp(prefix="tidewater-")) / "tidewater.zip"  # Spark copies it to every executor
+    target.write_bytes(held.getvalue())
+    sc.addPyFile(str(target))
+    _shipped.add(sc.applicationId)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewater.session import ship_package
+
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -29,6 +31,7 @@ class Tables:
     """`Tables(spark, dir).orders` reads `dir/orders.parquet` with its declared schema."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        ship_package(spark)
         self.spark = spark
         self.dir = sf_dir
 
