@@ -75,7 +75,7 @@ def with_suffix_sums(histogram: DataFrame) -> DataFrame:
 
 def at_limits(table: DataFrame, limits: Sequence[int]) -> DataFrame:
     """One row per context limit from the suffix sums: documents cut, tokens kept and lost."""
-    asked = table.withColumn("context", F.explode(F.array(*[F.lit(int(n)) for n in limits])).cast("bigint"))
+    asked = table.withColumn("context", F.explode(F.array(*[F.lit(int(n)) for n in limits]).cast("array<bigint>")))
     first = F.min_by(F.struct("docs_at_least", "tokens_at_least"), F.when(F.col("n_tokens") > F.col("context"), F.col("n_tokens")))
     totals = asked.groupBy("context").agg(first.alias("over"), F.max("docs_total").alias("docs_total"), F.max("tokens_total").alias("tokens_total"))
     over = F.coalesce(F.col("over.docs_at_least"), F.lit(0))
