@@ -7,13 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import packing, token_counts, token_files
+from tidewater.llm import decontaminate, fertility, packing, token_counts, token_files
 from tidewater.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Plain: every window as a string between blanks, looked up in every document.
+ORACLE_5 = r"""WITH dw AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+  iw AS (SELECT item_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+  win AS (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS s FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM iw WHERE len(w) > 0)),
+  sizes AS (SELECT DISTINCT n FROM win),
+  dwin AS (SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS s FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, sizes WHERE len(w) >= n)),
+  hit AS (SELECT DISTINCT r, i, dwin.n, item_id FROM dwin JOIN win USING (n, s)),
+  pos AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r),
+  its AS (SELECT r, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ks FROM (SELECT DISTINCT r, item_id::VARCHAR AS k FROM hit) GROUP BY r)
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ks, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+  FROM dw LEFT JOIN pos USING (r) LEFT JOIN its USING (r)"""
+
+
 def query(name: str, sql: str | None = None):
     """Register `fn(tables) -> DataFrame`."""
 
@@ -41,3 +54,14 @@ def op8_token_files(t):
 @query("op10_packing")
 def op10_packing(t):
     return packing.packed_documents(t.documents)
+
+
+@query("op9_fertility")
+def op9_fertility(t):
+    return fertility.judged(t.documents)
+
+
+@query("op5_decontamination", ORACLE_5)
+def op5_decontamination(t):
+    found = decontaminate.contamination(t.documents, t.benchmark)
+    return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
