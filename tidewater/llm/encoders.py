@@ -13,8 +13,8 @@ import pyarrow as pa
 
 from tidewater.llm.words import VISIBLE, hashes, spans, text_buffer
 
-MOST_STRETCHES = 2_000_000  # remembered by a worker
-MOST_IDS = 16_000_000
+MOST_STRETCHES = 1_200_000  # remembered by a worker
+MOST_IDS = 8_000_000
 
 _BLANK = ~VISIBLE
 #: Bytes that surely begin something else than white space: ASCII, or a lead byte of no white space beyond ASCII.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, fertility, packing, token_counts, token_files
+from tidewater.llm import decontaminate, fertility, jaccard_join, packing, token_counts, token_files
 from tidewater.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,8 @@ def op9_fertility(t):
 def op5_decontamination(t):
     found = decontaminate.contamination(t.documents, t.benchmark)
     return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
+
+
+@query("op7_jaccard_join")
+def op7_jaccard_join(t):
+    return jaccard_join.jaccard_components(t.documents)
