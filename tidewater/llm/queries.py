@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, fertility, jaccard_join, language_model, packing, token_counts, token_files
+from tidewater.llm import decontaminate, fertility, jaccard_join, language_model, line_dedup, packing, token_counts, token_files
 from tidewater.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,8 @@ def op6_language_model(t):
     docs = t.documents
     lm = language_model.fit(docs.where(~language_model.held_out("doc_id")))
     return language_model.scored(docs, lm).withColumn("held_out", language_model.held_out("doc_id"))
+
+
+@query("op2_line_dedup")
+def op2_line_dedup(t):
+    return line_dedup.line_classes(t.documents).drop("version")
