@@ -1,27 +1,86 @@
-"""The corpus pipeline: stages over documents, each on what its predecessor kept."""
+"""The corpus pipeline: quality rules, line dedup, near duplicates, benchmark decontamination, packing.
+
+Every stage works on all that its predecessor kept and returns the columns of its
+input; the last one returns packed pieces.  Where a verdict is about a row, rows
+are told apart by a hash of doc_id and text, so null and repeated ids are judged
+by their own text.  An empty table passes through all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import packing
+from tidewater.llm import decontaminate, fertility, jaccard_join, line_dedup, packing
 from tidewater.llm.storage import staged
 from tidewater.sources.tables import Tables
 
+IDS_TO_SEND = 2_000_000  # 16 MB of row hashes or ids
+
+_KEY = "__row"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(_KEY, F.xxhash64("doc_id", "text"))
+
+
+def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not in `gone`; that is sent to all tasks only when it is known to be small."""
+    gone = staged(gone.distinct(), "gone")
+    return docs.join(F.broadcast(gone) if gone.count() <= IDS_TO_SEND else gone, key, "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    keyed = _keyed(docs)
+    verdicts = fertility.judged(keyed, doc_id=_KEY)
+    return _without(keyed, verdicts.where(~F.col("kept")).select(F.col("doc_id").alias(_KEY)), _KEY).select(*docs.columns)
+
+
+def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that an earlier document has; those left without words go."""
+    return line_dedup.without_repeated_lines(docs)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, with the smallest doc_id, of every group of near duplicates; repeated rows of an id become one.
+
+    Documents without doc_id belong to no group and stay.
+    """
+    found = jaccard_join.jaccard_components(docs)
+    kept = _without(docs, found.where("doc_id <> component_id").select("doc_id"), "doc_id")
+    again = staged(docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").select("doc_id"), "repeated")
+    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(again, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    keyed = _keyed(docs)
+    found = decontaminate.contamination(keyed, Tables(spark, sf_dir).benchmark, doc_id=_KEY)
+    return _without(keyed, found.where("contaminated").select(F.col("doc_id").alias(_KEY)), _KEY).select(*docs.columns)
+
 
-def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Windows of 2048 tokens over what is left."""
     return packing.packed_documents(docs)
 
 
-STAGES = [("packing", pack_documents)]
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", fresh_lines),
+    ("n-gram Jaccard join", distinct_documents),
+    ("benchmark decontamination", decontaminated),
+    ("packing", packed),
+]
 
-#: The last stage's rows depend on tokenizers, which SQL cannot express; the stages are tested against brute force.
+#: Tokens cannot be made in SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each written and read again by the next."""
     docs = Tables(spark, sf_dir).documents
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -31,9 +31,10 @@ from tidewater.llm.storage import staged
 SHINGLE = 8
 SIMILARITY = 0.8
 BANDS, ROWS = 8, 4
-HEAD = 48
+HEAD = 32
 LEAST = 24
 IDS_TO_SEND = 2_000_000  # 16 MB of line hashes
+PAIRS_A_TASK = 2_000  # whose shingles a task counts at once
 
 _CLASS = 1 << 27  # values of one class of shingles
 
@@ -85,11 +86,6 @@ def candidate_pairs(sketched: DataFrame) -> DataFrame:
     return named.distinct()
 
 
-def _shingle_set(line: Column) -> Column:
-    raw = line.cast("binary")
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.octet_length(line) - (SHINGLE - 1)), lambda at: F.xxhash64(_shingle(raw, at))))
-
-
 def similar_lines(lines: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs whose exact Jaccard similarity reaches the threshold."""
     ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("line_hash")).distinct(), "candidates")
@@ -98,12 +94,15 @@ def similar_lines(lines: DataFrame, pairs: DataFrame, similarity: float = SIMILA
     texts = staged(wanted.groupBy("line_hash").agg(F.first("line").alias("line")), "lines")
     left = texts.select(F.col("line_hash").alias("a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("line_hash").alias("b"), F.col("line").alias("line_b"))
-    met = pairs.join(left, "a").join(right, "b")
-    sets = met.select("a", "b", _shingle_set(F.col("line_a")).alias("x"), _shingle_set(F.col("line_b")).alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    # sizes far apart cannot be similar; the intersection is not made for them
-    close = F.least(F.size("x"), F.size("y")) >= similarity * F.greatest(F.size("x"), F.size("y"))
-    return sets.where(close & F.when(close, shared >= similarity * (F.size("x") + F.size("y") - shared))).select("a", "b")
+    parts = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs.count() // PAIRS_A_TASK))
+    met = pairs.join(left, "a").join(right, "b").repartition(parts, "b")
+    sides = F.array(F.struct(F.lit(1).alias("side"), F.col("line_a").alias("line")), F.struct(F.lit(2).alias("side"), F.col("line_b").alias("line")))
+    spread = met.select("a", "b", F.explode(sides).alias("s")).select("a", "b", "s.side", F.col("s.line").cast("binary").alias("raw"))
+    spread = spread.select("a", "b", "side", "raw", F.explode(F.sequence(F.lit(1), F.octet_length("raw") - (SHINGLE - 1))).alias("at"))
+    # all rows of a pair are in one partition already: neither grouping shuffles
+    shingles = spread.select("a", "b", "side", F.xxhash64(_shingle(F.col("raw"), F.col("at"))).alias("h")).groupBy("a", "b", "h").agg(F.bit_or("side").alias("sides"))
+    counts = shingles.groupBy("a", "b").agg(F.count_if(F.col("sides") == 3).alias("shared"), F.count(F.lit(1)).alias("either"))
+    return counts.where(F.col("shared") >= similarity * F.col("either")).select("a", "b")
 
 
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
