@@ -19,6 +19,8 @@ rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,17 +48,18 @@ def climbed(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     plain = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("total"))
     known = plain.select(F.col("tree").alias("r_tree"), F.col("node").alias("r_node")).distinct()
     start = _met(plain, known, "parent", "left").select("tree", "node", F.col("r_node").alias("jump"), "total", F.lit(1).cast("bigint").alias("size"))
-    state, jumps, open_before = staged(start, "jumps"), [], -1
+    state, jumps, finished, open_before = staged(start, "jumps"), [], [], -1
     while True:
-        unfinished = state.where("jump is not null").count()
+        going = state.where("jump is not null")
+        unfinished = going.count()
+        finished.append(state.where("jump is null"))
         if unfinished in (0, open_before):  # what is left never ends: replies in a circle
-            return state.where("jump is null").select("tree", "node", "total", "size"), jumps
+            return reduce(DataFrame.unionByName, finished).select("tree", "node", "total", "size"), jumps
         open_before = unfinished
-        jumps.append(state.where("jump is not null").select("tree", "node", "jump"))
-        above = state.select(F.col("tree").alias("r_tree"), F.col("node").alias("r_node"), F.col("jump").alias("r_jump"), F.col("total").alias("r_total"), F.col("size").alias("r_size"))
-        higher = _met(state, above, "jump", "left").select(
-            "tree", "node", F.col("r_jump").alias("jump"), (F.col("total") + F.coalesce("r_total", F.lit(0.0))).alias("total"), (F.col("size") + F.coalesce("r_size", F.lit(0))).alias("size")
-        )
+        jumps.append(going.select("tree", "node", "jump"))
+        known = reduce(DataFrame.unionByName, [*finished[:-1], state])
+        above = known.select(F.col("tree").alias("r_tree"), F.col("node").alias("r_node"), F.col("jump").alias("r_jump"), F.col("total").alias("r_total"), F.col("size").alias("r_size"))
+        higher = _met(going, above, "jump", "inner").select("tree", "node", F.col("r_jump").alias("jump"), (F.col("total") + F.col("r_total")).alias("total"), (F.col("size") + F.col("r_size")).alias("size"))
         state = staged(higher, "jumps")
 
 
