@@ -7,8 +7,8 @@ are rejected: symbols, capitals and noise break words into many short tokens,
 repeated text has a low entropy for its length.
 
 The bands come from the whole table: for each language (or script, where the
-language is null) and size class the quartiles of each measure, widened by FENCE
-times their distance.  Documents below LEAST_TOKENS tokens are too short to
+language is null) the quartiles of each measure, widened by FENCE times their
+distance; entropy is compared inside classes of sizes.  Documents below LEAST_TOKENS tokens are too short to
 measure and pass, as do groups of fewer than LEAST_DOCS such documents.
 
 A null or empty text has no words: it fails the base rules.  Repeated rows are
@@ -34,6 +34,7 @@ FENCE = 3.0
 FALLBACK = "piece_bpe_32k.model"  # a vocabulary with byte fallback
 SECOND = "byte_bpe_50k.json"
 MEASURES = ("chars_per_token", "chars_per_token_2", "byte_share", "entropy")
+BY_SIZE = ("entropy",)  # grows with the text, so it is compared among texts of a size
 
 SYMBOLS = np.array([chr(b) in "#*$%&|<>" for b in range(256)])
 _LEAD = np.array([b & 0xC0 != 0x80 for b in range(256)])
@@ -131,31 +132,33 @@ def _size_class() -> Column:
     return F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int")
 
 
-def bands(table: DataFrame, fence: float = FENCE, least_tokens: int = LEAST_TOKENS, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """`kind, size_class`, and the accepted range of each measure: one row per group."""
-    judged = table.where(F.col("n_tokens") >= least_tokens).withColumn("size_class", _size_class())
-    quartiles = {m: F.percentile_approx(m, [0.25, 0.75], 1000) for m in MEASURES}
-    found = judged.groupBy("kind", "size_class").agg(F.count(F.lit(1)).alias("n"), *[q.alias(m) for m, q in quartiles.items()])
-    #: The least width of a band: measures hardly vary in some groups.
-    floor = {"chars_per_token": 0.1, "chars_per_token_2": 0.1, "byte_share": 0.02, "entropy": 0.2}
-    wide = lambda m: fence * F.greatest(F.col(m)[1] - F.col(m)[0], F.lit(floor[m]))
-    return found.where(F.col("n") >= least_docs).select(
-        F.col("kind").alias("band_kind"),
-        F.col("size_class").alias("band_size"),
-        *[(F.col(m)[0] - wide(m)).alias(f"low_{m}") for m in MEASURES],
-        *[(F.col(m)[1] + wide(m)).alias(f"high_{m}") for m in MEASURES],
-    )
+#: The least distance of quartiles: measures hardly vary in some groups.
+_NARROWEST = {"chars_per_token": 0.1, "chars_per_token_2": 0.1, "byte_share": 0.02, "entropy": 0.2}
+
+
+def bands(table: DataFrame, by: list[str], measures: list[str], fence: float = FENCE, least_tokens: int = LEAST_TOKENS, least_docs: int = LEAST_DOCS) -> DataFrame:
+    """The accepted range of each measure in each group: `band_<group column>`, `low_<measure>`, `high_<measure>`."""
+    long_enough = table.where(F.col("n_tokens") >= least_tokens)
+    found = long_enough.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(m, [0.25, 0.75], 1000).alias(m) for m in measures])
+    wide = {m: fence * F.greatest(F.col(m)[1] - F.col(m)[0], F.lit(_NARROWEST[m])) for m in measures}
+    ranges = [c for m in measures for c in ((F.col(m)[0] - wide[m]).alias(f"low_{m}"), (F.col(m)[1] + wide[m]).alias(f"high_{m}"))]
+    return found.where(F.col("n") >= least_docs).select(*[F.col(c).alias(f"band_{c}") for c in by], *ranges)
 
 
 def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", fence: float = FENCE, least_tokens: int = LEAST_TOKENS, least_docs: int = LEAST_DOCS, **vocabularies: str) -> DataFrame:
     """Counts, measures, `base_failed`, the `reasons` and `kept` of every document."""
-    table = staged(measured(docs, doc_id, text, lang, **vocabularies), "fertility")
-    limits = bands(table, fence, least_tokens, least_docs)
+    table = staged(measured(docs, doc_id, text, lang, **vocabularies).withColumn("size_class", _size_class()), "fertility")
+    limits = (fence, least_tokens, least_docs)
+    any_size = bands(table, ["kind"], [m for m in MEASURES if m not in BY_SIZE], *limits)
+    by_size = bands(table, ["kind", "size_class"], list(BY_SIZE), *limits).withColumnRenamed("band_kind", "band_kind_2")
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    at = F.col("kind").eqNullSafe(F.col("band_kind")) & (_size_class() == F.col("band_size")) & (F.col("n_tokens") >= least_tokens)
+    long_enough = F.col("n_tokens") >= least_tokens
+    at = F.col("kind").eqNullSafe(F.col("band_kind")) & long_enough
+    at_size = F.col("kind").eqNullSafe(F.col("band_kind_2")) & (F.col("size_class") == F.col("band_size_class")) & long_enough
     outside = [F.when((F.col(m) < F.col(f"low_{m}")) | (F.col(m) > F.col(f"high_{m}")), F.lit(m)) for m in MEASURES]
     return (
-        table.join(limits, at, "left")
+        table.join(any_size, at, "left")
+        .join(by_size, at_size, "left")
         .withColumns({"base_failed": base_failed, "reasons": F.array_compact(F.array(*outside))})
         .withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0))
         .select("doc_id", *COUNTS, "base_failed", "kept", "n_tokens", *MEASURES, "reasons")
