@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from odd_rows import documents, none, odd  # noqa: F401
 from tidewater.llm import chat, fertility, language_model, url_filter
 from tidewater.llm.queries import URL_RULES
 from tidewater.llm.storage import staged

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import pytest
 
+from odd_rows import documents, none, odd  # noqa: F401
 from tidewater.llm import decontaminate, graphs, jaccard_join, line_dedup
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

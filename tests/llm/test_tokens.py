@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from odd_rows import documents, none, odd  # noqa: F401
 from tidewater.llm import encoders, packing, token_counts, token_files
 
 

@@ -143,7 +143,7 @@ def places(docs: DataFrame, doc_id: str, text: str, sizes: list[int], wanted: Fi
         for batch in slices(batches, "text"):
             w = words(batch.column("text"), LETTERS, LOWER)
             begin = bounds(w.doc, batch.num_rows)
-            tokens, at = [], []
+            tokens, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for size in sizes:
                 t, first = _runs(w, size)
                 hit = wanted.found(t)
