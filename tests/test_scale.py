@@ -202,3 +202,61 @@ def test_no_query_collects_or_crosses(spark, sf_dir):
     for name in ("join_asof", "join_interval_overlap", "join_cross", "basket_pairs", "knn_exact", "window_funnel"):
         text = plan(spark, sf_dir, name)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+# ---- the plain and the split path give the same rows ----
+
+def test_ranks_do_not_depend_on_the_limit(spark):
+    import math
+
+    from tidewater.operators.ranking import numbered, ranked
+
+    values = [None, float("nan"), math.inf, -math.inf, 0.0, 1.5, 1.5, -2.0] + [float(i % 37) for i in range(150)] + [None] * 40
+    df = spark.createDataFrame([(i, i % 2, v) for i, v in enumerate(values)], "id int, k int, v double")
+    kinds = {"r": "rank", "d": "dense_rank", "p": "percent_rank", "c": "cume_dist"}
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    for down in (True, False):
+        want = None
+        for limit in (7, 10**9):
+            got = {r.id: tuple(r) for r in ranked(df, ["k"], "v", kinds, down, hot_rows=limit).select("id", *kinds).collect()}
+            assert want is None or want == got
+            want = got
+        order = F.desc("v") if down else F.asc("v")
+        plain = {r.id: (r.r, r.n) for r in df.select("id", F.rank().over(Window.orderBy(order)).alias("r"), F.row_number().over(Window.orderBy(order, "id")).alias("n")).collect()}
+        for limit in (7, 10**9):
+            ranks = {r.id: r.r for r in ranked(df, [], "v", {"r": "rank"}, down, hot_rows=limit).collect()}
+            places = {r.id: r.n for r in numbered(df, "v", "id", "n", down, hot_rows=limit).collect()}
+            assert {i: (ranks[i], places[i]) for i in plain} == plain
+
+
+def test_crowded_frame_of_nulls_has_no_sum(spark):
+    from pyspark.sql import functions as F
+
+    from tidewater.operators.ordered import range_frame
+
+    df = spark.createDataFrame([(i, 1, i, None if i < 30 else float(i)) for i in range(80)], "id int, k int, at int, v double")
+    frames = [{r.id: (r.s, r.n) for r in range_frame(df, ["k"], F.col("at"), 5, {"s": ("sum", F.col("v")), "n": ("count", F.col("v"))}, crowded=c, hot_rows=20).collect()} for c in (1, 10**6)]
+    assert frames[0] == frames[1] and frames[0][10] == (None, 0)
+
+
+# ---- no row gets lost ----
+
+def test_rows_with_nulls_stay(spark):
+    from pyspark.sql import functions as F
+
+    from tidewater.operators import joins, merge
+
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    changes = spark.createDataFrame([(1, "c", None, 1), (3, "d", None, 1)], "id int, v string, op string, seq int")
+    assert sorted(map(tuple, merge.cdc_merge(target, changes, "id", "op", ["seq"]).collect())) == [(1, "c"), (2, "b"), (3, "d")]
+    assert sorted(map(tuple, merge.merge_upsert(target, changes, "id", "op", ["seq"]).collect())) == [(1, "a"), (2, "b")]
+    assert merge.latest_state(changes, "id", "op", ["seq"]).count() == 2
+    dated = spark.createDataFrame([("x", None, 1.0), ("x", "2024-01-01", 2.0)], "k string, d string, v double").withColumn("d", F.to_date("d"))
+    assert merge.retention(dated, "d", F.lit("2023-01-01").cast("date"), ["k"], "v").count() == 2
+    spans = spark.createDataFrame([(1, 1, "2024-01-01", None), (1, 2, "2024-03-01", "2024-03-05"), (1, 3, "2023-01-01", "2023-02-01")], "k int, i int, s string, e string")
+    spans = spans.withColumns({"s": F.to_date("s"), "e": F.to_date("e")})
+    assert [tuple(r) for r in joins.overlapping(spans, ["k"], "i", "s", "e").collect()] == [(1, 1, 2)]
+    signed = spark.createDataFrame([("k", 1, 1, "old"), ("k", 2, 1, "new"), ("k", 2, -1, "cancel")], "key string, ver int, sign int, v string")
+    assert [tuple(r) for r in merge.collapse_sign(signed, ["key"], "sign", ["ver"], ["v"]).collect()] == [("k", "old")]

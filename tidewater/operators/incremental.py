@@ -14,11 +14,12 @@ from tidewater.operators.quality import row_hash
 
 
 @dataclass(frozen=True)
-class SourceConfig:
-    name: str
-    load_type: str  # full or incremental
-    primary_key: str
-    watermark_column: str | None = None
+class Feed:
+    """How a table is loaded: whole, or what is newer than a mark in the column `since`, in the order of that column and the keys."""
+
+    table: str
+    keys: tuple[str, ...]
+    since: str | None = None
 
 
 def newer_than(df: DataFrame, column: str, watermark: Column) -> DataFrame:
@@ -31,16 +32,13 @@ def next_watermark(df: DataFrame, column: str, watermark: Column) -> DataFrame:
     return df.where(F.col(column) > watermark).agg(F.coalesce(F.max(column), watermark).alias("watermark"), F.count(F.lit(1)).alias("loaded"))
 
 
-def ingest(df: DataFrame, config: SourceConfig, watermark: Column | None = None) -> DataFrame:
-    """Load a source as configured; an incremental one comes in watermark order."""
-    if config.load_type == "full":
-        return df
-    if config.load_type != "incremental":
-        raise ValueError(f"unknown load type {config.load_type}")
-    if config.watermark_column is None:
+def ingest(df: DataFrame, feed: Feed, mark: Column | None = None) -> DataFrame:
+    """The rows of a feed that are due; without a mark, all of them."""
+    if feed.since is None:
         return df
-    rows = df if watermark is None else newer_than(df, config.watermark_column, watermark)
-    return rows.repartitionByRange(config.watermark_column, config.primary_key).sortWithinPartitions(config.watermark_column, config.primary_key)
+    due = df if mark is None else newer_than(df, feed.since, mark)
+    order = [feed.since, *feed.keys]
+    return due.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def unseen(batch: DataFrame, columns: Sequence[str], processed: DataFrame, hash_column: str = "record_hash") -> DataFrame:

@@ -63,9 +63,12 @@ def overlapping(df: DataFrame, keys: Sequence[str], item: str, start: str, end:
     Of two overlapping intervals the later one starts inside the earlier one.  So
     each interval is laid over cells of about the mean length, and meets only the
     starts that fall into its cells: copies stay below two per interval, and pairs
-    that do not overlap are compared only near the borders of a cell.
+    that do not overlap are compared only near the borders of a cell.  An interval
+    without an end is open: it reaches as far as the last start.
     """
     days = df.select(*keys, F.col(item).alias("__id"), F.unix_date(start).alias("__s"), F.unix_date(end).alias("__e"))
+    last = days.agg(F.max("__s").alias("m")).first()["m"]
+    days = days.withColumn("__e", F.coalesce("__e", F.greatest(F.col("__s"), F.lit(last))))
     days = days.where("__s <= __e")
     mean = days.agg(F.avg(F.col("__e") - F.col("__s") + 1).alias("m")).first()["m"]
     width = max(1, int(-(-(mean or 1) // 1)))

@@ -29,11 +29,11 @@ def _paired(target: DataFrame, source: DataFrame, key: str, cols: Sequence[str],
 
 
 def cdc_merge(target: DataFrame, changes: DataFrame, key: str, op: str, order: Sequence[str]) -> DataFrame:
-    """Latest change per key: DELETE removes the row, anything else inserts or replaces it."""
+    """Latest change per key: DELETE removes the row, anything else (null too) inserts or replaces it."""
     cols = [c for c in target.columns if c != key]
     last = latest(changes.select(key, *cols, op, *order), [key], order)
     both = _paired(target, last, key, cols, [op])
-    kept = both.where(F.col("s").isNull() | (F.col(f"s.{op}") != "DELETE"))
+    kept = both.where(F.col("s").isNull() | ~F.col(f"s.{op}").eqNullSafe("DELETE"))
     return kept.select(key, *[F.when(F.col("s").isNull(), F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in cols])
 
 
@@ -42,12 +42,12 @@ def merge_upsert(target: DataFrame, changes: DataFrame, key: str, op: str, order
     cols = [c for c in target.columns if c != key]
     last = latest(changes.select(key, *cols, op, *order), [key], order)
     both = _paired(target, last, key, cols, [op])
-    matched, does = F.col("t").isNotNull() & F.col("s").isNotNull(), F.col(f"s.{op}")
+    matched, does = F.col("t").isNotNull() & F.col("s").isNotNull(), F.coalesce(F.col(f"s.{op}"), F.lit(""))
     gone = matched & (does == "DELETE")
     absent = F.col("t").isNull() & (does != "INSERT")
     use_s = (matched & (does == "UPDATE")) | F.col("t").isNull()
-    kept = both.where(~F.coalesce(gone | absent, F.lit(False)))
-    pick = F.coalesce(use_s, F.lit(False))
+    kept = both.where(F.col("s").isNull() | ~(gone | absent))
+    pick = F.col("s").isNotNull() & use_s
     return kept.select(key, *[F.when(pick, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols])
 
 
@@ -66,7 +66,7 @@ def insert_on_conflict(target: DataFrame, source: DataFrame, key: str) -> DataFr
 
 def latest_state(changes: DataFrame, key: str, op: str, order: Sequence[str]) -> DataFrame:
     """The newest row per key, without the keys whose last change is a delete."""
-    return latest(changes, [key], order).where(F.col(op) != "DELETE")
+    return latest(changes, [key], order).where(~F.col(op).eqNullSafe("DELETE"))
 
 
 ENVELOPE = "op string, before struct<id bigint, name string, city_code double>, after struct<id bigint, name string, city_code double>"
@@ -109,16 +109,22 @@ def delete_duplicates(df: DataFrame, group: Column, keep: str) -> DataFrame:
 
 
 def retention(df: DataFrame, date: str, cutoff: Column, keys: Sequence[str], value: str) -> DataFrame:
-    """Rows from the cutoff on stay; older rows are rolled up per key and month."""
-    fresh = df.where(F.col(date) >= cutoff).select(*keys, F.col(date).alias("period"), F.lit("detail").alias("grain"), F.lit(1).cast("bigint").alias("n"), F.round(value, 2).alias(value))
+    """Rows from the cutoff on stay, and rows without a date; older rows are rolled up per key and month."""
+    fresh = df.where(F.col(date).isNull() | (F.col(date) >= cutoff)).select(*keys, F.col(date).alias("period"), F.lit("detail").alias("grain"), F.lit(1).cast("bigint").alias("n"), F.round(value, 2).alias(value))
     old = df.where(F.col(date) < cutoff).groupBy(*keys, F.trunc(date, "month").alias("period"))
     return fresh.unionByName(old.agg(F.lit("month").alias("grain"), F.count(F.lit(1)).alias("n"), F.round(F.sum(value), 2).alias(value)))
 
 
 def collapse_sign(df: DataFrame, keys: Sequence[str], sign: str, version: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Rows with signs +1/-1: keys whose signs sum above zero, with the values of their newest version."""
-    state = F.max(F.struct(*[F.col(v).alias(f"__v{i}") for i, v in enumerate(version)], *values)).alias("__s")
-    alive = df.groupBy(*keys).agg(F.sum(sign).alias("__sign"), state).where("__sign > 0")
+    """Rows with signs +1/-1: keys whose signs sum above zero, with the values of their newest version.
+
+    A cancel row takes away a state row of the same version; only a state row that
+    is left can give the values.
+    """
+    held = F.max(F.when(F.col(sign) > 0, F.struct(*values))).alias("__held")
+    versions = df.groupBy(*keys, *version).agg(F.sum(sign).alias("__net"), held)
+    state = F.struct(*[F.col(v).alias(f"__v{i}") for i, v in enumerate(version)], *[F.col("__held")[v].alias(v) for v in values])
+    alive = versions.groupBy(*keys).agg(F.sum("__net").alias("__sign"), F.max(F.when(F.col("__net") > 0, state)).alias("__s")).where("__sign > 0")
     return alive.select(*keys, *[F.col("__s")[v].alias(v) for v in values])
 
 
@@ -135,7 +141,7 @@ def scd2_apply(
     if order:
         incoming = latest(incoming, [key], order)
     cols = [c for c in dim.columns if c not in (key, "valid_from", "valid_to", "is_current")]
-    history = dim.where(~F.col("is_current"))
+    history = dim.where(~F.coalesce("is_current", F.lit(False)))  # a row that does not say so is not current
     current = dim.where("is_current").select(key, F.struct("*").alias("d"))
     fresh = incoming.select(key, F.struct(*cols).alias("i"))
     both = current.join(fresh, key, "full")

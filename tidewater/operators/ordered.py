@@ -71,6 +71,11 @@ def numeric(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
+def falling(along: Column) -> Column:
+    """A double that grows along the descending order: NaN comes first there, null last."""
+    return F.when(along.isNull(), F.lit(float("inf"))).when(F.isnan(along), F.lit(float("-inf"))).otherwise(-along)
+
+
 def _bits(rows: int, hot_rows: int, least: int) -> int:
     return min(MAX_SLICE_BITS, max(least, ceil(log2(max(1.0, rows / hot_rows))) + 1))
 
@@ -264,6 +269,8 @@ def range_frame(
 
 def _range_by_totals(df: DataFrame, keys: Sequence[str], back: int, outs: dict[str, tuple[str, Column]], hot_rows: int) -> DataFrame:
     """Total up to a position minus the total before `position - back`, for each distinct position."""
+    filled = {f"{n}__filled": ("count", c) for n, (kind, c) in outs.items() if kind == "sum"}  # a frame of nulls has no sum
+    asked, outs = outs, {**outs, **filled}
     sums = df.groupBy(*keys, "__pos").agg(*[_FOLD[kind](c).alias(f"__s_{n}") for n, (kind, c) in outs.items()])
     values = [F.coalesce(f"__s_{n}", F.lit(0)).alias(f"__s_{n}") for n in outs]
     nothing = [F.lit(0).cast(sums.schema[f"__s_{n}"].dataType).alias(f"__s_{n}") for n in outs]
@@ -273,6 +280,7 @@ def _range_by_totals(df: DataFrame, keys: Sequence[str], back: int, outs: dict[s
     line = running(o, {f"__t_{n}": ("sum", F.col(f"__s_{n}")) for n in outs}).result()
     side = lambda n, end: F.max(F.when(F.col("__end") == end, F.col(f"__t_{n}")))
     frames = line.groupBy(*[F.col(k).alias(f"__f_{k}") for k in keys], "__of").agg(*[(side(n, 1) - side(n, 0)).alias(n) for n in outs])
+    frames = frames.withColumns({n: F.when(F.col(f"{n}__filled") > 0, F.col(n)) for n, (kind, _) in asked.items() if kind == "sum"}).drop(*filled)
     cond = F.col("__pos") == F.col("__of")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"__f_{k}"))

@@ -8,7 +8,7 @@ from math import ceil, floor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.ordered import HOT_ROWS, hot_keys, numeric, ordered, running
+from tidewater.operators.ordered import HOT_ROWS, falling, hot_keys, numeric, ordered, running
 
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:
@@ -68,7 +68,7 @@ def ranked(
         return df.withColumns({n: fn[k]().over(w).cast("bigint" if k in long else "double") for n, k in outs.items()})
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     along = numeric(df, value)
-    o = ordered(counts, keys, [order], along=-along if descending else along, hot_rows=hot_rows)
+    o = ordered(counts, keys, [order], along=falling(along) if descending else along, hot_rows=hot_rows)
     cum = running(o, {"__cum": ("sum", F.col("__n")), "__dense": ("count", F.lit(1))}).result()
     totals = counts.groupBy(*keys).agg(F.sum("__n").alias("__total"))
     if keys:
@@ -109,7 +109,7 @@ def numbered(
     the place among the ties, which are cut into slices of their own.
     """
     if not hot_keys(df, [value], hot_rows):
-        along = -numeric(df, value) if descending else numeric(df, value)
+        along = falling(numeric(df, value)) if descending else numeric(df, value)
         o = ordered(df, [], [F.desc(value) if descending else F.asc(value), F.asc(tiebreak)], along=along, hot_rows=hot_rows)
         return running(o, {out: ("count", F.lit(1))}).result()
     base = ranked(df, [], value, {"__rank": "rank"}, descending, hot_rows)

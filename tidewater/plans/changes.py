@@ -260,7 +260,8 @@ def retention_ttl(t):
     return M.retention(orders(t), "order_date", cutoff, ["status"], "amount")
 
 
-@query("collapse_sign", """SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS value FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN -1 ELSE 1 END AS sign FROM events) GROUP BY 1, 2 HAVING sum(sign) > 0""")
+@query("collapse_sign", """WITH s AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN -1 ELSE 1 END AS sign FROM events), alive AS (SELECT user_id, event_type FROM s GROUP BY 1, 2 HAVING sum(sign) > 0),
+  r AS (SELECT s.*, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM s JOIN alive USING (user_id, event_type) WHERE sign = 1) SELECT user_id, event_type, value FROM r WHERE n = 1""")
 def collapse_sign(t):
     signed = t.events.withColumn("sign", F.when(F.col("event_id") % 3 == 0, -1).otherwise(1))
     return M.collapse_sign(signed, ["user_id", "event_type"], "sign", ["ts", "event_id"], ["value"])
@@ -286,14 +287,14 @@ def next_watermark(t):
   UNION ALL SELECT 'orders', count(*), max(o_orderkey) FROM orders WHERE o_orderdate > TIMESTAMP '2001-01-01 00:00:00' UNION ALL SELECT 'customer', count(*), max(c_custkey) FROM customer""")
 def metadata_ingest(t):
     sources = [
-        (I.SourceConfig("events", "incremental", "event_id", "ts"), ntz("2024-01-15")),
-        (I.SourceConfig("orders", "incremental", "o_orderkey", "o_orderdate"), ntz("2001-01-01")),
-        (I.SourceConfig("customer", "full", "c_custkey"), None),
+        (I.Feed("events", ("event_id",), since="ts"), ntz("2024-01-15")),
+        (I.Feed("orders", ("o_orderkey",), since="o_orderdate"), ntz("2001-01-01")),
+        (I.Feed("customer", ("c_custkey",)), None),
     ]
     out = None
-    for config, mark in sources:
-        loaded = I.ingest(getattr(t, config.name), config, mark)
-        line = loaded.agg(F.lit(config.name).alias("source"), F.count(F.lit(1)).alias("n"), F.max(config.primary_key).alias("last_key"))
+    for feed, mark in sources:
+        loaded = I.ingest(getattr(t, feed.table), feed, mark)
+        line = loaded.agg(F.lit(feed.table).alias("source"), F.count(F.lit(1)).alias("n"), F.max(feed.keys[0]).alias("last_key"))
         out = line if out is None else out.unionByName(line)
     return out
 

@@ -13,14 +13,8 @@ from tidewater.plans.bindings import (
 )
 from tidewater.plans.registry import query
 
-Q1 = "(SELECT * FROM orders WHERE o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '1996-04-01')"
-
-
-def first_quarter(t):
-    d = F.col("o_orderdate")
-    return t.orders.where((d >= F.expr("TIMESTAMP_NTZ'1996-01-01'")) & (d < F.expr("TIMESTAMP_NTZ'1996-04-01'"))).select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_totalprice").alias("amount")
-    )
+def placed(t):
+    return t.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_totalprice").alias("amount"))
 
 
 def names(t):
@@ -32,23 +26,22 @@ def join_inner(t):
     return names(t).join(orders(t), "customer_id").select("customer_id", "customer_name", "order_id", "amount")
 
 
-@query("join_left", f"SELECT c_custkey AS customer_id, c_name AS customer_name, o_orderkey AS order_id FROM customer LEFT JOIN {Q1} ON c_custkey = o_custkey")
+@query("join_left", f"SELECT c_custkey AS customer_id, c_name AS customer_name, o_orderkey AS order_id FROM customer LEFT JOIN orders ON c_custkey = o_custkey")
 def join_left(t):
-    return names(t).join(first_quarter(t), "customer_id", "left").select("customer_id", "customer_name", "order_id")
+    return names(t).join(placed(t), "customer_id", "left").select("customer_id", "customer_name", "order_id")
 
 
-@query("join_right", "SELECT c_name AS customer_name, o_orderkey AS order_id FROM (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') RIGHT JOIN orders ON c_custkey = o_custkey")
+@query("join_right", "SELECT c_name AS customer_name, o_orderkey AS order_id FROM customer RIGHT JOIN orders ON c_custkey = o_custkey")
 def join_right(t):
-    building = t.customer.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"))
-    return building.join(orders(t), "customer_id", "right").select("customer_name", "order_id")
+    return names(t).join(orders(t), "customer_id", "right").select("customer_name", "order_id")
 
 
-@query("join_full", f"""WITH a AS (SELECT o_custkey AS customer_id, count(*) AS q1_orders FROM {Q1} GROUP BY 1),
-  b AS (SELECT c_custkey AS customer_id, c_acctbal AS balance FROM customer WHERE c_acctbal < 0) SELECT customer_id, q1_orders, balance FROM a FULL JOIN b USING (customer_id)""")
+@query("join_full", f"""WITH a AS (SELECT o_custkey AS customer_id, count(*) AS n_orders FROM orders GROUP BY 1),
+  b AS (SELECT c_custkey AS customer_id, c_acctbal AS balance FROM customer) SELECT customer_id, n_orders, balance FROM a FULL JOIN b USING (customer_id)""")
 def join_full(t):
     # a full join cannot split a busy key, so each side brings one row per key
-    a = first_quarter(t).groupBy("customer_id").agg(F.count(F.lit(1)).alias("q1_orders"))
-    b = t.customer.where("c_acctbal < 0").select(F.col("c_custkey").alias("customer_id"), F.col("c_acctbal").alias("balance"))
+    a = placed(t).groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_orders"))
+    b = t.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_acctbal").alias("balance"))
     return a.join(b, "customer_id", "full")
 
 
@@ -75,21 +68,21 @@ def pairs_same_manager(t):
     return pairs_within(employees(t), ["manager_id"], "employee_id")
 
 
-@query("join_semi", f"SELECT c_custkey AS customer_id, c_name AS customer_name FROM customer WHERE EXISTS (SELECT 1 FROM {Q1} WHERE o_custkey = c_custkey)")
+@query("join_semi", f"SELECT c_custkey AS customer_id, c_name AS customer_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
 def join_semi(t):
-    return names(t).join(first_quarter(t), "customer_id", "left_semi")
+    return names(t).join(placed(t), "customer_id", "left_semi")
 
 
-@query("exists", f"SELECT c_custkey AS customer_id FROM customer WHERE EXISTS (SELECT 1 FROM {Q1} WHERE o_custkey = c_custkey AND o_totalprice > 200000)")
+@query("exists", f"SELECT c_custkey AS customer_id FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
 def exists(t):
-    large = first_quarter(t).alias("o")
-    found = large.where((F.col("o.customer_id") == F.col("c_custkey").outer()) & (F.col("o.amount") > 200000))
+    large = placed(t).alias("o")
+    found = large.where(F.col("o.customer_id") == F.col("c_custkey").outer())
     return t.customer.where(found.exists()).select(F.col("c_custkey").alias("customer_id"))
 
 
-@query("join_anti", f"SELECT c_custkey AS customer_id, c_name AS customer_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM {Q1} WHERE o_custkey = c_custkey)")
+@query("join_anti", "SELECT doc_id, lang FROM documents WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)")
 def join_anti(t):
-    return names(t).join(first_quarter(t), "customer_id", "left_anti")
+    return t.documents.select("doc_id", "lang").join(t.labels, "doc_id", "left_anti")
 
 
 @query("not_exists", f"SELECT n_nationkey::BIGINT AS department_id, n_name FROM nation WHERE NOT EXISTS (SELECT 1 FROM {EMPLOYEES} e WHERE e.department_id = n_nationkey AND salary > 9950)")
@@ -99,11 +92,10 @@ def not_exists(t):
     return t.nation.where(~found.exists()).select(F.col("n_nationkey").cast("bigint").alias("department_id"), "n_name")
 
 
-@query("anti_left_join_null", "SELECT p_partkey AS product_id, p_name AS product_name FROM part LEFT JOIN (SELECT * FROM lineitem WHERE l_shipdate >= DATE '2001-01-01') ON p_partkey = l_partkey WHERE l_partkey IS NULL")
+@query("anti_left_join_null", "SELECT vec_id, label FROM embeddings LEFT JOIN labels ON vec_id = doc_id WHERE doc_id IS NULL")
 def anti_left_join_null(t):
     # the outer join with a null test, written as the anti join that it is
-    sold = t.lineitem.where(F.col("l_shipdate") >= F.expr("TIMESTAMP_NTZ'2001-01-01'")).select(F.col("l_partkey").alias("product_id"))
-    return products(t).select("product_id", "product_name").join(sold, "product_id", "left_anti")
+    return t.embeddings.select("vec_id", "label").join(t.labels.select(F.col("doc_id").alias("vec_id")), "vec_id", "left_anti")
 
 
 @query("not_in_null_aware", f"""SELECT 'with_null' AS listed, count(*) AS n FROM {EMPLOYEES} WHERE employee_id NOT IN (SELECT manager_id FROM {EMPLOYEES})
@@ -249,9 +241,9 @@ def bridge_weighted(t):
     return share.groupBy("l_suppkey").agg(F.sum("c").alias("lines"), F.round(F.sum(F.col("c") * F.col("o_totalprice") * (F.lit(1.0) / F.col("n"))), 2).alias("allocated"))
 
 
-@query("join_bloom_prefilter", f"SELECT l_partkey, round(sum(l_extendedprice), 2) AS revenue FROM lineitem JOIN {Q1} ON l_orderkey = o_orderkey GROUP BY 1")
+@query("join_bloom_prefilter", f"SELECT l_partkey, round(sum(l_extendedprice), 2) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")
 def join_bloom_prefilter(t):
     # the key set goes first as a semi join; on large inputs Spark adds its own Bloom filter to the scan
-    wanted = first_quarter(t).select(F.col("order_id").alias("l_orderkey"))
+    wanted = placed(t).select(F.col("order_id").alias("l_orderkey"))
     kept = t.lineitem.select("l_orderkey", "l_partkey", "l_extendedprice").join(wanted, "l_orderkey", "left_semi")
     return kept.groupBy("l_partkey").agg(F.round(F.sum("l_extendedprice"), 2).alias("revenue"))
