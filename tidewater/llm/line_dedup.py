@@ -65,15 +65,18 @@ def signatures(lines: DataFrame) -> DataFrame:
     looked = h.where((F.col("h").bitwiseAND(7) == 0) | (F.col("at") <= HEAD))
     rank = F.shiftleft(F.col("h").bitwiseAND(7), 27)
     rest = F.shiftrightunsigned(F.col("h"), 5)
-    split = looked.select("line_hash", rank.alias("rank"), rest.alias("rest"))
+    place = looked.select("line_hash", rank.bitwiseOR(rest).alias("place"))
     # constants spread evenly over the 27 bits, each at its own place of the shingles' order
     step = _CLASS // (BANDS * ROWS)
-    values = [F.min(F.col("rank").bitwiseOR(F.col("rest").bitwiseXOR(F.lit(k * step + (k * 2_654_435) % step)))) for k in range(BANDS * ROWS)]
-    return split.groupBy("line_hash").agg(*[v.alias(f"m{k}") for k, v in enumerate(values)])
+    values = [F.min(F.col("place").bitwiseXOR(F.lit(k * step + (k * 2_654_435) % step))) for k in range(BANDS * ROWS)]
+    return place.groupBy("line_hash").agg(*[v.alias(f"m{k}") for k, v in enumerate(values)])
 
 
 def candidate_pairs(sketched: DataFrame) -> DataFrame:
-    """`a, b`: pairs of distinct lines to verify, at most two per line and band."""
+    """`a, b`: pairs of distinct lines to verify, at most two per line and band.
+
+    The signatures are read once: both uses of the dealt bands share one exchange.
+    """
     keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b + BANDS * r}") for r in range(ROWS)]) for b in range(BANDS)]
     bands = F.array(*[F.struct(k.alias("key"), keys[(b + 1) % BANDS].alias("next")) for b, k in enumerate(keys)])
     banded = sketched.select("line_hash", F.explode(bands).alias("band")).select("line_hash", "band.key", "band.next").repartition("key")
@@ -112,7 +115,7 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     the component's lines.
     """
     lines = _line_rows(docs, doc_id, text)
-    pairs = staged(candidate_pairs(staged(signatures(lines), "signatures")), "pairs")
+    pairs = staged(candidate_pairs(signatures(lines)), "pairs")
     roots = components(staged(similar_lines(lines, pairs, similarity), "links"))
     named = lines.select("doc_id", "version", "line_no", F.xxhash64("line").alias("line_hash"))
     placed = named.join(roots, named["line_hash"] == roots["node"], "left")
