@@ -6,6 +6,7 @@ from compare import compare, oracle_connection
 import __spark_entry__ as entry
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+LARGER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def con(sf_dir):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, con, sf_dir):
     problem = compare(spark, con, sf_dir, QUERIES[name], ORACLE.get(name))
+    if problem == "both empty" and sf_dir != LARGER:  # too few rows here; it must give some on larger tables
+        problem = compare(spark, oracle_connection(LARGER), LARGER, QUERIES[name], ORACLE.get(name))
     assert problem is None, problem
 
 
