@@ -34,7 +34,7 @@ BANDS, ROWS = 8, 4
 HEAD = 32
 LEAST = 24
 IDS_TO_SEND = 2_000_000  # 16 MB of line hashes
-PAIRS_A_TASK = 2_000  # whose shingles a task counts at once
+PAIRS_A_TASK = 2_000  # verified by a task
 
 _CLASS = 1 << 27  # values of one class of shingles
 
@@ -50,6 +50,12 @@ def _shingle(raw: Column, at: Column) -> Column:
     return F.substring(raw, at, F.lit(SHINGLE))
 
 
+def _shingle_hashes(line: Column) -> Column:
+    """Hashes of all shingles of a line; the list of one element hands its bytes on once, not for every place."""
+    places = lambda raw: F.sequence(F.lit(1), F.octet_length(raw) - (SHINGLE - 1))
+    return F.flatten(F.transform(F.array(line.cast("binary")), lambda raw: F.transform(places(raw), lambda at: F.xxhash64(_shingle(raw, at)))))
+
+
 def signatures(lines: DataFrame) -> DataFrame:
     """`line_hash` and BANDS * ROWS MinHash values of every distinct line.
 
@@ -99,13 +105,11 @@ def similar_lines(lines: DataFrame, pairs: DataFrame, similarity: float = SIMILA
     right = texts.select(F.col("line_hash").alias("b"), F.col("line").alias("line_b"))
     parts = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs.count() // PAIRS_A_TASK))
     met = pairs.join(left, "a").join(right, "b").repartition(parts, "b")
-    sides = F.array(F.struct(F.lit(1).alias("side"), F.col("line_a").alias("line")), F.struct(F.lit(2).alias("side"), F.col("line_b").alias("line")))
-    spread = met.select("a", "b", F.explode(sides).alias("s")).select("a", "b", "s.side", F.col("s.line").cast("binary").alias("raw"))
-    spread = spread.select("a", "b", "side", "raw", F.explode(F.sequence(F.lit(1), F.octet_length("raw") - (SHINGLE - 1))).alias("at"))
-    # all rows of a pair are in one partition already: neither grouping shuffles
-    shingles = spread.select("a", "b", "side", F.xxhash64(_shingle(F.col("raw"), F.col("at"))).alias("h")).groupBy("a", "b", "h").agg(F.bit_or("side").alias("sides"))
-    counts = shingles.groupBy("a", "b").agg(F.count_if(F.col("sides") == 3).alias("shared"), F.count(F.lit(1)).alias("either"))
-    return counts.where(F.col("shared") >= similarity * F.col("either")).select("a", "b")
+    both = F.struct(_shingle_hashes(F.col("line_a")).alias("left"), _shingle_hashes(F.col("line_b")).alias("right"))
+    # behind a generator both lists are made once, and the test stays behind the exchange that spreads the pairs
+    listed = met.select("a", "b", F.explode(F.array(both)).alias("s"))
+    shared, either = F.size(F.array_intersect("s.left", "s.right")), F.size(F.array_union("s.left", "s.right"))
+    return listed.where(shared >= similarity * either).select("a", "b")
 
 
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
