@@ -23,7 +23,7 @@ from tidewater.operators.ranking import latest, nth_highest, top_n
 from tidewater.operators.schemas import drift_report, schema_compat, schema_drift
 from tidewater.operators.steps import run_steps
 from tidewater.sources import readers as R
-from tidewater.sources.paginated import last_page
+from tidewater.sources.paginated import PagedReader
 from pyspark.sql import types as T
 
 
@@ -163,12 +163,24 @@ def test_lineage(spark):
     assert rows(everything, "source", "distance") == [("gold.sales", 3), ("raw.orders", 2), ("silver.orders", 1)]
 
 
-def test_hierarchy_ignores_cycles_and_refuses_depth(spark):
+def test_hierarchy_ignores_cycles_no_root_reaches(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, 1, "b"), (3, 2, "c"), (8, 9, "x"), (9, 8, "y")], "id int, parent int, name string")
     assert rows(P.hierarchy(df, "id", "parent", "name"), "node", "level", "path") == [(1, 1, "a"), (2, 2, "a > b"), (3, 3, "a > b > c")]
     assert rows(P.total_reports(df, "id", "parent", "name")) == [(1, 2), (2, 1), (3, 0)]
+    looped = df.unionByName(spark.createDataFrame([(1, 3, "a")], df.schema))  # node 1 again, below its own descendant
     with pytest.raises(ValueError):
-        P.hierarchy(df, "id", "parent", "name", max_depth=2)
+        P.hierarchy(looped, "id", "parent", "name")
+
+
+def test_gaps_of_each_key(spark):
+    df = spark.createDataFrame([("a", "2024-01-01"), ("a", "2024-01-04"), ("a", "2024-01-04"), ("b", "2024-01-02"), (None, "2024-02-01"), (None, "2024-02-03"), ("c", None)], "k string, at string").select("k", F.to_date("at").alias("at"))
+    days = lambda *names: lambda r: tuple(str(r[n]) for n in names)
+    gaps = sorted(map(days("k", "previous_day", "order_day", "gap_days"), P.day_gaps(df, "at", ["k"]).collect()))
+    assert gaps == [("None", "2024-02-01", "2024-02-03", "2"), ("a", "2024-01-01", "2024-01-04", "3")]
+    missing = sorted(map(days("k", "d"), P.missing_dates(df, "at", ["k"]).collect()))
+    assert missing == [("None", "2024-02-02"), ("a", "2024-01-02"), ("a", "2024-01-03")]
+    ranges = sorted(map(days("k", "range_start", "range_end", "days"), I.backfill_ranges(df, "at", df, "at", ["k"]).collect()))
+    assert ranges == [("None", "2024-02-02", "2024-02-02", "1"), ("a", "2024-01-02", "2024-01-03", "2")]
 
 
 def test_delete_duplicates_keeps_rows_without_a_key(spark):
@@ -197,9 +209,13 @@ def test_readers(spark, tmp_path):
     assert options["dbtable"] == "(SELECT 1) q" and options["numPartitions"] == "4"
 
 
-@pytest.mark.parametrize("pages", [0, 1, 2, 3, 7, 8, 9, 100])
-def test_last_page(pages):
-    assert last_page(lambda n: [{}] if n <= pages else []) == pages
+@pytest.mark.parametrize("pages", [[], [1], [2, 5], [1, 2, 3, 40, 41, 100]])
+def test_pages_with_holes(tmp_path, pages):
+    for n in [*pages, 7]:  # page 7 has no rows
+        (tmp_path / f"page={n}").mkdir()
+        (tmp_path / f"page={n}" / "rows.json").write_text("" if n == 7 else f'{{"n": {n}}}\n')
+    reader = PagedReader(f"file://{tmp_path}", 2, ["n"])
+    assert [row for part in reader.partitions() for row in reader.read(part)] == [(n,) for n in pages]
 
 
 def test_variant_is_stable(spark):

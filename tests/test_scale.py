@@ -170,7 +170,7 @@ def plan(spark, sf_dir, name):
     return plan_text(QUERIES[name](spark, sf_dir))
 
 
-@pytest.mark.parametrize("name", ["filter_date_from", "filter_between", "join_semi"])
+@pytest.mark.parametrize("name", ["filter_date_from", "filter_between"])
 def test_date_filters_reach_the_scan(spark, sf_dir, name):
     text = plan(spark, sf_dir, name)
     assert "GreaterThanOrEqual(o_orderdate" in text

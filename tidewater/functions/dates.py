@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,10 +48,19 @@ def date_span(spark: SparkSession, first, last, name: str = "d") -> DataFrame:
     return spark.range(1).select(F.explode(days).alias(name))
 
 
-def calendar_of(df: DataFrame, c: str, name: str = "d") -> DataFrame:
-    """One row per day between the smallest and the largest day of column `c`."""
-    bounds = df.agg(F.min(day(c)).alias("lo"), F.max(day(c)).alias("hi")).where("lo is not null")
-    return bounds.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias(name))
+def calendar_of(df: DataFrame, c: str, name: str = "d", keys: Sequence[str] = ()) -> DataFrame:
+    """One row per day between the smallest and the largest day of column `c`, for each key."""
+    bounds = df.groupBy(*keys).agg(F.min(day(c)).alias("lo"), F.max(day(c)).alias("hi")).where("lo is not null")
+    return bounds.select(*keys, F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias(name))
+
+
+def days_without(df: DataFrame, c: str, present: DataFrame, present_day: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The days of `calendar_of` on which `present` has no row of the key; a null key is a key."""
+    held = present.select(*[F.col(k).alias(f"__p_{k}") for k in keys], day(present_day).alias("__p_d")).distinct()
+    cond = F.col("d") == F.col("__p_d")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__p_{k}"))
+    return calendar_of(df, c, keys=keys).join(held, cond, "left_anti")
 
 
 def date_attributes(df: DataFrame, d: str) -> DataFrame:

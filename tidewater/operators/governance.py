@@ -56,15 +56,13 @@ def upstream(edges: DataFrame, target: str) -> DataFrame:
     return edges.where(F.col("target") == target).select("source").distinct()
 
 
-def upstream_all(edges: DataFrame, source: str = "source", target: str = "target", max_depth: int = 100) -> DataFrame:
+def upstream_all(edges: DataFrame, source: str = "source", target: str = "target") -> DataFrame:
     """All sources of every dataset, with the shortest distance; cycles do not loop."""
     direct = cut_lineage(edges.select(F.col(source).alias("source"), F.col(target).alias("target")).distinct())
     seen = direct.withColumn("distance", F.lit(1).cast("bigint"))
     frontier = seen
     depth = 1
     while not frontier.isEmpty():
-        if depth > max_depth:
-            raise ValueError(f"lineage deeper than {max_depth}")
         depth += 1
         step = frontier.select(F.col("source").alias("mid"), "target").join(
             direct.select("source", F.col("target").alias("mid")), "mid"

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.dates import calendar_of, day, days_between, epoch_micros
+from tidewater.functions.dates import day, days_between, days_without, epoch_micros
 from tidewater.operators.ordered import HOT_ROWS, ordered, running, shift
 from tidewater.session import cut_lineage
 
@@ -41,18 +41,17 @@ def streaks(df: DataFrame, user: str, ts: str, hot_rows: int = HOT_ROWS) -> Data
     ).drop("__island")
 
 
-def day_gaps(df: DataFrame, ts: str) -> DataFrame:
-    """Neighbouring active days that lie more than one day apart."""
-    days = df.select(day(ts).alias("order_day")).distinct()
-    o = shift(ordered(days, [], ["order_day"]), {"previous_day": F.col("order_day")}, ["order_day"])
+def day_gaps(df: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Neighbouring active days of a key (or of the whole table) that lie more than one day apart."""
+    days = df.select(*keys, day(ts).alias("order_day")).distinct()
+    o = shift(ordered(days, keys, ["order_day"]), {"previous_day": F.col("order_day")}, ["order_day"])
     gap = days_between("order_day", "previous_day")
-    return o.result().withColumn("gap_days", gap).where("gap_days > 1").select("previous_day", "order_day", "gap_days")
+    return o.result().withColumn("gap_days", gap).where("gap_days > 1").select(*keys, "previous_day", "order_day", "gap_days")
 
 
-def missing_dates(df: DataFrame, ts: str) -> DataFrame:
-    """Calendar days between the first and last day on which nothing happened."""
-    present = df.select(day(ts).alias("d")).distinct()
-    return calendar_of(df, ts).join(present, "d", "left_anti")
+def missing_dates(df: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Calendar days between the first and last day of a key (or of the whole table) on which nothing happened."""
+    return days_without(df, ts, df, ts, keys)
 
 
 def missing_numbers(df: DataFrame, key: str) -> DataFrame:
@@ -131,11 +130,11 @@ def ordered_chain(df: DataFrame, user: str, ts: str, steps: Sequence[Column]) ->
     return reached.select(user)
 
 
-def hierarchy(df: DataFrame, node: str, parent: str, name: str, max_depth: int = 100) -> DataFrame:
+def hierarchy(df: DataFrame, node: str, parent: str, name: str) -> DataFrame:
     """Level, path and ancestors of every node that a root reaches, one join per level.
 
     Each level is checkpointed, so the plan stays short and a lost executor costs
-    one level.  A tree deeper than `max_depth` is an error, never a cut.
+    one level.  Any depth is followed; a node that is its own ancestor is an error.
     """
     nodes = cut_lineage(df.select(F.col(node).alias("node"), F.col(parent).alias("parent"), F.col(name).alias("name")))
     none = F.array().cast(f"array<{df.schema[node].dataType.simpleString()}>")
@@ -144,8 +143,8 @@ def hierarchy(df: DataFrame, node: str, parent: str, name: str, max_depth: int =
     )
     found = [level]
     while not level.isEmpty():
-        if len(found) > max_depth:
-            raise ValueError(f"hierarchy deeper than {max_depth} levels")
+        if not level.where(F.array_contains("ancestors", F.col("node"))).isEmpty():
+            raise ValueError("a node is its own ancestor")
         up = level.select(F.col("node").alias("parent"), "level", "path", "ancestors")
         level = cut_lineage(
             nodes.join(up, "parent").select(

@@ -11,11 +11,14 @@ from pyspark.sql import types as T
 from tidewater.operators.ordered import HOT_ROWS, hot_keys
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20  # of the rows written as JSON
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame has at most `max_rows` rows; reads no more than that to find out."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether a frame has at most `max_rows` rows of at most BROADCAST_BYTES together; reads no more rows than that to find out."""
+    sizes = df.limit(max_rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("size"))
+    facts = sizes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()
+    return facts["n"] <= max_rows and facts["size"] <= BROADCAST_BYTES
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner", max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -55,8 +58,11 @@ def salted_join(
     """Join that splits the hot keys of `big` by a hash of its row key.
 
     Only rows of hot keys get more than one salt, and only their partners are
-    repeated; the hash of a row key gives a retried task the same salt.
+    repeated; the hash of a row key gives a retried task the same salt.  Joins that
+    keep unmatched rows of `small` are refused: its rows are repeated.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"a salted join cannot be {how}")
     hot = hot_keys(big, on, hot_rows)
     if not hot:
         return big.join(small, list(on), how)

@@ -73,7 +73,7 @@ def _batch_best(item: str, vector: str, queries: Queries, k: int, measure: str):
                 values = np.round(np.divide(x @ q.T, lengths, out=np.zeros_like(lengths), where=lengths > 0), 6)
                 keys = -values
             else:
-                values = np.round(np.sqrt(np.maximum(0, ((x[:, None, :] - q[None, :, :]) ** 2).sum(axis=2))), 6)
+                values = np.round(np.stack([np.sqrt(((x - one) ** 2).sum(axis=1)) for one in q], axis=1), 6)  # never rows x queries x width
                 keys = values
             for j, name in enumerate(names):
                 best = np.lexsort((items, keys[:, j]))[:k]

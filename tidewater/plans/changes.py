@@ -327,9 +327,9 @@ def incremental_strategies(t):
     return out
 
 
-@query("backfill_ranges", """WITH l AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE l_quantity = 50 AND l_discount = 0),
-  c AS (SELECT unnest(range((SELECT min(l_shipdate) FROM lineitem), (SELECT max(l_shipdate) FROM lineitem) + INTERVAL 1 DAY, INTERVAL 1 DAY))::DATE AS d EXCEPT SELECT d FROM l),
-  g AS (SELECT d, d - CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS g FROM c) SELECT min(d) AS range_start, max(d) AS range_end, count(*) AS days FROM g GROUP BY g""")
+@query("backfill_ranges", """WITH b AS (SELECT l_suppkey, min(l_shipdate)::DATE AS lo, max(l_shipdate)::DATE AS hi FROM lineitem GROUP BY 1),
+  c AS (SELECT l_suppkey, unnest(generate_series(lo::TIMESTAMP, hi::TIMESTAMP, INTERVAL 1 DAY))::DATE AS d FROM b EXCEPT SELECT l_suppkey, l_shipdate::DATE FROM lineitem),
+  g AS (SELECT *, d - CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY d) AS INTEGER) AS g FROM c) SELECT l_suppkey, min(d) AS range_start, max(d) AS range_end, count(*) AS days FROM g GROUP BY l_suppkey, g""")
 def backfill_ranges(t):
-    done = t.lineitem.where("l_quantity = 50 AND l_discount = 0")
-    return I.backfill_ranges(t.lineitem, "l_shipdate", done, "l_shipdate")
+    """Days of each supplier without a shipment, as ranges to load again."""
+    return I.backfill_ranges(t.lineitem, "l_shipdate", t.lineitem, "l_shipdate", ["l_suppkey"])

@@ -329,14 +329,15 @@ def consecutive_purchases(t):
     return P.streaks(t.events.where("event_type = 'purchase'"), "user_id", "ts").where("streak_length >= 2")
 
 
-@query("gap_days", "WITH d AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE l_quantity = 50 AND l_discount = 0), g AS (SELECT d AS order_day, lag(d) OVER (ORDER BY d) AS previous_day FROM d) SELECT previous_day, order_day, date_diff('day', previous_day, order_day) AS gap_days FROM g WHERE date_diff('day', previous_day, order_day) > 1")
+@query("gap_days", f"WITH d AS (SELECT DISTINCT customer_id, order_date AS order_day FROM {ORDERS}), g AS (SELECT *, lag(order_day) OVER (PARTITION BY customer_id ORDER BY order_day) AS previous_day FROM d) SELECT customer_id, previous_day, order_day, date_diff('day', previous_day, order_day) AS gap_days FROM g WHERE date_diff('day', previous_day, order_day) > 1")
 def gap_days(t):
-    return P.day_gaps(t.lineitem.where("l_quantity = 50 AND l_discount = 0"), "l_shipdate")
+    return P.day_gaps(orders(t), "order_date", ["customer_id"])
 
 
-@query("missing_dates", "WITH d AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE l_quantity = 50 AND l_discount = 0) SELECT unnest(range((SELECT min(d) FROM d)::TIMESTAMP, (SELECT max(d) FROM d)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS d EXCEPT SELECT d FROM d")
+@query("missing_dates", """WITH b AS (SELECT l_suppkey, min(l_shipdate)::DATE AS lo, max(l_shipdate)::DATE AS hi FROM lineitem GROUP BY 1)
+  SELECT l_suppkey, unnest(generate_series(lo::TIMESTAMP, hi::TIMESTAMP, INTERVAL 1 DAY))::DATE AS d FROM b EXCEPT SELECT l_suppkey, l_shipdate::DATE FROM lineitem""")
 def missing_dates(t):
-    return P.missing_dates(t.lineitem.where("l_quantity = 50 AND l_discount = 0"), "l_shipdate")
+    return P.missing_dates(t.lineitem, "l_shipdate", ["l_suppkey"])
 
 
 TREE = f"""WITH RECURSIVE h AS (SELECT employee_id, manager_id, employee_name, 1::BIGINT AS level, employee_name AS path FROM {EMPLOYEES} WHERE manager_id IS NULL

@@ -1,9 +1,9 @@
-"""A data source that reads numbered pages until the first empty one."""
+"""A data source that reads numbered pages."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
@@ -23,23 +23,18 @@ def page_of_folder(root: str, number: int) -> list[dict]:
     return rows
 
 
-def last_page(fetch: Callable[[int], list[dict]]) -> int:
-    """Number of the last page that is not empty: doubling steps, then halving ones."""
-    if not fetch(1):
-        return 0
-    high = 1
-    while fetch(high * 2):
-        high *= 2
-    low, high = high, high * 2
-    while high - low > 1:
-        middle = (low + high) // 2
-        low, high = (middle, high) if fetch(middle) else (low, middle)
-    return low
+def page_numbers(root: str) -> list[int]:
+    """The numbers of all pages below `root`, in order; an empty or missing page ends nothing."""
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(root)
+    names = [f.base_name for f in system.get_file_info(fs.FileSelector(path, allow_not_found=True))]
+    return sorted(int(n.removeprefix("page=")) for n in names if n.startswith("page=") and n.removeprefix("page=").isdigit())
 
 
-class PageRange(InputPartition):
-    def __init__(self, first: int, last: int):
-        self.first, self.last = first, last
+class Pages(InputPartition):
+    def __init__(self, numbers: list[int]):
+        self.numbers = numbers
 
 
 class PagedReader(DataSourceReader):
@@ -47,17 +42,17 @@ class PagedReader(DataSourceReader):
         self.root, self.per_task, self.columns = root, per_task, columns
 
     def partitions(self) -> list[InputPartition]:
-        last = last_page(lambda n: page_of_folder(self.root, n))
-        return [PageRange(i, min(i + self.per_task - 1, last)) for i in range(1, last + 1, self.per_task)]
+        numbers = page_numbers(self.root)
+        return [Pages(numbers[i : i + self.per_task]) for i in range(0, len(numbers), self.per_task)]
 
-    def read(self, partition: PageRange) -> Iterator[tuple]:
-        for number in range(partition.first, partition.last + 1):
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        for number in partition.numbers:
             for row in page_of_folder(self.root, number):
                 yield tuple(row.get(c) for c in self.columns)
 
 
 class PagedSource(DataSource):
-    """`spark.read.format("pages").schema(...).option("root", ...).load()`; tasks fetch ranges of pages."""
+    """`spark.read.format("pages").schema(...).option("root", ...).load()`; tasks fetch a few pages each."""
 
     @classmethod
     def name(cls) -> str:
