@@ -127,6 +127,23 @@ def test_line_classes(spark, documents, odd, none):
     assert line_dedup.line_classes(none).count() == 0 and line_dedup.without_repeated_lines(none).count() == 0
 
 
+def test_bands_find_short_and_late_edits(spark):
+    """Lines of 30 to 40 shingles and a similarity of 0.82, unlike in their last bytes, and long ones unlike far behind their beginning."""
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    rows = []
+    for pair in range(800):
+        n, m = ((30, 3), (40, 4), (200, 20))[pair % 3]
+        base = text(n + 7 - m)
+        rows += [(2 * pair, base + text(m)), (2 * pair + 1, base + text(m))]
+    lines = spark.createDataFrame(rows, "id bigint, line string")
+    found = line_dedup.candidate_pairs(line_dedup.signatures(lines.select("line")))
+    name = {r.h: r.id for r in lines.selectExpr("id", "xxhash64(line) AS h").collect()}
+    hit = {name[r.a] // 2 for r in found.collect() if name[r.a] // 2 == name[r.b] // 2}
+    for kind in range(3):
+        assert sum(p % 3 == kind for p in hit) >= 0.95 * sum(p % 3 == kind for p in range(800))
+
+
 def test_contamination_odd_rows(spark, odd, none):
     items = spark.createDataFrame([("a", "Quick! BROWN fox"), ("b", None), (None, "lazy dog and"), ("c", ""), ("a", "Quick! BROWN fox"), ("d", "over the lazy dog and runs away from it all and more")], "item_id string, text string")
     got = {r.doc_id: r for r in decontaminate.contamination(odd, items).collect()}

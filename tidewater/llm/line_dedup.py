@@ -8,10 +8,8 @@ pairs per line and never all pairs.  The exact Jaccard similarity of the shingle
 sets decides, distributed union-find joins what is linked, and the first line of
 each component, by doc_id and line number, is kept.
 
-Most MinHash values come from an eighth of the shingles: the order of each hash
-function puts shingles whose hash ends in three zero bits first, so the rest need
-not be looked at, but for the first HEAD places of a line, which decide for lines
-without any such shingle.
+Each MinHash value is a minimum over all shingles of the whole line; the hash
+functions are linear maps of a shingle's hash with their own random constants.
 
 Lines of fewer than LEAST bytes (blank ones, headings, single words) are layout:
 they are not compared and always stay.  Equal lines are recognised by a 64-bit
@@ -21,6 +19,8 @@ lines' fate; rows without doc_id come first.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -31,12 +31,15 @@ from tidewater.llm.storage import staged
 SHINGLE = 8
 SIMILARITY = 0.8
 BANDS, ROWS = 8, 4
-HEAD = 32
 LEAST = 24
 IDS_TO_SEND = 2_000_000  # 16 MB of line hashes
 PAIRS_A_TASK = 2_000  # verified by a task
 
-_CLASS = 1 << 27  # values of one class of shingles
+_BITS = (1 << 31) - 1  # of a shingle's hash and of a MinHash value
+_DRAWN = random.Random(2)
+#: An odd factor and a summand for each hash function; products stay below 2^62.
+_MAPS = [(_DRAWN.getrandbits(31) | 1, _DRAWN.getrandbits(31)) for _ in range(BANDS * ROWS)]
+
 
 
 def _line_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -57,25 +60,15 @@ def _shingle_hashes(line: Column) -> Column:
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """`line_hash` and BANDS * ROWS MinHash values of every distinct line.
-
-    The k-th hash function orders shingles by class, then by their hash xor a
-    constant: the shingle nearest to that constant.
-    """
+    """`line_hash` and BANDS * ROWS MinHash values of every distinct line."""
     spread = lines.select(
         F.xxhash64("line").alias("line_hash"),
         F.col("line").cast("binary").alias("raw"),
         F.explode(F.sequence(F.lit(1), F.octet_length("line") - (SHINGLE - 1))).alias("at"),
     )
-    h = spread.select("line_hash", "at", F.hash(_shingle(F.col("raw"), F.col("at"))).alias("h"))
-    looked = h.where((F.col("h").bitwiseAND(7) == 0) | (F.col("at") <= HEAD))
-    rank = F.shiftleft(F.col("h").bitwiseAND(7), 27)
-    rest = F.shiftrightunsigned(F.col("h"), 5)
-    place = looked.select("line_hash", rank.bitwiseOR(rest).alias("place"))
-    # constants spread evenly over the 27 bits, each at its own place of the shingles' order
-    step = _CLASS // (BANDS * ROWS)
-    values = [F.min(F.col("place").bitwiseXOR(F.lit(k * step + (k * 2_654_435) % step))) for k in range(BANDS * ROWS)]
-    return place.groupBy("line_hash").agg(*[v.alias(f"m{k}") for k, v in enumerate(values)])
+    h = spread.select("line_hash", F.hash(_shingle(F.col("raw"), F.col("at"))).cast("bigint").bitwiseAND(_BITS).alias("h"))
+    values = [F.min((F.col("h") * F.lit(factor).cast("bigint") + F.lit(summand).cast("bigint")).bitwiseAND(_BITS)) for factor, summand in _MAPS]
+    return h.groupBy("line_hash").agg(*[v.alias(f"m{k}") for k, v in enumerate(values)])
 
 
 def candidate_pairs(sketched: DataFrame) -> DataFrame:
