@@ -137,13 +137,36 @@ def test_bands_find_short_and_late_edits(spark):
         base = text(n + 7 - m)
         rows += [(2 * pair, base + text(m)), (2 * pair + 1, base + text(m))]
     lines = spark.createDataFrame(rows, "id bigint, line string")
-    found = line_dedup.candidate_pairs(line_dedup.signatures(lines.select("line")))
+    found = line_dedup.candidate_pairs(line_dedup.buckets(line_dedup.signatures(lines.select("line"))))
     name = {r.h: r.id for r in lines.selectExpr("id", "xxhash64(line) AS h").collect()}
     hit = {name[r.a] // 2 for r in found.collect() if name[r.a] // 2 == name[r.b] // 2}
     for kind in range(3):
         assert sum(p % 3 == kind for p in hit) >= 0.95 * sum(p % 3 == kind for p in range(800))
 
 
+@pytest.mark.parametrize("block", [500, 7])
+def test_pairs_inside_a_template(spark, block):
+    """Families of two lines at 0.92 that share a template, lines of different families being below 0.8."""
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    shared = text(168)
+    lines = []
+    for family in range(150):
+        own = text(31)
+        lines += [shared + own + text(8), shared + own + text(8)]
+    table = spark.createDataFrame([(x,) for x in lines], "line string")
+    members = line_dedup.buckets(line_dedup.signatures(table))
+    name = {r.h: lines.index(r.line) for r in table.selectExpr("line", "xxhash64(line) AS h").collect()}
+    met = {}
+    for r in members.collect():
+        met.setdefault(name[r.line_hash], set()).add(r.key)
+    want = {k for k in range(0, 300, 2) if met.get(k, set()) & met.get(k + 1, set())}
+    root = {name[r.node]: name[r.root] for r in line_dedup.linked_lines(table, block=block).collect()}
+    top = lambda k: root.get(k, k)
+    assert len(want) >= 147 and all(top(k) == top(k + 1) for k in want)
+    assert all(top(k) // 2 == k // 2 for k in range(300))
+
+
 def test_contamination_odd_rows(spark, odd, none):
     items = spark.createDataFrame([("a", "Quick! BROWN fox"), ("b", None), (None, "lazy dog and"), ("c", ""), ("a", "Quick! BROWN fox"), ("d", "over the lazy dog and runs away from it all and more")], "item_id string, text string")
     got = {r.doc_id: r for r in decontaminate.contamination(odd, items).collect()}

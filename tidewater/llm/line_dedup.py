@@ -2,10 +2,13 @@
 
 Lines are compared by their sets of SHINGLE-byte windows (UTF-8).  MinHash values
 of each distinct line form BANDS keys of ROWS values; lines that share a key meet
-in a bucket.  In a bucket every line is compared with the smallest one and with
-its neighbour in the order of the next band's key, so a large bucket gives a few
-pairs per line and never all pairs.  The exact Jaccard similarity of the shingle
-sets decides, distributed union-find joins what is linked, and the first line of
+in a bucket.  In a bucket every line is first compared with the smallest one and
+with its neighbour in the order of the next band's key; the exact Jaccard
+similarity of the shingle sets decides and distributed union-find joins what is
+linked.  In buckets that then still hold several components, every line outside
+the largest one is compared with all lines of other components whose size allows a
+link, block by block.  Links inside a component would change nothing, so no pair
+of a bucket that could join two components is left untested.  The first line of
 each component, by doc_id and line number, is kept.
 
 Each MinHash value is a minimum over all shingles of the whole line; the hash
@@ -34,6 +37,7 @@ BANDS, ROWS = 8, 4
 LEAST = 24
 IDS_TO_SEND = 2_000_000  # 16 MB of line hashes
 PAIRS_A_TASK = 2_000  # verified by a task
+BLOCK = 500  # lines of a bucket on each side of a cell whose pairs one task compares
 
 _BITS = (1 << 31) - 1  # of a shingle's hash and of a MinHash value
 _DRAWN = random.Random(2)
@@ -71,16 +75,20 @@ def signatures(lines: DataFrame) -> DataFrame:
     return h.groupBy("line_hash").agg(*[v.alias(f"m{k}") for k, v in enumerate(values)])
 
 
-def candidate_pairs(sketched: DataFrame) -> DataFrame:
-    """`a, b`: pairs of distinct lines to verify, at most two per line and band.
+def buckets(sketched: DataFrame) -> DataFrame:
+    """`key, next, band, line_hash, low`: the members of every bucket of more than one line, its smallest line and the key of its next band.
 
     The signatures are read once: both uses of the dealt bands share one exchange.
     """
     keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b + BANDS * r}") for r in range(ROWS)]) for b in range(BANDS)]
-    bands = F.array(*[F.struct(k.alias("key"), keys[(b + 1) % BANDS].alias("next")) for b, k in enumerate(keys)])
-    banded = sketched.select("line_hash", F.explode(bands).alias("band")).select("line_hash", "band.key", "band.next").repartition("key")
+    bands = F.array(*[F.struct(k.alias("key"), keys[(b + 1) % BANDS].alias("next"), F.lit(b).alias("band")) for b, k in enumerate(keys)])
+    banded = sketched.select("line_hash", F.explode(bands).alias("at")).select("line_hash", "at.key", "at.next", "at.band").repartition("key")
     shared = banded.groupBy("key").agg(F.min("line_hash").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = staged(banded.join(shared.hint("shuffle_hash"), "key").select("key", "next", "line_hash", "low"), "buckets")
+    return staged(banded.join(shared.hint("shuffle_hash"), "key").select("key", "next", "band", "line_hash", "low"), "buckets")
+
+
+def candidate_pairs(members: DataFrame) -> DataFrame:
+    """`a, b`: pairs of distinct lines to verify first, at most two per line and band."""
     order = Window.partitionBy("key").orderBy("next", "line_hash")
     met = members.withColumn("near", F.lag("line_hash").over(order))
     pairs = met.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("line_hash").alias("b")), F.struct(F.col("near").alias("a"), F.col("line_hash").alias("b")))).alias("p"))
@@ -88,12 +96,17 @@ def candidate_pairs(sketched: DataFrame) -> DataFrame:
     return named.distinct()
 
 
+def _texts(lines: DataFrame, ids: DataFrame) -> DataFrame:
+    """`line_hash, line` of the wanted lines, each once."""
+    few = F.broadcast(ids) if ids.count() <= IDS_TO_SEND else ids
+    wanted = lines.select(F.xxhash64("line").alias("line_hash"), "line").join(few, "line_hash", "left_semi")
+    return wanted.groupBy("line_hash").agg(F.first("line").alias("line"))
+
+
 def similar_lines(lines: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs whose exact Jaccard similarity reaches the threshold."""
     ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("line_hash")).distinct(), "candidates")
-    few = F.broadcast(ids) if ids.count() <= IDS_TO_SEND else ids
-    wanted = lines.select(F.xxhash64("line").alias("line_hash"), "line").join(few, "line_hash", "left_semi")
-    texts = staged(wanted.groupBy("line_hash").agg(F.first("line").alias("line")), "lines")
+    texts = staged(_texts(lines, ids), "lines")
     left = texts.select(F.col("line_hash").alias("a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("line_hash").alias("b"), F.col("line").alias("line_b"))
     parts = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs.count() // PAIRS_A_TASK))
@@ -105,6 +118,57 @@ def similar_lines(lines: DataFrame, pairs: DataFrame, similarity: float = SIMILA
     return listed.where(shared >= similarity * either).select("a", "b")
 
 
+def missing_links(lines: DataFrame, members: DataFrame, roots: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """`a, b`: links between different components of a bucket, one for any two components that are linked.
+
+    Every line outside a bucket's largest component meets all lines of other
+    components, but for those that an earlier band has brought together.  Both
+    sides are cut into blocks, so a large bucket is dealt out in cells.
+    """
+    named = roots.select(F.col("node").alias("line_hash"), "root")
+    placed = members.join(named, "line_hash", "left").select("key", "band", "line_hash", F.coalesce("root", "line_hash").alias("root"))
+    sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    split = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots")).where("roots > 1 and n > 2")
+    cut = split.select("key", F.col("main.root").alias("main"), F.ceil(F.col("n") / block).cast("int").alias("ys"), F.ceil((F.col("n") - F.col("main.n")) / block).cast("int").alias("xs"))
+    mixed = staged(placed.join(cut, "key"), "mixed")
+
+    ids = mixed.select("line_hash").distinct()
+    texts = _texts(lines, staged(ids, "candidates"))
+    sets = texts.select("line_hash", F.explode(F.array(F.array_distinct(_shingle_hashes(F.col("line"))))).alias("s"))
+    # the buckets of a line, by band: a pair is compared in the first that both are in
+    met = mixed.groupBy("line_hash").agg(F.collect_list(F.struct("band", "key")).alias("met"))
+    known = staged(sets.join(met, "line_hash"), "sets")
+    full = mixed.join(known, "line_hash")
+    hashed = lambda cells: F.pmod(F.xxhash64("line_hash"), F.col(cells)).cast("int")
+    every = lambda cells: F.explode(F.sequence(F.lit(0), F.col(cells) - 1))
+    side = lambda table, tag: table.select("key", "x", "y", F.col("band").alias(f"band_{tag}"), F.col("line_hash").alias(f"line_{tag}"), F.col("root").alias(f"root_{tag}"), F.col("s").alias(f"s_{tag}"), F.col("met").alias(f"met_{tag}"), (F.col("root") == F.col("main")).alias(f"main_{tag}"))
+    left = side(full.where("root <> main").withColumn("x", hashed("xs")).withColumn("y", every("ys")), "a")
+    right = side(full.withColumn("y", hashed("ys")).withColumn("x", every("xs")), "b")
+    n_a, n_b = F.size("s_a"), F.size("s_b")
+    shared = F.size(F.array_intersect("s_a", "s_b"))
+    first = F.array_min(F.transform(F.array_intersect("met_a", "met_b"), lambda m: m["band"]))
+    tests = (
+        (F.col("root_a") != F.col("root_b"))
+        & (F.col("main_b") | (F.col("line_a") < F.col("line_b")))
+        & (F.least(n_a, n_b) >= similarity * F.greatest(n_a, n_b))
+        & (first == F.col("band_a"))
+        & (shared >= similarity * (n_a + n_b - shared))
+    )
+    linked = left.join(right.hint("merge"), ["key", "x", "y"]).where(tests)
+    one = linked.groupBy(F.least("root_a", "root_b").alias("r0"), F.greatest("root_a", "root_b").alias("r1")).agg(F.min(F.struct(F.col("line_a").alias("a"), F.col("line_b").alias("b"))).alias("p"))
+    return one.select(F.least("p.a", "p.b").alias("a"), F.greatest("p.a", "p.b").alias("b"))
+
+
+def linked_lines(lines: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """`node, root` of every distinct line that is linked to a smaller one, as in `components`."""
+    members = buckets(signatures(lines))
+    pairs = staged(candidate_pairs(members), "pairs")
+    links = staged(similar_lines(lines, pairs, similarity), "links")
+    roots = components(links)
+    rest = staged(missing_links(lines, members, roots, similarity, block), "links")
+    return roots if rest.isEmpty() else components(links.unionByName(rest))
+
+
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """`doc_id, version, line_no, first_doc, first_line, copies, kept` of every compared line.
 
@@ -112,8 +176,7 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     the component's lines.
     """
     lines = _line_rows(docs, doc_id, text)
-    pairs = staged(candidate_pairs(signatures(lines)), "pairs")
-    roots = components(staged(similar_lines(lines, pairs, similarity), "links"))
+    roots = linked_lines(lines, similarity)
     named = lines.select("doc_id", "version", "line_no", F.xxhash64("line").alias("line_hash"))
     placed = named.join(roots, named["line_hash"] == roots["node"], "left")
     classed = staged(placed.select("doc_id", "version", "line_no", F.coalesce("root", "line_hash").alias("class")), "classes")
