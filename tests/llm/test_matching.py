@@ -167,6 +167,16 @@ def test_pairs_inside_a_template(spark, block):
     assert all(top(k) // 2 == k // 2 for k in range(300))
 
 
+def test_short_lines_are_compared(spark):
+    rows = [(1, "Accept all cookies\nMenu\n\n日本語\n \t\nfirst of all lines"), (2, "Accept all cookies\nMenu\n\n日本語\n \t\nsecond among them"), (3, "menu")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.line_no): (r.first_doc, r.first_line, r.copies, r.kept) for r in line_dedup.line_classes(frame).collect()}
+    assert set(got) == {(1, 0), (1, 1), (1, 3), (1, 5), (2, 0), (2, 1), (2, 3), (2, 5), (3, 0)}
+    assert all(got[2, n] == (1, n, 2, False) and got[1, n] == (1, n, 2, True) for n in (0, 1, 3))
+    assert got[3, 0] == (3, 0, 1, True) and got[2, 5][3]
+    assert {r.doc_id: r.text for r in line_dedup.without_repeated_lines(frame).collect()}[2] == "\n \t\nsecond among them"
+
+
 def test_contamination_odd_rows(spark, odd, none):
     items = spark.createDataFrame([("a", "Quick! BROWN fox"), ("b", None), (None, "lazy dog and"), ("c", ""), ("a", "Quick! BROWN fox"), ("d", "over the lazy dog and runs away from it all and more")], "item_id string, text string")
     got = {r.doc_id: r for r in decontaminate.contamination(odd, items).collect()}

@@ -14,9 +14,9 @@ each component, by doc_id and line number, is kept.
 Each MinHash value is a minimum over all shingles of the whole line; the hash
 functions are linear maps of a shingle's hash with their own random constants.
 
-Lines of fewer than LEAST bytes (blank ones, headings, single words) are layout:
-they are not compared and always stay.  Equal lines are recognised by a 64-bit
-hash.  A null text has no lines.  Rows with the same doc_id and text share their
+Every line but blank ones is compared.  A line of fewer than SHINGLE bytes has no
+window; it is one shingle as a whole, so it is like equal lines only and needs no
+bands.  Equal lines are recognised by a 64-bit hash.  A null text has no lines.  Rows with the same doc_id and text share their
 lines' fate; rows without doc_id come first.  An empty table gives no rows.
 """
 
@@ -34,7 +34,7 @@ from tidewater.llm.storage import staged
 SHINGLE = 8
 SIMILARITY = 0.8
 BANDS, ROWS = 8, 4
-LEAST = 24
+LEAST = 1  # bytes; blank lines alone are left out
 IDS_TO_SEND = 2_000_000  # 16 MB of line hashes
 PAIRS_A_TASK = 2_000  # verified by a task
 BLOCK = 500  # lines of a bucket on each side of a cell whose pairs one task compares
@@ -47,10 +47,10 @@ _MAPS = [(_DRAWN.getrandbits(31) | 1, _DRAWN.getrandbits(31)) for _ in range(BAN
 
 
 def _line_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """`doc_id, version, line_no, line`: every line that is long enough; `version` tells texts of one doc_id apart."""
+    """`doc_id, version, line_no, line`: every line that is not blank; `version` tells texts of one doc_id apart."""
     named = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.split(F.col(text), "\n").alias("lines"))
     lines = named.select("doc_id", "version", F.posexplode("lines").alias("line_no", "line"))
-    return lines.where(F.octet_length("line") >= LEAST)
+    return lines.where((F.octet_length("line") >= LEAST) & F.col("line").rlike(r"\S"))
 
 
 def _shingle(raw: Column, at: Column) -> Column:
@@ -64,8 +64,8 @@ def _shingle_hashes(line: Column) -> Column:
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """`line_hash` and BANDS * ROWS MinHash values of every distinct line."""
-    spread = lines.select(
+    """`line_hash` and BANDS * ROWS MinHash values of every distinct line that has a shingle."""
+    spread = lines.where(F.octet_length("line") >= SHINGLE).select(
         F.xxhash64("line").alias("line_hash"),
         F.col("line").cast("binary").alias("raw"),
         F.explode(F.sequence(F.lit(1), F.octet_length("line") - (SHINGLE - 1))).alias("at"),
@@ -170,7 +170,7 @@ def linked_lines(lines: DataFrame, similarity: float = SIMILARITY, block: int =
 
 
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """`doc_id, version, line_no, first_doc, first_line, copies, kept` of every compared line.
+    """`doc_id, version, line_no, first_doc, first_line, copies, kept` of every line that is not blank.
 
     `first_doc, first_line` name the line that its component keeps, `copies` counts
     the component's lines.
