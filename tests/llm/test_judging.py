@@ -47,6 +47,23 @@ def test_bands_reject_symbols(spark):
     assert not got[1000].kept and got[1000].reasons and sum(not r.kept and not r.base_failed for d, r in got.items() if d < 1000) <= 4
 
 
+def test_every_document_has_a_band(spark):
+    """Symbol soup below 128 tokens, in a language of one document, and in a table of few documents."""
+    import random
+
+    rng = random.Random(8)
+    say = lambda n: " ".join(rng.choice(["river", "stone", "of", "the", "walks", "under", "morning", "light", "seven", "houses"]) + rng.choice(["", "", ",", "s"]) + str(i % 7) for i in range(n))
+    soup = lambda n: " ".join("".join(rng.choice("\u0a85\u1c90\u2d30\ua4d0\u16a0") for _ in range(3)) + str(i) for i in range(n))
+    for many in (200, 20):
+        rows = [(i, say(200), "en") for i in range(many)] + [(500 + i, say(30), "en") for i in range(many)]
+        rows += [(1000, soup(11), "en"), (1001, soup(150), "xx"), (1002, soup(150), "en"), (1003, say(200), "yy")]
+        frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+        got = {r.doc_id: r for r in fertility.judged(frame).collect()}
+        assert got[1000].n_tokens < fertility.LEAST_TOKENS and not got[1000].base_failed
+        assert len(got) == len(rows) and all(not got[d].kept and got[d].reasons for d in (1000, 1001, 1002)), got[1000]
+        assert got[1003].kept and sum(not r.kept and not r.base_failed for d, r in got.items() if d < 1000) <= many // 25
+
+
 def test_language_model(documents, odd, none):
     frame = documents.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
     held = language_model.held_out("doc_id")

@@ -8,8 +8,14 @@ repeated text has a low entropy for its length.
 
 The bands come from the whole table: for each language (or script, where the
 language is null) the quartiles of each measure, widened by FENCE times their
-distance; entropy is compared inside classes of sizes.  Documents below LEAST_TOKENS tokens are too short to
-measure and pass, as do groups of fewer than LEAST_DOCS such documents.
+distance.  Every document has a band.  Quartiles of a group count as its documents,
+those of the next wider group as LEAST_DOCS more: language, script, whole table.
+So a rare language or one document more changes a band by little, and nothing
+switches it off.  The quartiles come from documents of LEAST_TOKENS tokens and more
+(from all, if none is so long); for a shorter document the distances grow with its
+sampling error, as the root of LEAST_TOKENS by its tokens.  Entropy is compared
+inside classes of sizes, whatever their size: language and class, script and class,
+class, and the classes around it.
 
 A null or empty text has no words: it fails the base rules.  Repeated rows are
 judged alike; an empty table gives no rows.
@@ -21,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.encoders import encoder
@@ -113,17 +119,18 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", fallback: str = FALLBACK, second: str = SECOND) -> DataFrame:
-    """One row per document with the counts, the measures and its group (language or script)."""
+    """One row per document with the counts, the measures, its group (language or script) and its script."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             column = batch.column("text")
             counts = base_counts(column)
             found = token_measures(column, counts["word_chars"], fallback, second)
-            group = [lang or script for lang, script in zip(batch.column("lang").to_pylist(), _scripts(column))]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(group, pa.string()), *[pa.array(v) for v in (*counts.values(), *found.values())]], ["doc_id", "kind", *counts, *found])
+            scripts = _scripts(column)
+            group = [lang or script for lang, script in zip(batch.column("lang").to_pylist(), scripts)]
+            yield pa.record_batch([batch.column("doc_id"), pa.array(group, pa.string()), pa.array(scripts, pa.string()), *[pa.array(v) for v in (*counts.values(), *found.values())]], ["doc_id", "kind", "script", *counts, *found])
 
-    schema = "doc_id bigint, kind string, " + ", ".join(f"{c} bigint" for c in (*COUNTS, "n_tokens")) + ", " + ", ".join(f"{m} double" for m in MEASURES)
+    schema = "doc_id bigint, kind string, script string, " + ", ".join(f"{c} bigint" for c in (*COUNTS, "n_tokens")) + ", " + ", ".join(f"{m} double" for m in MEASURES)
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     return named.mapInArrow(measure, schema)
 
@@ -136,26 +143,75 @@ def _size_class() -> Column:
 _NARROWEST = {"chars_per_token": 0.1, "chars_per_token_2": 0.1, "byte_share": 0.02, "entropy": 0.2}
 
 
-def bands(table: DataFrame, by: list[str], measures: list[str], fence: float = FENCE, least_tokens: int = LEAST_TOKENS, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """The accepted range of each measure in each group: `band_<group column>`, `low_<measure>`, `high_<measure>`."""
-    long_enough = table.where(F.col("n_tokens") >= least_tokens)
-    found = long_enough.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(m, [0.25, 0.75], 1000).alias(m) for m in measures])
-    wide = {m: fence * F.greatest(F.col(m)[1] - F.col(m)[0], F.lit(_NARROWEST[m])) for m in measures}
-    ranges = [c for m in measures for c in ((F.col(m)[0] - wide[m]).alias(f"low_{m}"), (F.col(m)[1] + wide[m]).alias(f"high_{m}"))]
-    return found.where(F.col("n") >= least_docs).select(*[F.col(c).alias(f"band_{c}") for c in by], *ranges)
+def _quartiles(table: DataFrame, by: list[str], measures: list[str]) -> DataFrame:
+    """`n` and the quartiles of each measure in each group."""
+    both = [F.percentile_approx(m, [0.25, 0.75], 1000) for m in measures]
+    return table.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[q.alias(m) for q, m in zip(both, measures)])
+
+
+def _drawn(groups: DataFrame, wider: DataFrame, on: list[str], measures: list[str], least_docs: int) -> DataFrame:
+    """The groups' quartiles, drawn towards those of the wider groups as by `least_docs` documents of theirs."""
+    names = [F.col(c).alias(f"wide_{c}") for c in on]
+    above = wider.select(*names, *[F.col(m).alias(f"wide_{m}") for m in measures])
+    at = F.lit(True)
+    for c in on:
+        at = at & F.col(c).eqNullSafe(F.col(f"wide_{c}"))
+    share = F.col("n") / (F.col("n") + least_docs)
+    mean = lambda m: F.transform(F.arrays_zip(F.col(m).alias("own"), F.col(f"wide_{m}").alias("wide")), lambda q: share * q["own"] + (1 - share) * q["wide"])
+    return groups.join(above, at).select(*[c for c in groups.columns if c not in measures], *[F.coalesce(mean(m), f"wide_{m}").alias(m) for m in measures])
+
+
+def _around(table: DataFrame, measures: list[str], least_docs: int) -> DataFrame:
+    """Quartiles of each size class, from the nearest classes that have `least_docs` documents together (or from all).
+
+    There are as many classes as powers of two, so few rows meet.
+    """
+    counts = table.groupBy("size_class").agg(F.count(F.lit(1)).alias("n"))
+    mine, other = counts.select("size_class"), counts.select(F.col("size_class").alias("other"), "n")
+    apart = mine.join(other).withColumn("far", F.abs(F.col("size_class") - F.col("other")))
+    rings = apart.groupBy("size_class", "far").agg(F.sum("n").alias("n"))
+    upto = Window.partitionBy("size_class").orderBy("far")
+    reach = rings.withColumn("upto", F.sum("n").over(upto)).groupBy("size_class").agg(F.coalesce(F.min(F.when(F.col("upto") >= least_docs, F.col("far"))), F.max("far")).alias("reach"))
+    near = F.broadcast(apart.join(reach, "size_class").where("far <= reach").select("size_class", "other"))
+    return _quartiles(table.withColumnRenamed("size_class", "other").join(near, "other"), ["size_class"], measures)
+
+
+def bands(table: DataFrame, by_size: bool, measures: list[str], least_tokens: int = LEAST_TOKENS, least_docs: int = LEAST_DOCS) -> DataFrame:
+    """The quartiles of each measure for every language and script, and size class if `by_size`: `band_<group column>`, `low_<measure>`, `high_<measure>`."""
+    size = ["size_class"] if by_size else []
+    if by_size:
+        judges, widest = table, _around(table, measures, least_docs)
+    else:
+        judges = table.where(F.col("n_tokens") >= least_tokens)
+        widest = _drawn(_quartiles(judges, [], measures), _quartiles(table, [], measures), [], measures, least_docs)
+    here = table.select("kind", "script", *size).distinct()
+
+    def with_own(groups: DataFrame, by: list[str]) -> DataFrame:
+        """All groups, also those without a document that can judge."""
+        found = _quartiles(judges, by, measures).select(*[F.col(c).alias(f"own_{c}") for c in by], "n", *measures)
+        at = F.lit(True)
+        for c in by:
+            at = at & F.col(c).eqNullSafe(F.col(f"own_{c}"))
+        return groups.join(found, at, "left").select(*groups.columns, F.coalesce("n", F.lit(0)).alias("n"), *measures)
+
+    by_script = _drawn(with_own(here.select("script", *size).distinct(), ["script", *size]), widest, size, measures, least_docs)
+    found = _drawn(with_own(here, ["kind", *size]), by_script, ["script", *size], measures, least_docs)
+    ranges = [c for m in measures for c in (F.col(m)[0].alias(f"low_{m}"), F.col(m)[1].alias(f"high_{m}"))]
+    return found.select(*[F.col(c).alias(f"band_{c}") for c in ("kind", "script", *size)], *ranges)
 
 
 def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", fence: float = FENCE, least_tokens: int = LEAST_TOKENS, least_docs: int = LEAST_DOCS, **vocabularies: str) -> DataFrame:
     """Counts, measures, `base_failed`, the `reasons` and `kept` of every document."""
     table = staged(measured(docs, doc_id, text, lang, **vocabularies).withColumn("size_class", _size_class()), "fertility")
-    limits = (fence, least_tokens, least_docs)
-    any_size = bands(table, ["kind"], [m for m in MEASURES if m not in BY_SIZE], *limits)
-    by_size = bands(table, ["kind", "size_class"], list(BY_SIZE), *limits).withColumnRenamed("band_kind", "band_kind_2")
+    limits = (least_tokens, least_docs)
+    any_size = staged(bands(table, False, [m for m in MEASURES if m not in BY_SIZE], *limits), "bands")
+    by_size = staged(bands(table, True, list(BY_SIZE), *limits), "bands").withColumnsRenamed({"band_kind": "band_kind_2", "band_script": "band_script_2"})
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    long_enough = F.col("n_tokens") >= least_tokens
-    at = F.col("kind").eqNullSafe(F.col("band_kind")) & long_enough
-    at_size = F.col("kind").eqNullSafe(F.col("band_kind_2")) & (F.col("size_class") == F.col("band_size_class")) & long_enough
-    outside = [F.when((F.col(m) < F.col(f"low_{m}")) | (F.col(m) > F.col(f"high_{m}")), F.lit(m)) for m in MEASURES]
+    at = F.col("kind").eqNullSafe(F.col("band_kind")) & F.col("script").eqNullSafe(F.col("band_script"))
+    at_size = F.col("kind").eqNullSafe(F.col("band_kind_2")) & F.col("script").eqNullSafe(F.col("band_script_2")) & (F.col("size_class") == F.col("band_size_class"))
+    error = F.sqrt(F.greatest(F.lit(1.0), least_tokens / F.greatest("n_tokens", F.lit(1))))
+    wide = {m: fence * error * F.greatest(F.col(f"high_{m}") - F.col(f"low_{m}"), F.lit(_NARROWEST[m])) for m in MEASURES}
+    outside = [F.when((F.col(m) < F.col(f"low_{m}") - wide[m]) | (F.col(m) > F.col(f"high_{m}") + wide[m]), F.lit(m)) for m in MEASURES]
     return (
         table.join(any_size, at, "left")
         .join(by_size, at_size, "left")
