@@ -17,6 +17,8 @@ from tidewater.sources.tables import Tables
 
 IDS_TO_SEND = 2_000_000  # 16 MB of row hashes or ids
 
+WORDS, PERCENT = 5, 80  # shingles and similarity of near duplicates
+
 _KEY = "__row"
 
 
@@ -45,9 +47,10 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, with the smallest doc_id, of every group of near duplicates; repeated rows of an id become one.
 
+    Near duplicates share at least PERCENT of their shingles of WORDS words.
     Documents without doc_id belong to no group and stay.
     """
-    found = jaccard_join.jaccard_components(docs)
+    found = jaccard_join.jaccard_components(docs, size=WORDS, percent=PERCENT)
     kept = _without(docs, found.where("doc_id <> component_id").select("doc_id"), "doc_id")
     again = staged(docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").select("doc_id"), "repeated")
     once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])

@@ -156,3 +156,12 @@ def test_pipeline(spark, sf_dir, documents, none):
 def test_pipeline_keeps_one_of_each_group(spark, sf_dir, odd):
     kept = corpus_pipeline.distinct_documents(spark, odd, sf_dir)
     assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "2", "None", "3", "4", "6", "7", "8", "9"])
+
+
+def test_pipeline_near_duplicates(spark, sf_dir):
+    """Three separate words replaced in 150: a similarity of 0.81 by five words."""
+    text = [f"word{i}" for i in range(150)]
+    copy = [f"other{i}" if i in (30, 70, 110) else w for i, w in enumerate(text)]
+    rows = [(1, " ".join(text)), (2, " ".join(copy)), (3, " ".join(copy[:100] + text[20:60]))]
+    kept = corpus_pipeline.distinct_documents(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), sf_dir)
+    assert {r.doc_id for r in kept.collect()} == {1, 3}

@@ -94,6 +94,23 @@ def test_bound_excludes_no_link():
         assert not linked or n == len(right) == shared or set(keys[row == 0]) & set(keys[row == 1])
 
 
+def test_bound_excludes_no_link_at_80():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    levels = jaccard_join.Levels(80)
+    for _ in range(200):
+        n = int(rng.integers(5, 900))
+        k = int(rng.integers(0, n // 8 + 2))
+        left = rng.integers(0, 2**63, n, dtype=np.uint64)
+        right = np.concatenate([left[: n - k], rng.integers(0, 2**63, int(rng.integers(0, k + 1)), dtype=np.uint64)])
+        sets, sizes = np.concatenate([np.sort(left), np.sort(right)]), np.array([len(left), len(right)])
+        shared = n - k
+        linked = 100 * shared >= 80 * (n + len(right) - shared)
+        row, keys = jaccard_join.bucket_keys(sets, sizes, levels)
+        assert not linked or n == len(right) == shared or set(keys[row == 0]) & set(keys[row == 1])
+
+
 def test_line_classes(spark, documents, odd, none):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8)))

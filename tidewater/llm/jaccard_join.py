@@ -23,6 +23,7 @@ doc_id takes its class but links nothing.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,7 +80,18 @@ class Levels:
             start.append(max(start[-1] + 1, start[-1] * 3 // 2))
         self.start = np.array(start)
         self.differ = np.array([differ(b - 1) for b in start[1:]])
-        self.parts = self.differ + 1 + np.maximum(1, -(-self.differ // 50))
+        least = -(-percent * self.start[:-1] // 100)  # the smallest set that is cut at a level
+        self.parts = np.array([self._parts(int(d), int(n)) for d, n in zip(self.differ, least)])
+
+    @staticmethod
+    def _parts(differ: int, least: int) -> int:
+        """A few more than elements can differ; when so many would mostly leave too few filled, as many as fill enough."""
+        parts = differ + 1 + max(1, -(-differ // 50))
+        filled = lambda p: -p * math.expm1(-least / p)
+        if filled(parts) < differ + 1:
+            while filled(parts) < differ + 1 + parts**0.5 / 2 and parts < 4 * least:
+                parts += max(1, parts // 50)
+        return parts
 
     def of(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows and the levels each meets its partners at: its own, and the next when a partner may reach it."""
