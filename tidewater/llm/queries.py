@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontaminate, fertility, jaccard_join, language_model, line_dedup, packing, token_counts, token_files, url_filter
+from tidewater.llm import chat, decontaminate, fertility, jaccard_join, language_model, line_dedup, mixing, packing, phrases, token_counts, token_files, url_filter, vector_codes
 from tidewater.llm.storage import staged
 from tidewater.sources.tables import Tables
 
@@ -120,3 +120,55 @@ def op3_chat_trees(t):
         F.sha2(learnt, 256).alias("loss_sha256"),
         F.char_length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+
+ORACLE_11 = r"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+  w AS MATERIALIZED (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+  n AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY 1),
+  g AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM (SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i : i + size - 1], ' '))) AS phrase FROM w, range(1, 6) s(size) WHERE len(w) >= size) GROUP BY ALL HAVING count(*) >= 100),
+  c AS MATERIALIZED (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, size FROM g WHERE size >= 2),
+  longer AS (SELECT l.lang, array_to_string(l.w[i : i + k - 1], ' ') AS phrase, max(l.a) AS f FROM c l, range(2, 5) x(k), range(1, 5) y(i) WHERE k < l.size AND i + k - 1 <= l.size GROUP BY 1, 2),
+  kept AS (SELECT c.* FROM c LEFT JOIN longer USING (lang, phrase) WHERE longer.f IS NULL OR 100 * longer.f < 100 * c.a),
+  cuts AS (SELECT kept.lang, kept.phrase, a, k, h.f AS l, r.f AS r, n, ((1000::HUGEINT * a * n) // (h.f::HUGEINT * r.f)) AS score FROM kept JOIN n USING (lang), range(1, 5) x(k)
+    JOIN g h ON h.lang = kept.lang AND h.phrase = array_to_string(w[1 : k], ' ') JOIN g r ON r.lang = kept.lang AND r.phrase = array_to_string(w[k + 1 : kept.size], ' ') WHERE k < kept.size),
+  best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM best QUALIFY rank <= 2000"""
+
+
+@query("op11_collocations", ORACLE_11)
+def op11_collocations(t):
+    return phrases.collocations(t.documents)
+
+
+def _oracle_12(rounds: int = vector_codes.ROUNDS) -> str:
+    """The rounds one after the other; every part with every entry of its codebook."""
+
+    def nearest(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (SELECT r, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (SELECT p.r, p.part, entry, list_sum(list_transform(range(1, len(x) + 1), lambda j: (x[j] - c[j]) * (x[j] - c[j])))::BIGINT AS d FROM p JOIN b{i} b ON b.part = p.part) GROUP BY 1, 2)"""
+
+    steps = []
+    for i in range(rounds):
+        steps.append(nearest(i))
+        steps.append(f"""m{i} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY j)::BIGINT[] AS c FROM (SELECT part, entry, j, sum(v)::HUGEINT AS s, count(*) AS n FROM (SELECT p.part, entry, unnest(x) AS v, unnest(range(len(x))) AS j FROM a{i} JOIN p ON p.r = a{i}.r AND p.part = a{i}.part) GROUP BY 1, 2, 3) GROUP BY 1, 2)""")
+        steps.append(f"b{i + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.c, b.c) AS c FROM b{i} b LEFT JOIN m{i} m ON m.part = b.part AND m.entry = b.entry)")
+    return f"""WITH e AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  p AS MATERIALIZED (SELECT r, k AS part, v[k * (len(v) // 8) + 1 : (k + 1) * (len(v) // 8)] AS x FROM e, range(8) t(k)),
+  b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS c FROM p WHERE r <= 16),
+  {", ".join(steps)}, {nearest(rounds)},
+  h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds}),
+  f AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY 1)
+  SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM e JOIN f USING (r), h"""
+
+
+@query("op12_vector_codes", _oracle_12())
+def op12_vector_codes(t):
+    books = vector_codes.fit(t.embeddings)
+    if books is None:
+        return t.spark.createDataFrame([], "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string")
+    codes = staged(vector_codes.encoded(t.embeddings, books, keep=("label",)), "codes")
+    return vector_codes.with_label_error(codes).select("vec_id", vector_codes.hex_code().alias("code"), "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+@query("op13_mixing")
+def op13_mixing(t):
+    return mixing.mixed(t.documents).select("doc_id", "size", "source_size", "target", "taken", "source", "times")

@@ -144,6 +144,28 @@ def run_hashes(hashes_: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
     return mixed(out + np.uint64(size))
 
 
+def joint_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the values in each span, in their order; spans may overlap."""
+    global _powers, _inverses
+    _powers, _inverses = _grown(_powers, _BASE, len(values)), _grown(_inverses, _INVERSE, len(values) + 1)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(mixed(values) * _powers[: len(values)], out=total[1:])
+    return mixed((total[end] - total[start]) * _inverses[start] + (end - start).astype(np.uint64))
+
+
+def joined(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the given spans one after the other, and where each begins (one more at the end)."""
+    sizes = end - start
+    places = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(sizes, out=places[1:])
+    return data[np.arange(places[-1]) + np.repeat(start - places[:-1], sizes)], places
+
+
+def strings(data: np.ndarray, places: np.ndarray) -> pa.Array:
+    """Bytes of whole characters as an Arrow column."""
+    return pa.StringArray.from_buffers(len(places) - 1, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(data))
+
+
 def bounds(doc: np.ndarray, rows: int) -> np.ndarray:
     """Where the words of each row begin; one more at the end."""
     return np.searchsorted(doc, np.arange(rows + 1))
