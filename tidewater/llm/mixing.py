@@ -12,11 +12,10 @@ what the probabilities say, until each coordinate but a few is 0 or 1.  The move
 goes either way with the odds that keep every document's probability.
 
 Each source is cut into blocks of documents by hash, and every block is its own
-flight; larger documents come first, so the at most two undecided documents of a
-block are among its smallest.  The undecided ones of many blocks meet in blocks
-again, until each source has one block left.  There the last ten undecided are
-landed at once: of all ways to take them, the one nearest to the words due, and to
-the documents due among these.
+flight, larger documents first.  Some documents of all sizes wait; these and the
+one or two undecided of many blocks meet in blocks again, until each source has one
+block left.  There the last fourteen at most are landed at once: of all ways to take
+them, the one nearest to the words due, and to the documents due among these.
 
 Draws come from a seed and the block, so reruns agree.  Null texts have size 0;
 documents without words are taken, but bring no words.  Null ids and repeated rows
@@ -41,7 +40,7 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 BLOCK = 4096  # documents of one flight
 SEED = 20_240_613
-HELD = 8  # documents, the smallest, that wait for the landing
+HELD = 12  # documents that wait for the landing
 _SURE = 1e-9  # a probability this near to 0 or 1 is there
 
 
@@ -106,12 +105,19 @@ def flight(chances: np.ndarray, sizes: np.ndarray, draw: np.random.Generator) ->
     return np.array(p)
 
 
-def landing(chances: np.ndarray, sizes: np.ndarray, draw: np.random.Generator, held: int = HELD) -> np.ndarray:
-    """Decide all: fly on without the last `held` undecided, then take of what is left what comes nearest to the words due, then to the documents due."""
+def held_flight(chances: np.ndarray, sizes: np.ndarray, draw: np.random.Generator, held: int = HELD) -> np.ndarray:
+    """A flight without `held` coordinates spread over all sizes, so that at most two more are left."""
     p = chances.astype(np.float64).copy()
     undecided = np.flatnonzero((p > _SURE) & (p < 1 - _SURE))
-    early = undecided[: max(0, len(undecided) - held)]
+    waiting = min(held, len(undecided))
+    early = np.delete(undecided, ((np.arange(waiting) + 0.5) * len(undecided) / max(1, waiting)).astype(int))
     p[early] = flight(p[early], sizes[early], draw)
+    return p
+
+
+def landing(chances: np.ndarray, sizes: np.ndarray, draw: np.random.Generator, held: int = HELD) -> np.ndarray:
+    """Decide all: after a flight, take of what is left what comes nearest to the words due, then to the documents due."""
+    p = held_flight(chances, sizes, draw, held)
     left = np.flatnonzero((p > _SURE) & (p < 1 - _SURE))
     choices = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
     words, count = np.abs((choices - p[left]) @ sizes[left]), np.abs((choices - p[left]).sum(axis=1))
@@ -119,15 +125,16 @@ def landing(chances: np.ndarray, sizes: np.ndarray, draw: np.random.Generator, h
     return np.round(p)
 
 
-def _fly(units: DataFrame, last: bool, seed: int) -> DataFrame:
-    """One flight for each (source, block); the last one lands."""
+def _fly(units: DataFrame, seed: int) -> DataFrame:
+    """One flight for each (source, block); a source of one block lands."""
 
     def group(table: pa.Table) -> pa.Table:
         size, mark = table.column("size").to_numpy(), table.column("mark").to_numpy()
         order = np.lexsort([mark, -size])
         own = [int(table.column(c)[0].as_py() or 0) for c in ("source_hash", "block", "round")]
         draw = np.random.default_rng([seed, *[x & 0xFFFFFFFF for x in own], (own[0] >> 32) & 0xFFFFFFFF])
-        ends = (landing if last else flight)(table.column("chance").to_numpy()[order], size[order], draw)
+        last = table.column("blocks")[0].as_py() == 1
+        ends = (landing if last else held_flight)(table.column("chance").to_numpy()[order], size[order], draw)
         back = np.empty(len(order))
         back[order] = ends
         return table.set_column(table.schema.get_field_index("chance"), "chance", pa.array(back))
@@ -156,16 +163,12 @@ def mixed(
     result = [units.where("chance = 0").select("doc_id", "source", "size", "source_size", "target", "whole", "chance")]
     open_ = units.where("chance > 0")
     turn = 0
-    while True:
-        # the last round is the one in which every source is one block
-        last = open_.where("blocks > 1").isEmpty()
-        flown = staged(_fly(open_, last, seed), "flown")
+    while not open_.isEmpty():
+        flown = staged(_fly(open_, seed), "flown")
         result.append(flown.where("chance = 0 OR chance = 1").select("doc_id", "source", "size", "source_size", "target", "whole", "chance"))
-        if last:
-            break
         turn += 1
-        # at most two documents of a block are undecided, so `block // 2` blocks meet in one
-        fewer = F.ceil(F.col("blocks") / max(2, block // 2)).cast("bigint")
+        # of a block, at most HELD + 2 documents are undecided
+        fewer = F.ceil(F.col("blocks") / max(2, block // (HELD + 2))).cast("bigint")
         open_ = flown.where("chance > 0 AND chance < 1").withColumns({"round": F.lit(turn), "block": F.floor(F.col("block") * fewer / F.col("blocks")).cast("bigint")}).withColumn("blocks", fewer)
     out = result[0]
     for more in result[1:]:
