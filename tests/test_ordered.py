@@ -136,10 +136,9 @@ def test_top_n_trims_before_the_shuffle(frame):
     assert "WindowGroupLimit" in plan
 
 
-@pytest.mark.parametrize("crowded", [0, 1_000_000], ids=["totals", "sliding"])
-def test_range_frame(frame, hot_rows, crowded):
+def test_range_frame(frame, hot_rows):
     outs = {"n": ("count", F.lit(1)), "s": ("sum", F.coalesce("v", F.lit(0)))}
-    got = {r["id"]: r for r in range_frame(frame, ["k"], F.col("t"), 5, outs, crowded=crowded, hot_rows=hot_rows).collect()}
+    got = {r["id"]: r for r in range_frame(frame, ["k"], F.col("t"), 5, outs, hot_rows=hot_rows).collect()}
     assert len(got) == 400
     for rows in by_key(sample()).values():
         for r in rows:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.dates import epoch_micros
+from tidewater.session import cut_lineage
 
 HOT_ROWS = 2_000_000  # rows of one key that one task may sort
 MAX_HOT_KEYS = 10_000  # at most this many keys can each hold 1/10000 of the rows
@@ -34,6 +35,7 @@ class Ordered:
     keys: tuple[str, ...]
     order: tuple[str | Column, ...]
     sliced: bool = False
+    steps: int = 0  # running columns added since the rows were last stored
 
     def window(self, reverse: bool = False):
         """Ascending by default; backwards only when the order is given by names."""
@@ -42,7 +44,7 @@ class Ordered:
         return Window.partitionBy(*parts).orderBy(*order)
 
     def using(self, df: DataFrame) -> Ordered:
-        return Ordered(df, self.keys, self.order, self.sliced)
+        return Ordered(df, self.keys, self.order, self.sliced, self.steps)
 
     def result(self) -> DataFrame:
         return self.df.drop(_SLICE)
@@ -177,14 +179,22 @@ def running(
     outs: dict[str, tuple[str, Column]],
     exclusive: bool = False,
     reverse: bool = False,
+    peers: bool = False,
 ) -> Ordered:
     """Add running `sum`, `count`, `max` or `min` columns, as ROWS frames.
 
+    With `peers` the rows that stand at the same place see each other (RANGE frames);
+    a slice never parts them when they agree in what the slices are cut along.
     `exclusive` leaves the current row out; `reverse` runs from the end of the key,
     as a growing frame over the reversed order (a frame up to the end of the
-    partition would be evaluated anew for every row).
+    partition would be evaluated anew for every row).  Of several steps over slices,
+    each after the first stores its rows, so the input is read twice however many
+    steps there are.
     """
-    w = o.window(reverse).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    if o.sliced and o.steps:  # rows and totals would both go back through the steps before
+        o = Ordered(cut_lineage(o.df), o.keys, o.order, True)
+    w = o.window(reverse)
+    w = w.rangeBetween(Window.unboundedPreceding, Window.currentRow) if peers else w.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
     local = {n: _FOLD[kind](c).over(w) for n, (kind, c) in outs.items()}
     if not o.sliced:
         return o.using(o.df.withColumns(local))
@@ -204,7 +214,7 @@ def running(
     joined = marked.join(carried, cond, "left")
     done = joined.withColumns({n: _combine(kind, F.col(f"__e_{n}"), F.col(f"__l_{n}")) for n, (kind, _) in outs.items()})
     extra = [f"__k_{p}" for p in parts] + [f"__{x}_{n}" for x in "le" for n in outs]
-    return o.using(done.drop(*extra))
+    return Ordered(done.drop(*extra), o.keys, o.order, True, o.steps + 1)
 
 
 def shift(
@@ -235,53 +245,40 @@ def shift(
     return run.using(run.df.withColumns(made).drop("__near"))
 
 
-CROWDED = 5_000  # rows of one key within a frame's reach that a sliding frame may go through per row
-
-
 def range_frame(
     df: DataFrame,
     keys: Sequence[str],
     position: Column,
     back: int,
     outs: dict[str, tuple[str, Column]],
-    crowded: int = CROWDED,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Running `sum` or `count` over the rows of a key at `position - back` .. `position`.
-
-    Rows are grouped by (key, cell of the position), so that a busy key spreads
-    over many tasks; the last `back` of each cell is also given to the next one.
-    Where a cell is crowded, a sliding frame would go through too many rows for
-    each row, and the difference of two running totals is taken instead.
+    """`sum`, `count`, `max` or `min` over the rows of a key at `position - back` .. `position`.
+
+    Positions are cut into cells as long as the frame, so a frame is the end of one
+    cell and the beginning of the next.  Every row goes to its own cell and, moved
+    on by `back`, to the next: there the moved rows from a position onward and the
+    own rows up to it are two growing frames, and neither subtracts anything.  A
+    busy key spreads over its cells, and a busy cell over slices, in the same way.
+    Rows without a position see the rows of their key without one.
     """
-    cell = 8 * back
-    placed = df.withColumn("__pos", position.cast("bigint")).withColumn("__home", F.floor(F.col("__pos") / cell))
-    densest = placed.groupBy(*keys, "__home").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if densest > crowded:
-        return _range_by_totals(placed.drop("__home"), keys, back, outs, hot_rows).drop("__pos")
-    late = F.col("__pos") - F.col("__home") * cell >= cell - back
-    copies = F.when(late, F.array("__home", F.col("__home") + 1)).otherwise(F.array("__home"))
-    spread = placed.withColumn("__cell", F.explode(copies))
-    w = Window.partitionBy(*keys, "__cell").orderBy("__pos").rangeBetween(-back, 0)
-    framed = spread.withColumns({n: _FOLD[kind](c).over(w) for n, (kind, c) in outs.items()})
-    return framed.where("__cell <=> __home").drop("__pos", "__home", "__cell")
-
-
-def _range_by_totals(df: DataFrame, keys: Sequence[str], back: int, outs: dict[str, tuple[str, Column]], hot_rows: int) -> DataFrame:
-    """Total up to a position minus the total before `position - back`, for each distinct position."""
-    filled = {f"{n}__filled": ("count", c) for n, (kind, c) in outs.items() if kind == "sum"}  # a frame of nulls has no sum
-    asked, outs = outs, {**outs, **filled}
-    sums = df.groupBy(*keys, "__pos").agg(*[_FOLD[kind](c).alias(f"__s_{n}") for n, (kind, c) in outs.items()])
-    values = [F.coalesce(f"__s_{n}", F.lit(0)).alias(f"__s_{n}") for n in outs]
-    nothing = [F.lit(0).cast(sums.schema[f"__s_{n}"].dataType).alias(f"__s_{n}") for n in outs]
-    ends = sums.select(*keys, F.col("__pos").alias("__at"), F.lit(1).alias("__end"), F.col("__pos").alias("__of"), *values)
-    starts = sums.select(*keys, (F.col("__pos") - back).alias("__at"), F.lit(0).alias("__end"), F.col("__pos").alias("__of"), *nothing)
-    o = ordered(ends.unionByName(starts), keys, ["__at", "__end"], hot_rows=hot_rows)
-    line = running(o, {f"__t_{n}": ("sum", F.col(f"__s_{n}")) for n in outs}).result()
-    side = lambda n, end: F.max(F.when(F.col("__end") == end, F.col(f"__t_{n}")))
-    frames = line.groupBy(*[F.col(k).alias(f"__f_{k}") for k in keys], "__of").agg(*[(side(n, 1) - side(n, 0)).alias(n) for n in outs])
-    frames = frames.withColumns({n: F.when(F.col(f"{n}__filled") > 0, F.col(n)) for n, (kind, _) in asked.items() if kind == "sum"}).drop(*filled)
-    cond = F.col("__pos") == F.col("__of")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__f_{k}"))
-    return df.join(frames, cond, "left").drop("__of", *[f"__f_{k}" for k in keys])
+    cell = max(1, back)
+    taken = [n for n in ("__at", "__cell", "__own") if n in df.columns]
+    if taken:
+        raise ValueError(f"columns {taken} are used inside")
+    inputs = {f"__i_{n}": c for n, (_, c) in outs.items()}
+    placed = df.withColumns({"__at": position.cast("bigint"), **inputs})
+    home = F.floor(F.col("__at") / cell)
+    own = F.struct(home.alias("__cell"), F.col("__at").alias("__at"), F.lit(True).alias("__own"))
+    moved = F.struct((home + 1).alias("__cell"), (F.col("__at") + back).alias("__at"), F.lit(False).alias("__own"))
+    sides = F.when(F.col("__at").isNull(), F.array(own)).otherwise(F.array(own, moved))
+    # of a moved row, only its values are needed
+    rest = [F.when(F.col("__side.__own"), F.col(c)).alias(c) if c not in keys else F.col(c) for c in df.columns]
+    copies = placed.withColumn("__side", F.explode(sides)).select(*rest, *inputs, "__side.*")
+    o = ordered(copies, [*keys, "__cell"], ["__at"], hot_rows=hot_rows)
+    of = lambda n, mine: F.when(F.col("__own") == mine, F.col(f"__i_{n}"))
+    o = running(o, {f"__p_{n}": (kind, of(n, True)) for n, (kind, _) in outs.items()}, peers=True)
+    o = running(o, {f"__s_{n}": (kind, of(n, False)) for n, (kind, _) in outs.items()}, reverse=True, peers=True)
+    made = {n: _combine(kind, F.col(f"__s_{n}"), F.col(f"__p_{n}")) for n, (kind, _) in outs.items()}
+    extra = [f"__{x}_{n}" for x in "ips" for n in outs]
+    return o.result().where("__own").withColumns(made).drop("__at", "__cell", "__own", *extra)

@@ -36,7 +36,7 @@ def bm25(df: DataFrame, doc: str, text: str, queries: dict[int, Sequence[str]],
     times = lambda piece: (F.length("__t") - F.length(F.replace(F.col("__t"), F.lit(piece), F.lit("")))) / len(piece)
     tf_of = {t: F.col(f"__tf{i}") for i, t in enumerate(terms)}
     counted = plain.select(
-        doc, (times(" ") / 2).alias("__len"), *[times(f" {t} ").alias(f"__tf{i}") for i, t in enumerate(terms)]
+        doc, F.when(F.col("__t") == "  ", 0.0).otherwise(times(" ") / 2).alias("__len"), *[times(f" {t} ").alias(f"__tf{i}") for i, t in enumerate(terms)]
     )
     facts = counted.agg(
         F.count(F.lit(1)).alias("n"), F.sum("__len").alias("total"), *[F.count_if(tf_of[t] > 0).alias(f"df_{i}") for i, t in enumerate(terms)]

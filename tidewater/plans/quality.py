@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidewater.functions.dates import day, epoch_micros, month
 from tidewater.operators import governance as G
+from tidewater.operators import parity as P
 from tidewater.operators import quality as Q
 from tidewater.operators.control import spread
 from tidewater.operators.ordered import ordered, shift
@@ -86,6 +87,33 @@ def reconcile(t):
     return Q.reconcile(t.orders, other, "o_orderkey", ["o_orderstatus", "o_totalprice"])
 
 
+COPY = """(SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 500 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 490 <> 7
+  UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 700 = 3)"""
+
+
+def _copy(t):
+    """A copy of the orders with some prices changed, some orders missing and some added."""
+    k = F.col("o_orderkey")
+    cols = ["o_custkey", "o_orderstatus"]
+    kept = t.orders.where(k % 490 != 7).select(k, *cols, F.when(k % 500 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"))
+    return kept.unionByName(t.orders.where(k % 700 == 3).select((-k).alias("o_orderkey"), *cols, "o_totalprice"))
+
+
+@query("parity_tree", f"""SELECT o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'only_left' WHEN a.o_orderkey IS NULL THEN 'only_right' ELSE 'differs' END AS status
+  FROM orders a FULL JOIN {COPY} b USING (o_orderkey) WHERE a.o_orderstatus IS NULL OR b.o_orderstatus IS NULL OR a.o_totalprice <> b.o_totalprice""")
+def parity_tree(t):
+    return P.differing_keys(t.orders, _copy(t), ["o_orderkey"], ["o_custkey", "o_orderstatus", "o_totalprice"])
+
+
+@query("parity_sums", f"""WITH a AS (SELECT o_orderstatus AS bucket, count(*) AS n, round(sum(o_totalprice), 2) AS price FROM orders GROUP BY 1), b AS (SELECT o_orderstatus AS bucket, count(*) AS n, round(sum(o_totalprice), 2) AS price FROM {COPY} GROUP BY 1)
+  SELECT bucket, a.n AS left_rows, b.n AS right_rows, a.price AS left_price, b.price AS right_price, false AS same FROM a JOIN b USING (bucket)""")
+def parity_sums(t):
+    """Rows, price totals and row checksums of both sides by status."""
+    sides = [P.checksums(df.select("o_orderkey", "o_orderstatus", "o_totalprice"), ["o_orderkey"], ["o_totalprice"], bucket="o_orderstatus") for df in (t.orders, _copy(t))]
+    l, r = (s.select("bucket", F.col("n").alias(f"{x}_rows"), F.round("sums.o_totalprice", 2).alias(f"{x}_price"), F.struct("total", "mixed").alias(f"{x}_sum")) for x, s in zip(("left", "right"), sides))
+    return l.join(r, "bucket").withColumn("same", F.col("left_sum").eqNullSafe(F.col("right_sum"))).drop("left_sum", "right_sum")
+
+
 @query("parity_gate", """SELECT o_orderstatus, count(*) AS left_rows, count(*) FILTER (WHERE o_orderkey % 97 <> 0) AS right_rows, (count(*) FILTER (WHERE o_orderkey % 97 <> 0))::DOUBLE / count(*) >= 0.999 AS passed FROM orders GROUP BY 1""")
 def parity_gate(t):
     left = t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("left_rows"))

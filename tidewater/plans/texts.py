@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import udfs as U
 from tidewater.functions.dates import day
+from tidewater.operators import search_index as I
 from tidewater.operators import text as X
 from tidewater.operators import vectors as V
 from tidewater.operators.control import spread
+from tidewater.operators.near_duplicates import near_duplicate_groups
 from tidewater.operators.ordered import range_frame
 from tidewater.plans.registry import query
 
@@ -19,7 +21,8 @@ TOKENS = r"list_filter(string_split(regexp_replace(lower(text), '[^\p{L} ]', ' '
   SELECT doc_id, round((len(list_filter(w, lambda x: x = 'orre')) + len(list_filter(w, lambda x: x = 'rewh')))::DOUBLE / len(w), 8) AS rank_score, substr(text, greatest(strpos(lower(text), 'orre') - 20, 1), 60) AS headline
   FROM d WHERE list_contains(w, 'orre') AND list_contains(w, 'rewh') AND NOT list_contains(w, 'thatin') AND contains(' ' || array_to_string(w, ' ') || ' ', ' of the ') ORDER BY 2 DESC, 1 LIMIT 10""")
 def fulltext_search(t):
-    return X.fulltext_search(t.documents, "doc_id", "text", ["orre", "rewh"], "of the", ["thatin"])
+    found = I.search(I.index_of(t.documents, "doc_id", "text"), ["orre", "rewh"], "of the", ["thatin"])
+    return I.with_headline(found, t.documents, "doc_id", "text", "orre").orderBy(F.desc("rank_score"), "doc_id")
 
 
 @query("inverted_index", f"SELECT term, doc_id, count(*) AS tf FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM documents) GROUP BY 1, 2")
@@ -95,14 +98,14 @@ def _bm25_sql(limit):
 
 @query("bm25", f"SELECT * FROM {_bm25_sql(10)}")
 def bm25(t):
-    return X.bm25(t.documents, "doc_id", "text", SEARCHES, 10)
+    return I.bm25_search(I.index_of(t.documents, "doc_id", "text"), SEARCHES, 10, "doc_id")
 
 
 @query("hybrid_rrf", f"""WITH a AS (SELECT vec_id AS doc_id, rank FROM {KNN} WHERE query = 0 AND rank <= 100), b AS (SELECT doc_id, rank FROM {_bm25_sql(100)} WHERE query = 1)
   SELECT doc_id, round(coalesce(1.0::DOUBLE / (60 + a.rank), 0) + coalesce(1.0::DOUBLE / (60 + b.rank), 0), 8) AS fused FROM a FULL JOIN b USING (doc_id) ORDER BY 2 DESC, 1 LIMIT 10""")
 def hybrid_rrf(t):
     dense = V.knn(t.embeddings, "vec_id", "embedding", {0: label_queries(t)[0]}, 100).withColumnRenamed("vec_id", "doc_id")
-    sparse = X.bm25(t.documents, "doc_id", "text", {1: SEARCHES[1]}, 100)
+    sparse = I.bm25_search(I.index_of(t.documents, "doc_id", "text"), {1: SEARCHES[1]}, 100, "doc_id")
     return V.reciprocal_rank_fusion([dense, sparse], "doc_id", 10)
 
 
@@ -162,6 +165,28 @@ def near_dup(t):
     return X.similar_names(t.part, "p_name", 0.5)
 
 
+def _groups_sql(records, threshold):
+    """Closure of all similar pairs: by recursion from each id to the smallest one it reaches."""
+    return f"""WITH RECURSIVE r AS MATERIALIZED ({records}), g AS MATERIALIZED (SELECT id, list_distinct(list_transform(range(1, length(n) + 2), lambda i: substr('  ' || n || ' ', i::BIGINT, 3))) AS g FROM (SELECT min(id) AS id, n FROM r GROUP BY n)),
+  t AS (SELECT id, len(g) AS n, unnest(g) AS t FROM g), s AS (SELECT x.id AS a, y.id AS b, count(*) AS c, any_value(x.n) + any_value(y.n) AS n FROM t x JOIN t y ON x.t = y.t AND x.id < y.id GROUP BY 1, 2),
+  p AS MATERIALIZED (SELECT a, b FROM s WHERE c >= {threshold} * (n - c) UNION ALL SELECT b, a FROM s WHERE c >= {threshold} * (n - c)),
+  c AS (SELECT id, id AS root FROM g UNION SELECT p.b, c.root FROM c JOIN p ON p.a = c.id WHERE c.root < p.b),
+  m AS (SELECT id, min(root) AS root FROM c GROUP BY 1)
+  SELECT r.id AS %s, m.root AS group_id FROM r JOIN (SELECT min(id) AS id, n FROM r GROUP BY n) f USING (n) JOIN m ON m.id = f.id"""
+
+
+@query("near_dup_groups", _groups_sql("SELECT p_partkey AS id, lower(p_name || ' ' || p_brand || ' ' || p_type) AS n FROM part", 0.8) % "p_partkey")
+def near_dup_groups(t):
+    """Parts whose name, brand and kind are nearly the same."""
+    return near_duplicate_groups(t.part, "p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type"), 0.8)
+
+
+@query("near_dup_customers", _groups_sql("SELECT c_custkey AS id, lower(c_mktsegment || ' ' || c_nationkey || ' ' || right(c_name, 7)) AS n FROM customer", 0.8) % "c_custkey")
+def near_dup_customers(t):
+    """Customers of one segment and nation with nearly the same number."""
+    return near_duplicate_groups(t.customer, "c_custkey", F.concat_ws(" ", "c_mktsegment", "c_nationkey", F.right("c_name", F.lit(7))), 0.8)
+
+
 @query("license_scan", r"""SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)licensed under the apache license') THEN 'apache' WHEN regexp_matches(text, '(?i)permission is hereby granted, free of charge|mit license') THEN 'mit'
   WHEN regexp_matches(text, '(?i)gnu (?:lesser |affero )?general public license') THEN 'gpl' WHEN regexp_matches(text, '(?i)redistribution and use in source and binary forms') THEN 'bsd' ELSE 'other' END AS license
   FROM documents WHERE regexp_matches(text, '(?i)licensed under the apache license|permission is hereby granted, free of charge|mit license|gnu (?:lesser |affero )?general public license|redistribution and use in source and binary forms|\blicen[sc]e\b|all rights reserved')""")

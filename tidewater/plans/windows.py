@@ -10,6 +10,7 @@ from tidewater.operators import patterns as P
 from tidewater.operators import sketches as S
 from tidewater.operators.ordered import ordered, range_frame, running, shift
 from tidewater.operators.ranking import latest, nth_highest, ntile, quantiles, ranked, top_n
+from tidewater.operators.sequences import Step, sequence_counts
 from tidewater.plans.basics import MONTHLY, SPEND, _spend, monthly
 from tidewater.plans.bindings import EMPLOYEES, ITEMS, ORDERS, PRODUCT_REVENUE, employees, items, orders, product_revenue
 from tidewater.plans.registry import query
@@ -211,6 +212,15 @@ def sliding_max(t):
     return series.withColumn("peak", F.max("total").over(w))
 
 
+@query("sliding_max_events", """SELECT event_id, event_type, max(value) OVER w AS peak, min(value) OVER w AS low, count(*) OVER w AS recent FROM events
+  WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW)""")
+def sliding_max_events(t):
+    """Largest and smallest value of the last six hours in each type, over all events."""
+    e = t.events.select("event_id", "event_type", "ts", "value")
+    outs = {"peak": ("max", F.col("value")), "low": ("min", F.col("value")), "recent": ("count", F.lit(1))}
+    return range_frame(e, ["event_type"], epoch_micros("ts"), 6 * 3_600_000_000, outs).drop("ts", "value")
+
+
 # ---- percentiles and sketches ----
 
 @query("median_per_group", f"SELECT customer_id, quantile_cont(amount, 0.5) AS median_amount FROM {ORDERS} GROUP BY 1")
@@ -257,6 +267,58 @@ def approx_top_k(t):
     return S.approx_top(t.part, "p_type", 6)
 
 
+WEEK = "date_trunc('week', ts)::DATE"
+
+
+def _weekly(t):
+    return t.events.select(day("ts").alias("d"), "event_type", "user_id", "value")
+
+
+@query("count_min_weeks", f"SELECT {WEEK} AS week, count(DISTINCT user_id) AS users, count(*) AS events, true AS never_below, true AS within_bound FROM events GROUP BY 1")
+def count_min_weeks(t):
+    """Daily Count-Min states merged to weeks; every user's estimate is held against the exact count."""
+    e, week = _weekly(t), F.trunc("d", "week").alias("week")
+    cells, heap = S.count_min_states(e, [F.col("d")], "user_id")
+    cells, _ = S.merge_count_min(cells, heap, [week])
+    exact = e.groupBy(week, "user_id").agg(F.count(F.lit(1)).alias("n"))
+    total = exact.groupBy("week").agg(F.sum("n").alias("events"), F.count(F.lit(1)).alias("users"))
+    got = S.count_min_estimates(cells, exact.select("week", "user_id"), ["week"], "user_id").join(exact, ["week", "user_id"]).join(total, "week")
+    over = F.col("estimate") - F.col("n")
+    return got.groupBy("week", "users", "events").agg(F.min(over >= 0).alias("never_below"), F.min(over <= F.ceil(F.col("events") * 0.001)).alias("within_bound"))
+
+
+@query("heavy_hitters", """WITH c AS (SELECT year(l_shipdate)::INTEGER AS y, l_returnflag, count(*) AS n FROM lineitem GROUP BY 1, 2), t AS (SELECT y, sum(n)::BIGINT AS total FROM c GROUP BY 1)
+  SELECT y, l_returnflag, n AS estimate, total FROM c JOIN t USING (y) WHERE n >= 0.3::DOUBLE * total""")
+def heavy_hitters(t):
+    """Return flags of at least three tenths of a year's lines, from monthly states."""
+    lines = t.lineitem.select(F.trunc("l_shipdate", "month").alias("m"), "l_returnflag")
+    cells, heap = S.merge_count_min(*S.count_min_states(lines, [F.col("m")], "l_returnflag"), [F.year("m").alias("y")])
+    return S.heavy_hitters(cells, heap, ["y"], "l_returnflag", 0.3)
+
+
+@query("kll_weeks", f"SELECT event_type, {WEEK} AS week, count(value) AS n, true AS median_close, true AS p95_close FROM events GROUP BY 1, 2")
+def kll_weeks(t):
+    """Weekly quantiles from daily KLL states; the share of values below each is held against the exact one."""
+    e, week = _weekly(t), F.trunc("d", "week").alias("week")
+    states = S.quantile_states(e, [F.col("event_type"), F.col("d")], "value")
+    got = S.merge_quantiles(states, [F.col("event_type"), week], {"median": 0.5, "p95": 0.95})
+    x, n = F.col("value"), F.col("n")
+    met = e.select("event_type", week, "value").join(got, ["event_type", "week"]).groupBy("event_type", "week", "n").agg(
+        *[F.count_if(x < F.col(q)).alias(f"{q}_low") for q in ("median", "p95")], *[F.count_if(x <= F.col(q)).alias(f"{q}_high") for q in ("median", "p95")])
+    close = lambda q, p: (F.col(f"{q}_low") <= n * (p + 0.015) + 1) & (F.col(f"{q}_high") >= n * (p - 0.015) - 1)
+    return met.select("event_type", "week", "n", close("median", 0.5).alias("median_close"), close("p95", 0.95).alias("p95_close"))
+
+
+@query("theta_weeks", f"""WITH s AS (SELECT DISTINCT {WEEK} AS week, user_id FROM events), n AS (SELECT week, count(*) AS size FROM s GROUP BY 1),
+  k AS (SELECT a.week, count(*) AS kept FROM s a JOIN s b ON b.user_id = a.user_id AND b.week = a.week - INTERVAL 7 DAY GROUP BY 1)
+  SELECT n.week, n.size, CASE WHEN p.size IS NOT NULL THEN coalesce(kept, 0) END AS kept, CASE WHEN p.size IS NOT NULL THEN n.size - coalesce(kept, 0) END AS gained, p.size - coalesce(kept, 0) AS lost
+  FROM n LEFT JOIN k USING (week) LEFT JOIN n p ON p.week = n.week - INTERVAL 7 DAY""")
+def theta_weeks(t):
+    """Users kept, gained and lost from week to week, from theta states alone (exact below 16 384 users a week)."""
+    states = S.set_states(_weekly(t), [F.trunc("d", "week").alias("week")], "user_id")
+    return S.set_changes(states, "week", F.date_add("week", 7))
+
+
 @query("group_array", """SELECT user_id, (rn - 1) // 1000 AS page, list(event_id ORDER BY rn) AS items FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) GROUP BY 1, 2""")
 def group_array(t):
     return S.paged_arrays(t.events.select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], "event_id")
@@ -379,6 +441,32 @@ def sequence_match(t):
     return P.sequence_match(t.events, "user_id", "ts", "event_id", _steps("view", "click", "purchase"))
 
 
+#: A user's events as one letter each, in order: a regular expression finds the same matches.
+LETTERS_SQL = "(SELECT user_id, count(*) AS events, string_agg(CASE event_type WHEN 'purchase' THEN 'p' WHEN 'view' THEN 'v' WHEN 'click' THEN 'c' ELSE 'x' END, '' ORDER BY ts, event_id) AS s FROM events GROUP BY 1)"
+
+
+@query("sequence_later", f"SELECT user_id, events, len(regexp_extract_all(s, 'v.*?p')) AS matches FROM {LETTERS_SQL}")
+def sequence_later(t):
+    """A view and, anywhere later, a purchase."""
+    view, purchase = _steps("view", "purchase")
+    return sequence_counts(t.events, "user_id", "ts", "event_id", [Step(view), Step(purchase)])
+
+
+@query("sequence_repeat", f"SELECT user_id, events, len(regexp_extract_all(s, 'vv.*?cp')) AS matches FROM {LETTERS_SQL}")
+def sequence_repeat(t):
+    """Two views in a row, then anywhere later a click and right after it a purchase."""
+    view, click, purchase = _steps("view", "click", "purchase")
+    return sequence_counts(t.events, "user_id", "ts", "event_id", [Step(view), Step(view, "next"), Step(click), Step(purchase, "next")])
+
+
+@query("sequence_within", """WITH e AS (SELECT *, lag(event_type) OVER w AS p, lag(ts) OVER w AS before FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+  SELECT user_id, count(*) AS events, count(*) FILTER (event_type = 'click' AND p = 'view' AND ts - before <= INTERVAL 2 DAY) AS matches FROM e GROUP BY 1""")
+def sequence_within(t):
+    """A click right after a view, at most two days later."""
+    view, click = _steps("view", "click")
+    return sequence_counts(t.events, "user_id", "ts", "event_id", [Step(view), Step(click, "next", within=2 * 86_400)])
+
+
 @query("ordered_chain", """WITH a AS (SELECT user_id, min(ts) AS t FROM events WHERE event_type = 'signup' GROUP BY 1), b AS (SELECT e.user_id, min(e.ts) AS t FROM events e JOIN a ON a.user_id = e.user_id AND e.ts > a.t WHERE event_type = 'view' GROUP BY 1)
   SELECT DISTINCT e.user_id FROM events e JOIN b ON b.user_id = e.user_id AND e.ts > b.t WHERE event_type = 'purchase'""")
 def ordered_chain(t):
