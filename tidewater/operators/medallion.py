@@ -17,10 +17,9 @@ def bronze(df: DataFrame, path: str, ts: str) -> str:
     return path
 
 
-def silver(spark: SparkSession, source: str, path: str, keys: Sequence[str], valid: Column) -> str:
-    """Valid rows, one per key."""
+def silver(spark: SparkSession, source: str, path: str, keys: Sequence[str], valid: Column, order: Sequence[str]) -> str:
+    """Valid rows, the newest per key by the `order` columns."""
     raw = spark.read.parquet(source)
-    order = [c for c in raw.columns if c not in keys][:1]
     latest(raw.where(valid), keys, order).write.mode("overwrite").partitionBy("ingest_day").parquet(path)
     return path
 

@@ -77,6 +77,13 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, compared: Sequence[st
     return l.join(r, key, "full").select(key, status.alias("status")).where("status IS NOT NULL")
 
 
+def timeliness(df: DataFrame, keys: Sequence[str], happened: Column, arrived: Column, days: int) -> DataFrame:
+    """`keys, n, late, timeliness`: the share of rows that arrived at most so many days after they happened; rows that have not arrived are late."""
+    on_time = F.coalesce(F.date_diff(arrived, happened) <= days, F.lit(False))
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(~on_time).alias("late"))
+    return counted.withColumn("timeliness", F.round(1 - F.col("late") / F.col("n"), 6))
+
+
 def volume_check(df: DataFrame, day_column: Column, back: int = 7) -> DataFrame:
     """Rows per day against the mean of the days before. The window is over one row per day."""
     daily = df.groupBy(day_column.alias("d")).agg(F.count(F.lit(1)).alias("n"))

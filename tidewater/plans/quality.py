@@ -79,6 +79,16 @@ def dq_dimensions(t):
     return sums.select(F.try_divide("k", "n").alias("completeness"), F.try_divide("u", "k").alias("uniqueness"), F.try_divide("v", "k").alias("validity"))
 
 
+@query("dq_timeliness", """WITH f AS (SELECT l_orderkey, min(l_shipdate)::DATE AS first FROM lineitem GROUP BY 1)
+  SELECT o_orderpriority, count(*) AS n, count(*) FILTER (WHERE coalesce(date_diff('day', o_orderdate::DATE, first) > 30, true)) AS late, round(1 - (count(*) FILTER (WHERE coalesce(date_diff('day', o_orderdate::DATE, first) > 30, true)))::DOUBLE / count(*), 6) AS timeliness
+  FROM orders LEFT JOIN f ON l_orderkey = o_orderkey GROUP BY 1""")
+def dq_timeliness(t):
+    """Orders whose first line was shipped within thirty days."""
+    first = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_shipdate").alias("first"))
+    shipped = t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority").join(first, "o_orderkey", "left")
+    return Q.timeliness(shipped, ["o_orderpriority"], day("o_orderdate"), day("first"), 30)
+
+
 @query("reconcile", """WITH b AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 100 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 97 <> 0)
   SELECT o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'only_left' ELSE 'differs' END AS status FROM orders a LEFT JOIN b USING (o_orderkey) WHERE b.o_orderkey IS NULL OR a.o_totalprice <> b.o_totalprice""")
 def reconcile(t):

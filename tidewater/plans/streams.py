@@ -16,6 +16,8 @@ from tidewater.plans.windows import SESSIONS
 from tidewater.session import scratch_path
 from tidewater.sources.tables import SCHEMAS
 from tidewater.streaming import jobs as S
+from tidewater.streaming.processors import timed_sessions
+from tidewater.streaming.watching import ProgressTable, summary
 
 SENTINEL = {"event_id": -1, "ts": dt.datetime(2100, 1, 1), "user_id": -1, "event_type": "sentinel", "value": 0.0, "props": "{}"}
 REAL = "event_type <> 'sentinel'"
@@ -147,10 +149,18 @@ def stream_checkpoint_restart(t):
     return spark.read.parquet(result).groupBy("event_id", "user_id").agg(F.count(F.lit(1)).alias("times"))
 
 
-@query("stream_progress", "SELECT count(*) + 1 AS input_rows, 0::BIGINT AS late_rows, 1::BIGINT AS batches FROM events")
+@query("stream_progress", "SELECT count(*) + 1 AS input_rows, 0::BIGINT AS late_rows, 1::BIGINT AS batches, (max(ts)::DATE + 27000)::VARCHAR > '2090' AS watermark_moved, 1::BIGINT AS state_rows, true AS has_rate FROM events")
 def stream_progress(t):
-    done = S.drain(S.tumbling(stream(t), "ts", "1 hour", ["event_type"]), S.batch_writer(scratch_path(t.spark, "progress")))
-    return S.progress_summary(t.spark, done).select("input_rows", "late_rows", "batches")
+    """A stream's reports from the table that a listener writes."""
+    listener = ProgressTable(t.spark)
+    t.spark.streams.addListener(listener)
+    try:
+        windows = S.tumbling(stream(t), "ts", "1 hour", ["event_type"])
+        reports = listener.of(S.drain(windows, S.batch_writer(scratch_path(t.spark, "progress"))))
+    finally:
+        t.spark.streams.removeListener(listener)
+    facts = summary(reports)
+    return facts.select("input_rows", "late_rows", "batches", (F.col("watermark") > "2090").alias("watermark_moved"), "state_rows", (F.col("rows_a_second") > 0).alias("has_rate"))
 
 
 # ---- state, duplicates, joins ----
@@ -168,6 +178,14 @@ def stream_stateful(t):
     return made.withColumn("total", F.round("total", 2))
 
 
+@query("stream_state_machine", """WITH o AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 12 HOUR THEN 1 ELSE 0 END AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+  s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS no FROM o) SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS events, count(DISTINCT event_type) AS kinds FROM s GROUP BY user_id, no""")
+def stream_state_machine(t):
+    """Sessions by a state processor with a value, a map and a timer."""
+    made = S.drained(timed_sessions(stream(t), "user_id", "ts", "event_type", 12 * 3600)).where("user_id >= 0")
+    return made.withColumns({c: as_wall_clock(c) for c in ("session_start", "session_end")})
+
+
 @query("join_stream_static", "SELECT c_mktsegment, count(*) AS n, round(sum(value), 2) AS total FROM events JOIN customer ON user_id = c_custkey GROUP BY 1")
 def join_stream_static(t):
     c = t.customer.select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
@@ -210,8 +228,8 @@ def stream_foreach_merge(t):
     feed = S.file_stream(spark, f"{sliced_feed(t)}/*", SCHEMAS["events"], files_per_batch=1)
     flat = feed.select(F.col("user_id").alias("id"), kind.alias("name"), F.col("value").alias("city_code"), op.alias("op"), "ts", "event_id")
     merge = lambda old, batch: M.cdc_merge(old, batch, "id", "op", ["ts", "event_id"])
-    done = S.drain(flat, S.merging_sink(spark, path, merge))
-    return S.newest_version(spark, path, done)
+    S.drain(flat, S.merging_sink(spark, path, merge))
+    return S.newest_version(spark, path)
 
 
 @query("incremental_mv", "SELECT event_type, ts::DATE AS d, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
@@ -225,8 +243,8 @@ def incremental_mv(t):
         return old.unionByName(new).groupBy("event_type", "d").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
     feed = S.file_stream(spark, f"{sliced_feed(t)}/*", SCHEMAS["events"], files_per_batch=1)
-    done = S.drain(feed.select("event_type", "ts", "value"), S.merging_sink(spark, path, merge))
-    return S.newest_version(spark, path, done).withColumn("total", F.round("total", 2))
+    S.drain(feed.select("event_type", "ts", "value"), S.merging_sink(spark, path, merge))
+    return S.newest_version(spark, path).withColumn("total", F.round("total", 2))
 
 
 @query("stream_dlq", "SELECT CASE WHEN event_id % 20 = 0 THEN 'dead_letter' ELSE 'good' END AS route, count(*) AS n FROM events GROUP BY 1")

@@ -182,10 +182,12 @@ def merging_sink(spark: SparkSession, path: str, merge: Callable[[DataFrame, Dat
     return write
 
 
-def newest_version(spark: SparkSession, path: str, query: StreamingQuery) -> DataFrame:
-    """The version that the last finished batch wrote."""
-    done = [p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0]
-    return spark.read.parquet(f"{path}/v={max(done) + 1 if done else 0}")
+def newest_version(spark: SparkSession, path: str) -> DataFrame:
+    """The newest finished version below `path`, however many batches made it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [f.getPath() for f in store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "v=*/_SUCCESS"))]
+    return spark.read.parquet(f"{path}/v={max(int(p.getParent().getName()[2:]) for p in done)}")
 
 
 def splitting_sink(path: str, poison: Column) -> Callable[[DataFrame, int], None]:
@@ -198,19 +200,6 @@ def splitting_sink(path: str, poison: Column) -> Callable[[DataFrame, int], None
     return write
 
 
-def progress_summary(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Batches, input rows, late rows dropped and rows in state of a finished run."""
-    progress = query.recentProgress
-    operators = [o for p in progress for o in p["stateOperators"]]
-    row = (
-        sum(1 for p in progress if p["numInputRows"] > 0),
-        sum(p["numInputRows"] for p in progress),
-        sum(o["numRowsDroppedByWatermark"] for o in operators),
-        sum(o["numRowsTotal"] for o in progress[-1]["stateOperators"]) if progress else 0,
-    )
-    return spark.createDataFrame([row], "batches bigint, input_rows bigint, late_rows bigint, state_rows bigint")
-
-
 def with_sentinel(spark: SparkSession, events: DataFrame, row: dict, schema: str) -> DataFrame:
     """A stream followed by one far-future row, which moves the watermark past every real row."""
     path = scratch_path(spark, "sentinel")
