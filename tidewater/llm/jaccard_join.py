@@ -134,21 +134,18 @@ def bucket_keys(grams: np.ndarray, sizes: np.ndarray, levels: Levels) -> tuple[n
     return rows[order], keys[order]
 
 
-SKETCH = "doc_id bigint, n_shingles bigint, sig_a bigint, sig_b bigint, point binary, keys array<bigint>"
+SKETCH = "doc_id bigint, n_shingles bigint, sig_a bigint, sig_b bigint, point binary"
 
 
-def sketches(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, fold: np.ndarray) -> DataFrame:
-    """Per document: the size of its set, two hashes of the set, its point and its bucket keys."""
+def sketches(docs: DataFrame, doc_id: str, text: str, size: int, fold: np.ndarray) -> DataFrame:
+    """Per document: the size of its set, two hashes of the set, and its point."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = Levels(percent)
         for batch in slices(batches, "text"):
             rows = batch.num_rows
             grams, sizes = sets_of(words(batch.column("text"), VISIBLE, fold), rows, size)
             doc = np.repeat(np.arange(rows), sizes)
             points = np.bincount(doc * DIMENSIONS + (grams >> np.uint64(58)).astype(np.int64), minlength=rows * DIMENSIONS).astype("<u4").reshape(rows, DIMENSIONS)
-            row, keys = bucket_keys(grams, sizes, levels)
-            ends = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
@@ -156,14 +153,27 @@ def sketches(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, f
                     pa.array(_sums(mixed(grams), sizes).view(np.int64)),
                     pa.array(_sums(mixed(grams ^ np.uint64(0xBF58476D1CE4E5B9)), sizes).view(np.int64)),
                     pa.array([p.tobytes() for p in points], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64))),
                 ],
-                ["doc_id", "n_shingles", "sig_a", "sig_b", "point", "keys"],
+                ["doc_id", "n_shingles", "sig_a", "sig_b", "point"],
             )
 
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(make, SKETCH)
 
 
+def keyed_documents(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, size: int, percent: int, fold: np.ndarray) -> DataFrame:
+    """`doc_id, key`: the bucket keys of the documents in `ids`, made from their texts and written nowhere."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = Levels(percent)
+        for batch in slices(batches, "text"):
+            row, keys = bucket_keys(*sets_of(words(batch.column("text"), VISIBLE, fold), batch.num_rows, size), levels)
+            yield pa.record_batch([batch.column("doc_id").take(pa.array(row)), pa.array(keys.view(np.int64))], ["doc_id", "key"])
+
+    named = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    few = F.broadcast(ids) if ids.count() <= IDS_TO_SEND else ids
+    return named.join(few, "doc_id", "left_semi").mapInArrow(make, "doc_id bigint, key bigint")
+
+
 class CountTree:
     """An R-tree over count vectors, packed by splitting at the median of the widest coordinate.
 
@@ -208,24 +218,27 @@ class CountTree:
         return self.order[at], bound
 
 
-def partners(points: np.ndarray, sizes: np.ndarray, docs: np.ndarray, roots: np.ndarray, percent: int, most: int) -> tuple[list[tuple[int, int]], bool]:
-    """Possible links between different components of one bucket, at most `most` per searching document; whether more were found."""
+def partners(points: np.ndarray, sizes: np.ndarray, docs: np.ndarray, roots: np.ndarray, percent: int, begin: int, end: int) -> tuple[list[tuple[int, int]], bool]:
+    """Possible links between different components of one bucket; whether there are more.
+
+    Everyone outside the component of the smallest document searches the tree and gives
+    out its candidates at the places `begin` to `end`, closest first.  The places do not
+    depend on the components and who searches has always searched, so that rounds over
+    one place after another meet every candidate once.
+    """
     tree = CountTree(points, sizes, percent)
-    names, counts = np.unique(roots, return_counts=True)
-    main = names[counts.argmax()]
+    main = roots[docs.argmin()]
     out, more = [], False
     for i in np.flatnonzero(roots != main).tolist():
         found, bound = tree.search(points[i].astype(np.int64), int(sizes[i]))
+        found = found[np.lexsort((docs[found], -bound / (sizes[found] + sizes[i])))]
         other = roots[found] != roots[i]
-        found, bound = found[other], bound[other]
-        if len(found) > most:
-            best = np.lexsort((docs[found], -bound / (sizes[found] + sizes[i])))[:most]
-            found, more = found[best], True
-        out += [(min(docs[i], docs[j]), max(docs[i], docs[j])) for j in found.tolist()]
+        more = more or bool(other[end:].any())
+        out += [(min(docs[i], docs[j]), max(docs[i], docs[j])) for j in found[begin:end][other[begin:end]].tolist()]
     return out, more
 
 
-def _searched(members: DataFrame, percent: int, most: int) -> DataFrame:
+def _searched(members: DataFrame, percent: int, begin: int, end: int) -> DataFrame:
     """`a, b, more` from all cells of buckets: members of a cell follow each other."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +248,7 @@ def _searched(members: DataFrame, percent: int, most: int) -> DataFrame:
         def flush() -> pa.RecordBatch:
             t = pa.Table.from_batches(held)
             points = np.frombuffer(b"".join(t.column("point").to_pylist()), "<u4").reshape(-1, DIMENSIONS)
-            pairs, more = partners(points, t.column("n_shingles").to_numpy(), t.column("doc_id").to_numpy(), t.column("root").to_numpy(), percent, most)
+            pairs, more = partners(points, t.column("n_shingles").to_numpy(), t.column("doc_id").to_numpy(), t.column("root").to_numpy(), percent, begin, end)
             pairs = pairs or ([(None, None)] if more else [])
             return pa.record_batch([pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64()), pa.array([more] * len(pairs), pa.bool_())], ["a", "b", "more"])
 
@@ -304,13 +317,13 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT, lower: bool = True, block: int = BLOCK) -> DataFrame:
     """`doc_id, n_shingles, component_id` of every row: the smallest doc_id that links of at least `percent` reach."""
     fold = LOWER if lower else SAME
-    table = staged(sketches(docs, doc_id, text, size, percent, fold), "sketches")
+    table = staged(sketches(docs, doc_id, text, size, fold), "sketches")
     filled = table.where("n_shingles > 0")
     classes = staged(filled.groupBy("sig_a", "sig_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = staged(filled.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "n_shingles", "point", "keys"), "points")
-    points = reps.select("doc_id", "n_shingles", "point")
+    ids = classes.select(F.col("rep").alias("doc_id")).where("doc_id is not null").distinct()
+    points = staged(filled.join(ids, "doc_id", "left_semi").select("doc_id", "n_shingles", "point"), "points")
 
-    keyed = reps.select("doc_id", F.explode("keys").alias("key")).repartition("key")
+    keyed = keyed_documents(docs, ids, doc_id, text, size, percent, fold).repartition("key")
     buckets = keyed.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("members")).where("low <> high")
     members = staged(keyed.join(buckets.hint("shuffle_hash"), "key").select("key", "doc_id", "low", "members"), "buckets")
 
@@ -320,7 +333,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     links = staged(same(tested), "links")
     roots = components(links)
 
-    most = 1
+    begin, end = 0, 1
     while True:
         crowd = members.where("members > 2").select("key", "doc_id", "members")
         placed = crowd.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
@@ -329,7 +342,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         cells = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         spread = placed.join(mixed_, "key").withColumn("mine", mine).withColumn("other", cells)
         spread = spread.select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "doc_id", "root")
-        found = staged(_searched(spread.join(points, "doc_id"), percent, most), "partners")
+        found = staged(_searched(spread.join(points, "doc_id"), percent, begin, end), "partners")
         more = found.agg(F.max("more").alias("m")).first()["m"]
         fresh = found.where("a is not null").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
         fresh = staged(fresh, "pairs")
@@ -339,7 +352,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
             roots = components(links)
         elif not more:
             break
-        most *= 8
+        begin, end = end, end * 8
 
     named = classes.join(roots, classes["rep"] == roots["node"], "left").select("sig_a", "sig_b", "n_shingles", F.coalesce("root", "rep").alias("class_root"))
     joined = table.join(named, ["sig_a", "sig_b", "n_shingles"], "left")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tidewater.llm.graphs import components
-from tidewater.llm.storage import staged
+from tidewater.llm.storage import settled, staged
 
 SHINGLE = 8
 SIMILARITY = 0.8
@@ -193,8 +193,12 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
 
     A document without words to begin with stays.
     """
-    gone = line_classes(docs, doc_id, text, similarity).where(~F.col("kept"))
-    drops = gone.groupBy(F.col("doc_id").alias("__doc"), F.col("version").alias("__version")).agg(F.collect_set("line_no").alias("__gone"))
+
+    def dropped() -> DataFrame:
+        gone = line_classes(docs, doc_id, text, similarity).where(~F.col("kept"))
+        return gone.groupBy(F.col("doc_id").alias("__doc"), F.col("version").alias("__version")).agg(F.collect_set("line_no").alias("__gone"))
+
+    drops = settled(dropped, "drops")
     at = F.col(doc_id).eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__version"))
     lines = F.split(F.col(text), "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))

@@ -2,13 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import threading
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.session import scratch_path
 
+_local = threading.local()  # `scopes`: the paths staged in each open `settled`
+
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The rows of `df`, written once and read back: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    if scopes := getattr(_local, "scopes", None):
+        scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def settled(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What `make` returns, staged; the tables that were staged on the way there are deleted, since nothing reads them again."""
+    scopes = _local.scopes = getattr(_local, "scopes", None) or []
+    scopes.append([])
+    try:
+        out = staged(make(), label)
+    finally:
+        paths = scopes.pop()
+    for path in paths[:-1]:
+        _delete(out.sparkSession, path)
+    if scopes:
+        scopes[-1].append(paths[-1])
+    return out
