@@ -8,11 +8,13 @@ by their own text.  An empty table passes through all stages.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import decontaminate, fertility, jaccard_join, line_dedup, packing
-from tidewater.llm.storage import staged
+from tidewater.llm.storage import settled, staged
 from tidewater.sources.tables import Tables
 
 IDS_TO_SEND = 2_000_000  # 16 MB of row hashes or ids
@@ -26,17 +28,20 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn(_KEY, F.xxhash64("doc_id", "text"))
 
 
-def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not in `gone`; that is sent to all tasks only when it is known to be small."""
-    gone = staged(gone.distinct(), "gone")
+def _without(docs: DataFrame, judged: Callable[[], DataFrame], key: str) -> DataFrame:
+    """Rows whose key `judged` does not give; these are sent to all tasks only when they are known to be few.
+
+    What the operator wrote on its way is deleted as soon as its verdict is stored.
+    """
+    gone = settled(lambda: judged().distinct(), "gone")
     return docs.join(F.broadcast(gone) if gone.count() <= IDS_TO_SEND else gone, key, "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     keyed = _keyed(docs)
-    verdicts = fertility.judged(keyed, doc_id=_KEY)
-    return _without(keyed, verdicts.where(~F.col("kept")).select(F.col("doc_id").alias(_KEY)), _KEY).select(*docs.columns)
+    rejected = lambda: fertility.judged(keyed, doc_id=_KEY).where(~F.col("kept")).select(F.col("doc_id").alias(_KEY))
+    return _without(keyed, rejected, _KEY).select(*docs.columns)
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,23 +50,23 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, with the smallest doc_id, of every group of near duplicates; repeated rows of an id become one.
+    """One document, with the smallest doc_id, of every group of near duplicates; equal rows of an id become one.
 
     Near duplicates share at least PERCENT of their shingles of WORDS words.
     Documents without doc_id belong to no group and stay.
     """
-    found = jaccard_join.jaccard_components(docs, size=WORDS, percent=PERCENT)
-    kept = _without(docs, found.where("doc_id <> component_id").select("doc_id"), "doc_id")
+    later = lambda: jaccard_join.jaccard_components(docs, size=WORDS, percent=PERCENT).where("doc_id <> component_id").select("doc_id")
+    kept = _without(docs, later, "doc_id")
     again = staged(docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").select("doc_id"), "repeated")
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.join(again, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     keyed = _keyed(docs)
-    found = decontaminate.contamination(keyed, Tables(spark, sf_dir).benchmark, doc_id=_KEY)
-    return _without(keyed, found.where("contaminated").select(F.col("doc_id").alias(_KEY)), _KEY).select(*docs.columns)
+    found = lambda: decontaminate.contamination(keyed, Tables(spark, sf_dir).benchmark, doc_id=_KEY).where("contaminated").select(F.col("doc_id").alias(_KEY))
+    return _without(keyed, found, _KEY).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
