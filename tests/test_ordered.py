@@ -171,3 +171,31 @@ def test_running_in_the_order_of_names(spark, hot_rows):
     got = running(ordered(df, ["k"], ["s", "id"], hot_rows=hot_rows), {"n": ("count", F.lit(1))}).result()
     want = sorted(range(200), key=lambda i: (names[i].encode(), i))
     assert {r["id"]: r["n"] for r in got.collect()} == {i: n + 1 for n, i in enumerate(want)}
+
+
+@pytest.mark.parametrize("listed", [2, 10_000])
+def test_any_number_of_hot_keys(spark, monkeypatch, listed):
+    from tidewater.operators import ordered as O
+    from tidewater.operators.skew import pairs_within, salted_join, split_hot_join
+
+    monkeypatch.setattr(O.hot_keys, "__defaults__", (O.HOT_ROWS, listed))
+    df = spark.range(600).selectExpr("id", "IF(id % 7 = 0, null, id % 6) AS k", "id * 37 % 101 AS v").repartition(4)
+    got = running(ordered(df, ["k"], ["v", "id"], hot_rows=10), {"n": ("count", F.lit(1)), "s": ("sum", F.col("v"))}).result()
+    own = {}
+    for r in sorted(df.collect(), key=lambda r: (r.v, r.id)):
+        own.setdefault(r.k, []).append(r)
+    want = {r.id: (i + 1, sum(x.v for x in rows[: i + 1])) for rows in own.values() for i, r in enumerate(rows)}
+    assert {r.id: (r.n, r.s) for r in got.collect()} == want
+    small = spark.createDataFrame([(i, f"name {i}") for i in range(6)], "k long, name string")
+    plain = sorted(map(tuple, df.join(small, "k").select("id", "name").collect()))
+    assert sorted(map(tuple, salted_join(df, small, ["k"], F.col("id"), hot_rows=10).select("id", "name").collect())) == plain
+    assert sorted(map(tuple, split_hot_join(df, small, "k", hot_rows=10).select("id", "name").collect())) == plain
+    pairs = pairs_within(df.where("id < 120"), ["k"], "id", hot_rows=5)
+    assert pairs.count() == sum(n * (n - 1) // 2 for n in (sum(r.id < 120 for r in rows) for k, rows in own.items() if k is not None))
+
+
+def test_names_with_one_beginning_are_sliced(spark):
+    df = spark.range(2000).selectExpr("1 AS k", "concat('Customer#', lpad(cast(id AS string), 9, '0')) AS s")
+    o = ordered(df, ["k"], ["s"], hot_rows=100)
+    sizes = [r["count"] for r in o.df.groupBy("__slice").count().collect()]
+    assert len(sizes) > 16 and max(sizes) <= 200

@@ -22,7 +22,7 @@ from tidewater.functions.dates import epoch_micros
 from tidewater.session import cut_lineage
 
 HOT_ROWS = 2_000_000  # rows of one key that one task may sort
-MAX_HOT_KEYS = 10_000  # at most this many keys can each hold 1/10000 of the rows
+LISTED = 10_000  # hot keys that go through the driver; more stay a stored table
 MAX_SLICE_BITS = 12  # up to 4096 slices per key
 
 _SLICE = "__slice"
@@ -50,25 +50,37 @@ class Ordered:
         return self.df.drop(_SLICE)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list:
-    """Keys with more than `hot_rows` rows, largest first.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, listed: int = LISTED) -> DataFrame | None:
+    """`keys, __n` of all keys with more than `hot_rows` rows; None when there is none."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
+    few = counts.limit(listed + 1).collect()
+    if not few:
+        return None
+    return df.sparkSession.createDataFrame(few, _nullable(counts.schema)) if len(few) <= listed else cut_lineage(counts)
+
+
+def _sent(df: DataFrame) -> DataFrame:
+    """Broadcast when that is known to be small."""
+    from tidewater.operators.skew import is_small
+
+    return F.broadcast(df) if is_small(df) else df
 
-    The list is bounded: beyond MAX_HOT_KEYS, a key left out holds less than
-    1/MAX_HOT_KEYS of the table, which is an ordinary partition's share.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.where(F.col("__n") > hot_rows).orderBy(F.desc("__n")).limit(MAX_HOT_KEYS).collect()
 
+def common_prefix(df: DataFrame, name: str) -> int:
+    """Bytes that all strings of a column begin with: those that the smallest and the largest share."""
+    low, high = (x.encode() if x else b"" for x in df.agg(F.min(name), F.max(name)).first())
+    return next((i for i, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))
 
-def numeric(df: DataFrame, name: str) -> Column:
-    """A double that grows with the column, for cutting it into slices."""
+
+def numeric(df: DataFrame, name: str, skip: int = 0) -> Column:
+    """A double that grows with the column, for cutting it into slices; of strings the six bytes after the first `skip`."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.DateType):
         return F.unix_date(F.col(name)).cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return epoch_micros(name).cast("double")
     if isinstance(kind, T.StringType):
-        first = F.hex(F.substring(F.encode(F.col(name), "utf-8"), 1, 6))
+        first = F.hex(F.substring(F.encode(F.col(name), "utf-8"), skip + 1, 6))
         return F.conv(F.rpad(first, 12, "0"), 16, 10).cast("double")
     return F.col(name).cast("double")
 
@@ -117,8 +129,12 @@ def ordered(
     `along` must not decrease along `order`; it defaults to the first order column.
     """
     cols = tuple(order)
+    hot = hot_keys(df, keys, hot_rows) if keys else None
+    if keys and hot is None:
+        return Ordered(df, tuple(keys), cols)
     if along is None:
-        along = numeric(df, order[0])
+        text = isinstance(df.schema[order[0]].dataType, T.StringType)
+        along = numeric(df, order[0], common_prefix(df, order[0]) if text else 0)
     if not keys:
         fine = 9
         facts = df.agg(F.count(F.lit(1)).alias("n"), _cut_points(along, fine).alias("c")).first()
@@ -130,29 +146,22 @@ def ordered(
             cuts = (facts["c"] or [])[every - 1 :: every]
         sliced = df.withColumn(_SLICE, _slice_of(along, F.lit(list(cuts)).cast("array<double>"), bits))
         return Ordered(sliced, (), cols, True)
-    hot = hot_keys(df, keys, hot_rows)
-    if not hot:
-        return Ordered(df, tuple(keys), cols)
-    spark = df.sparkSession
-    key_schema = _nullable(T.StructType([df.schema[k] for k in keys]))
-    sizes: dict[int, list[tuple]] = {}
-    for r in hot:
-        sizes.setdefault(_bits(r["__n"], hot_rows, least=3), []).append(tuple(r[k] for k in keys))
-    cut_rows = []  # in all about two numbers per `hot_rows` rows of the table
-    for bits, members in sizes.items():
-        picked = spark.createDataFrame(members, key_schema)
-        chosen = df.join(F.broadcast(picked), same(df, picked, keys), "left_semi")
-        cut_rows += [tuple(r) for r in chosen.groupBy(*keys).agg(_cut_points(along, bits).alias(_CUTS)).collect()]
-    bits = max(sizes)  # the search stops early in the shorter lists of smaller keys
-    schema = T.StructType([*key_schema, T.StructField(_CUTS, T.ArrayType(T.DoubleType()))])
-    cuts = spark.createDataFrame(cut_rows, schema)
+    level = F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("__n") / hot_rows))).cast("int") + 1
+    sized = hot.withColumn("__bits", F.least(F.lit(MAX_SLICE_BITS), F.greatest(F.lit(3), level)))
+    cuts = None  # in all about two numbers per `hot_rows` rows of the table
+    bits = sorted(r[0] for r in sized.select("__bits").distinct().collect())
+    for b in bits:
+        picked = _sent(sized.where(F.col("__bits") == b).select(*keys))
+        chosen = df.join(picked, same(df, picked, keys), "left_semi").groupBy(*keys).agg(_cut_points(along, b).alias(_CUTS))
+        cuts = chosen if cuts is None else cuts.unionByName(chosen)
+    cuts = cut_lineage(cuts)
     named = cuts.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], _CUTS)
     cond = F.lit(True)
     for k in keys:
         cond = cond & df[k].eqNullSafe(named[f"__hot_{k}"])
-    joined = df.join(F.broadcast(named), cond, "left")
+    joined = df.join(_sent(named), cond, "left")
     sliced = joined.withColumn(
-        _SLICE, F.when(F.col(_CUTS).isNull(), F.lit(0)).otherwise(_slice_of(along, F.col(_CUTS), bits))
+        _SLICE, F.when(F.col(_CUTS).isNull(), F.lit(0)).otherwise(_slice_of(along, F.col(_CUTS), max(bits)))  # the search stops early in the shorter lists of smaller keys
     )
     return Ordered(sliced.drop(_CUTS, *[f"__hot_{k}" for k in keys]), tuple(keys), cols, True)
 

@@ -61,7 +61,7 @@ def ranked(
     table when there are no keys, is ranked from the counts of its distinct values.
     """
     order = F.desc(value) if descending else F.asc(value)
-    if keys and not hot_keys(df, keys, hot_rows):
+    if keys and hot_keys(df, keys, hot_rows) is None:
         w = Window.partitionBy(*keys).orderBy(order)
         fn = {"rank": F.rank, "dense_rank": F.dense_rank, "cume_dist": F.cume_dist, "percent_rank": F.percent_rank}
         long = {"rank", "dense_rank"}
@@ -108,7 +108,7 @@ def numbered(
     When one value has too many ties for a task, it is the rank of the value plus
     the place among the ties, which are cut into slices of their own.
     """
-    if not hot_keys(df, [value], hot_rows):
+    if hot_keys(df, [value], hot_rows) is None:
         along = falling(numeric(df, value)) if descending else numeric(df, value)
         o = ordered(df, [], [F.desc(value) if descending else F.asc(value), F.asc(tiebreak)], along=along, hot_rows=hot_rows)
         return running(o, {out: ("count", F.lit(1))}).result()
@@ -148,7 +148,7 @@ def quantiles(
         schema = ", ".join(f"`{n}` double" for n in probs)
         return df.sparkSession.createDataFrame([tuple(found[p] for p in probs.values())], schema)
     known = df.where(F.col(value).isNotNull())
-    if not hot_keys(known, keys, hot_rows):
+    if hot_keys(known, keys, hot_rows) is None:
         return known.groupBy(*keys).agg(*[F.percentile(value, p).alias(n) for n, p in probs.items()])
     counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     cum = running(ordered(counts, keys, [value], hot_rows=hot_rows), {"__cum": ("sum", F.col("__n"))}).result()

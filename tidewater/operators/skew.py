@@ -37,23 +37,22 @@ def bounded_cross(df: DataFrame, small: DataFrame, max_rows: int = 10_000) -> Da
     return df.select("*", F.inline(literal))
 
 
-def _block_counts(df: DataFrame, keys: Sequence[str], hot: list, hot_rows: int, most: int) -> DataFrame:
-    """Hot key -> number of blocks; at most as many rows as `hot_keys` returns."""
-    schema = T.StructType([T.StructField(f"__h_{k}", df.schema[k].dataType, True) for k in keys] + [T.StructField("__blocks", T.IntegerType())])
-    rows = [(*[r[k] for k in keys], min(most, -(-r["__n"] // hot_rows))) for r in hot]
-    return df.sparkSession.createDataFrame(rows, schema)
+def _block_counts(keys: Sequence[str], hot: DataFrame, hot_rows: int, most: int | None = None) -> DataFrame:
+    """Hot key -> number of blocks."""
+    blocks = F.ceil(F.col("__n") / hot_rows).cast("int")
+    return hot.select(*[F.col(k).alias(f"__h_{k}") for k in keys], (F.least(blocks, F.lit(most)) if most else blocks).alias("__blocks"))
 
 
 def _with_blocks(df: DataFrame, keys: Sequence[str], counts: DataFrame) -> DataFrame:
     cond = F.lit(True)
     for k in keys:
         cond = cond & (df[k] == counts[f"__h_{k}"])
-    joined = df.join(F.broadcast(counts), cond, "left").drop(*[f"__h_{k}" for k in keys])
+    joined = df.join(F.broadcast(counts) if is_small(counts) else counts, cond, "left").drop(*[f"__h_{k}" for k in keys])
     return joined.withColumn("__blocks", F.coalesce("__blocks", F.lit(1)))
 
 
 def salted_join(
-    big: DataFrame, small: DataFrame, on: Sequence[str], row_key: Column, how: str = "inner", hot_rows: int = HOT_ROWS, salts: int = 1000
+    big: DataFrame, small: DataFrame, on: Sequence[str], row_key: Column, how: str = "inner", hot_rows: int = HOT_ROWS, salts: int | None = None
 ) -> DataFrame:
     """Join that splits the hot keys of `big` by a hash of its row key.
 
@@ -64,9 +63,9 @@ def salted_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a salted join cannot be {how}")
     hot = hot_keys(big, on, hot_rows)
-    if not hot:
+    if hot is None:
         return big.join(small, list(on), how)
-    counts = _block_counts(big, on, hot, hot_rows, salts)
+    counts = _block_counts(on, hot, hot_rows, salts)
     left = _with_blocks(big, on, counts).withColumn("__salt", F.pmod(F.xxhash64(row_key), F.col("__blocks")).cast("int"))
     right = _with_blocks(small, on, counts).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
     return left.drop("__blocks").join(right.drop("__blocks"), [*on, "__salt"], how).drop("__salt")
@@ -75,13 +74,13 @@ def salted_join(
 def split_hot_join(big: DataFrame, small: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Inner join in two parts: hot keys against a broadcast of their few partners, the rest shuffled."""
     hot = hot_keys(big, [key], hot_rows)
-    if not hot:
+    if hot is None:
         return big.join(small, key)
-    schema = T.StructType([T.StructField(key, big.schema[key].dataType, True)])
-    picked = big.sparkSession.createDataFrame([(r[key],) for r in hot if r[key] is not None], schema)
-    partners = small.join(F.broadcast(picked), key, "left_semi")
-    busy = big.join(F.broadcast(picked), key, "left_semi")
-    rest = big.join(F.broadcast(picked), key, "left_anti")
+    picked = hot.select(key).where(F.col(key).isNotNull())
+    picked = F.broadcast(picked) if is_small(picked) else picked
+    partners = small.join(picked, key, "left_semi")
+    busy = big.join(picked, key, "left_semi")
+    rest = big.join(picked, key, "left_anti")
     heavy = busy.join(F.broadcast(partners), key) if is_small(partners, max_rows) else salted_join(busy, partners, [key], F.struct(*busy.columns), hot_rows=hot_rows)
     return heavy.unionByName(rest.join(small, key))
 
@@ -98,9 +97,9 @@ def pairs_within(df: DataFrame, keys: Sequence[str], item: str, hot_rows: int =
     hot = hot_keys(named, keys, hot_rows)
     left = named.withColumnRenamed(item, "a")
     right = named.withColumnRenamed(item, "b")
-    if not hot:
+    if hot is None:
         return left.join(right, list(keys)).where("a < b")
-    counts = _block_counts(named, keys, hot, hot_rows, blocks)
+    counts = _block_counts(keys, hot, hot_rows, blocks)
     all_blocks = F.sequence(F.lit(0), F.col("__blocks") - 1)
     left = _with_blocks(left, keys, counts)
     left = left.withColumn("__x", F.pmod(F.xxhash64("a"), F.col("__blocks")).cast("int")).withColumn("__y", F.explode(all_blocks))
