@@ -218,16 +218,18 @@ class CountTree:
         return self.order[at], bound
 
 
-def partners(points: np.ndarray, sizes: np.ndarray, docs: np.ndarray, roots: np.ndarray, percent: int, begin: int, end: int) -> tuple[list[tuple[int, int]], bool]:
+def partners(points: np.ndarray, sizes: np.ndarray, docs: np.ndarray, roots: np.ndarray, firsts: np.ndarray, percent: int, begin: int, end: int) -> tuple[list[tuple[int, int]], bool]:
     """Possible links between different components of one bucket; whether there are more.
 
-    Everyone outside the component of the smallest document searches the tree and gives
-    out its candidates at the places `begin` to `end`, closest first.  The places do not
-    depend on the components and who searches has always searched, so that rounds over
-    one place after another meet every candidate once.
+    Everyone outside the component that was the largest in the first round (by `firsts`,
+    the roots then) searches the tree and gives out its candidates at the places `begin`
+    to `end`, closest first.  The places do not depend on the components and who searches
+    has always searched, so that rounds over one place after another meet every
+    candidate once.
     """
     tree = CountTree(points, sizes, percent)
-    main = roots[docs.argmin()]
+    names, counts = np.unique(firsts, return_counts=True)
+    main = roots[np.flatnonzero(firsts == names[counts.argmax()])[0]]
     out, more = [], False
     for i in np.flatnonzero(roots != main).tolist():
         found, bound = tree.search(points[i].astype(np.int64), int(sizes[i]))
@@ -248,7 +250,7 @@ def _searched(members: DataFrame, percent: int, begin: int, end: int) -> DataFra
         def flush() -> pa.RecordBatch:
             t = pa.Table.from_batches(held)
             points = np.frombuffer(b"".join(t.column("point").to_pylist()), "<u4").reshape(-1, DIMENSIONS)
-            pairs, more = partners(points, t.column("n_shingles").to_numpy(), t.column("doc_id").to_numpy(), t.column("root").to_numpy(), percent, begin, end)
+            pairs, more = partners(points, t.column("n_shingles").to_numpy(), t.column("doc_id").to_numpy(), t.column("root").to_numpy(), t.column("first").to_numpy(), percent, begin, end)
             pairs = pairs or ([(None, None)] if more else [])
             return pa.record_batch([pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64()), pa.array([more] * len(pairs), pa.bool_())], ["a", "b", "more"])
 
@@ -332,16 +334,17 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     tested = staged(_bounded(pairs, points, percent), "pairs")
     links = staged(same(tested), "links")
     roots = components(links)
+    firsts = roots.select(F.col("node").alias("doc_id"), F.col("root").alias("first"))
 
     begin, end = 0, 1
     while True:
         crowd = members.where("members > 2").select("key", "doc_id", "members")
-        placed = crowd.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+        placed = crowd.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").join(firsts, "doc_id", "left").withColumns({"root": F.coalesce("root", "doc_id"), "first": F.coalesce("first", "doc_id")})
         mixed_ = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("rows")).where("r0 <> r1").select("key", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
         mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
         cells = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         spread = placed.join(mixed_, "key").withColumn("mine", mine).withColumn("other", cells)
-        spread = spread.select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "doc_id", "root")
+        spread = spread.select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "doc_id", "root", "first")
         found = staged(_searched(spread.join(points, "doc_id"), percent, begin, end), "partners")
         more = found.agg(F.max("more").alias("m")).first()["m"]
         fresh = found.where("a is not null").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
