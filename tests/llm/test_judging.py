@@ -5,6 +5,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from odd_rows import documents, none, odd  # noqa: F401
 from tidewater.llm import chat, fertility, language_model, url_filter
 from tidewater.llm.queries import URL_RULES
 from tidewater.llm.storage import staged
+from tidewater.llm.words import words
 
 SPLIT = "[ \t-\r]+"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -64,6 +67,44 @@ def test_every_document_has_a_band(spark):
         assert got[1003].kept and sum(not r.kept and not r.base_failed for d, r in got.items() if d < 1000) <= many // 25
 
 
+def plain_scores(lm, counts, tokens, scores):
+    """The same model, word by word: a product of choices, each with its own softmax."""
+    m, tree, t = lm.model, language_model.Tree(len(lm.model.classes.words)), lm.totals
+    ranked = {h: k for h, k in zip(m.classes.words.tolist(), m.classes.number.tolist())}
+    number = lambda word: ranked.get(int(words(pa.array([word])).hash[0]), 0)
+    start, end = tree.borders()
+    for doc_id, ws in tokens:
+        if str(doc_id) not in scores:
+            continue
+        before, total = [m.classes.end + 1] * 2, 0.0
+        for word in ws:
+            k = m.classes.end if word == "\n" else number(word)
+            r = m.context[before[1]] * m.weight[0] + m.context[before[0]] * m.weight[1]
+            top, deep, group, leaf = tree.path(np.array([k]))
+            for e in (top[0], *group, *leaf):
+                s = (m.target[start[e] : end[e]] @ r + m.bias[start[e] : end[e]]).astype(float)
+                total += (s[e - start[e]] - math.log(np.exp(s).sum())) / math.log(10)
+            if k == 0:
+                total += math.log10(counts[word] + 0.5) - math.log10(t.other_tokens + 0.5 * (t.other_distinct + 1))
+            before = [before[1], k]
+        assert math.isclose(scores[str(doc_id)], total, rel_tol=1e-4, abs_tol=1e-3), doc_id
+
+
+def test_language_model_grows():
+    assert [language_model.least_count(n) for n in (0, 4_000_000, 64_000_000)] == [2, 2, 16]
+    assert [language_model.shards_of(d, 1000) for d in (0, 1, 1_000_001, 50_000_000)] == [1, 1, 2, 50]
+    assert language_model.shards_of(50_000_000, 10_000_000) == 1
+
+
+def test_language_model_shards(spark):
+    """A round has as many training tasks as shards, whatever the session's setting."""
+    drawn = staged(spark.range(3_000).selectExpr("int(id % 7) w", "1 one", "2 two", "int(xxhash64(id) & 2147483647) key"), "draws")
+    for shards in (1, 5, 40):
+        parts = [language_model.dealt(drawn, turn, 3, shards) for turn in range(3)]
+        assert [p.rdd.getNumPartitions() for p in parts] == [shards] * 3
+        assert sum(p.count() for p in parts) == 3_000
+
+
 def test_language_model(documents, odd, none):
     frame = documents.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
     held = language_model.held_out("doc_id")
@@ -79,11 +120,13 @@ def test_language_model(documents, odd, none):
         assert g[:5] == w[:5] and math.isclose(g[5], w[5], rel_tol=1e-6, abs_tol=1e-3)
     prose = [r for r in rows if r.held_out and r.n_tokens > 20]
     assert sum(r.score for r in prose) > sum(r.base_score for r in prose)
-    one, two, norm = lm.model.tables()
-    import numpy as np
-
-    for a, b in ((0, 1), (5, lm.model.classes.end + 1)):
-        assert math.isclose(np.exp(one[b] + two[a] - norm[a, b]).sum(), 1, rel_tol=1e-9)
+    classes = lm.model.classes
+    every = np.arange(classes.end + 1)
+    for a, b in ((0, 1), (5, classes.end + 1)):
+        assert math.isclose(np.exp(lm.model.logs(every, np.full(len(every), b), np.full(len(every), a))).sum(), 1, rel_tol=1e-4)
+    times = Counter(str(r.doc_id) for r in rows)
+    short = sorted((r for r in rows if times[str(r.doc_id)] == 1), key=lambda r: (r.n_tokens, str(r.doc_id)))[:40]
+    plain_scores(lm, c, tokens, {str(r.doc_id): r.score for r in short})
     assert language_model.scored(none.select("doc_id", "text"), lm).count() == 0
     empty = language_model.fit(none)
     assert [r.base_score for r in language_model.scored(odd.where("doc_id = 4"), empty).collect()] == [0.0]
