@@ -108,7 +108,7 @@ def test_language_model_shards(spark):
 def test_language_model(documents, odd, none):
     frame = documents.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
     held = language_model.held_out("doc_id")
-    lm = language_model.fit(frame.where(~held), sent=50)
+    lm = language_model.fit(frame.where(~held))
     rows = language_model.scored(frame, lm).withColumn("held_out", held).collect()
     tokens = [(r.doc_id, [w for w in re.split(SPLIT, (r.text or "").translate(LOWER)) if w] + ["\n"]) for r in frame.collect()]
     out = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1
