@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -54,13 +54,38 @@ def calendar_of(df: DataFrame, c: str, name: str = "d", keys: Sequence[str] = ()
     return bounds.select(*keys, F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias(name))
 
 
+def missing_ranges(df: DataFrame, c: str, present: DataFrame, present_day: str, keys: Sequence[str] = ()) -> DataFrame:
+    """`keys, range_start, range_end, days`: unbroken runs of the days of `calendar_of` on which `present` has no row of the key; a null key is a key.
+
+    Days are held as words of 64 bits, filled before anything is shuffled, so a key
+    has at most as many rows as its calendar has words and no day without a row is
+    ever made.  The days just outside a key's bounds are marked like present ones: a
+    run lies between two marked days that follow each other.
+    """
+    number = lambda d: F.unix_date(d).cast("bigint")
+    bounds = df.groupBy(*keys).agg(F.min(number(day(c))).alias("__lo"), F.max(number(day(c))).alias("__hi")).where("__lo is not null")
+    ends = bounds.select(*keys, F.explode(F.array(F.col("__lo") - 1, F.col("__hi") + 1)).alias("__n"), "__lo", "__hi")
+    unknown = F.lit(None).cast("bigint")
+    held = present.select(*keys, number(day(present_day)).alias("__n"), unknown.alias("__lo"), unknown.alias("__hi")).where("__n is not null")
+    bit = F.expr("shiftleft(1L, CAST(pmod(__n, 64) AS INT))")
+    words = held.union(ends).groupBy(*keys, F.floor(F.col("__n") / 64).alias("__w")).agg(
+        F.bit_or(bit).alias("__bits"), F.max("__lo").alias("__lo"), F.max("__hi").alias("__hi"))
+    here = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit("__bits", i) == 1)
+    marked = words.withColumn("__days", F.transform(here, lambda i: F.col("__w") * 64 + i))
+    key = Window.partitionBy(*keys)
+    last = F.lag(F.element_at("__days", -1)).over(key.orderBy("__w"))
+    placed = marked.withColumns({"__last": last, "__lo": F.max("__lo").over(key), "__hi": F.max("__hi").over(key)})
+    before = F.concat(F.array("__last"), F.slice("__days", F.lit(1), F.size("__days") - 1))
+    met = placed.select(*keys, "__lo", "__hi", F.inline(F.arrays_zip(before.alias("p"), F.col("__days").alias("q"))).alias("__p", "__q"))
+    runs = met.where("__q - __p > 1 AND __p >= __lo - 1 AND __q <= __hi + 1")
+    at = lambda n: F.date_from_unix_date(n.cast("int"))
+    return runs.select(*keys, at(F.col("__p") + 1).alias("range_start"), at(F.col("__q") - 1).alias("range_end"), (F.col("__q") - F.col("__p") - 1).alias("days"))
+
+
 def days_without(df: DataFrame, c: str, present: DataFrame, present_day: str, keys: Sequence[str] = ()) -> DataFrame:
     """The days of `calendar_of` on which `present` has no row of the key; a null key is a key."""
-    held = present.select(*[F.col(k).alias(f"__p_{k}") for k in keys], day(present_day).alias("__p_d")).distinct()
-    cond = F.col("d") == F.col("__p_d")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__p_{k}"))
-    return calendar_of(df, c, keys=keys).join(held, cond, "left_anti")
+    runs = missing_ranges(df, c, present, present_day, keys)
+    return runs.select(*keys, F.explode(F.sequence("range_start", "range_end", F.expr("interval 1 day"))).alias("d"))
 
 
 def date_attributes(df: DataFrame, d: str) -> DataFrame:

@@ -8,8 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.dates import days_without
-from tidewater.operators.ordered import ordered, running
+from tidewater.functions.dates import missing_ranges
 from tidewater.operators.quality import row_hash
 
 
@@ -60,8 +59,4 @@ def apply_increment(existing: DataFrame, batch: DataFrame, strategy: str, keys:
 
 def backfill_ranges(df: DataFrame, date: str, done: DataFrame, done_date: str, keys: Sequence[str] = ()) -> DataFrame:
     """Unbroken ranges of days between the first and last day of a key of `df` (or of all of it) that are not in the run log."""
-    todo = days_without(df, date, done, done_date, keys)
-    o = running(ordered(todo, keys, ["d"]), {"__rn": ("count", F.lit(1))}).result()
-    return o.groupBy(*keys, F.date_sub("d", F.col("__rn").cast("int")).alias("__g")).agg(
-        F.min("d").alias("range_start"), F.max("d").alias("range_end"), F.count(F.lit(1)).alias("days")
-    ).drop("__g")
+    return missing_ranges(df, date, done, done_date, keys)

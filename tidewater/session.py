@@ -75,3 +75,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder; survives the loss of executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+TASK_ROWS = 1_000_000  # rows whose groups one task holds
+
+
+def by_rows(spark: SparkSession, rows: int, task_rows: int = TASK_ROWS) -> int:
+    """Partitions of at most about `task_rows` rows, one for each core at least; adaptive execution leaves them as they are."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // task_rows))
