@@ -32,3 +32,12 @@ def test_parts_grow_with_the_rows(spark):
     cores = spark.sparkContext.defaultParallelism
     assert by_rows(spark, 0) == cores
     assert by_rows(spark, 1000 * cores, 10) == 100 * cores
+
+
+def test_rows_meet_before_they_are_counted(spark):
+    """A task's groups are those of its part: rows are dealt by key in one exchange and counted after it."""
+    rows = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    other = rows.where("k % 10 <> 3").withColumn("v", F.when(F.col("k") % 50 == 0, F.col("v") + 1).otherwise(F.col("v")))
+    got = parity.differing_keys(rows, other, ["k"], ["v"])
+    assert {r["k"]: r["status"] for r in got.collect()} == {**{k: "only_left" for k in range(3, 2000, 10)}, **{k: "differs" for k in range(0, 2000, 50)}}
+    assert "REPARTITION_BY_NUM" in plan_text(got, "simple")

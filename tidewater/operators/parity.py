@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.session import cut_lineage
+from tidewater.session import by_rows, cut_lineage
 
 BUCKETS = 4096
 FAN = 16
@@ -66,8 +66,11 @@ def differing_keys(
     differing, _ = differing_buckets(*sums, buckets)
     where = (F.col(bucket) if bucket else bucket_of(keys, buckets)).isin(differing) if differing else F.lit(False)
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(compared)])
-    counted = lambda df, side: df.where(where).groupBy(*keys, row.alias("row")).agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(side))
-    both = counted(left, 1).unionByName(counted(right, -1)).groupBy(*keys, "row").agg(F.sum(F.col("n") * F.col("side")).alias("over"), F.max("side").alias("l"), F.min("side").alias("r"))
+    sided = lambda df, side: df.where(where).select(*keys, row.alias("row"), F.lit(side).alias("side"))
+    # rows hardly repeat within a task: they meet by key first, so that no task counts more than its part
+    parts = by_rows(left.sparkSession, sum(s.agg(F.sum("n")).first()[0] or 0 for s in sums))
+    met = sided(left, 1).unionByName(sided(right, -1)).repartition(parts, *keys)
+    both = met.groupBy(*keys, "row").agg(F.sum("side").alias("over"), F.max("side").alias("l"), F.min("side").alias("r"))
     by_key = both.groupBy(*keys).agg(F.max("l").alias("l"), F.min("r").alias("r"), F.max(F.abs("over")).alias("over"))
     status = F.when(F.col("l") < 0, "only_right").when(F.col("r") > 0, "only_left").otherwise("differs")
     return by_key.where("over <> 0").select(*keys, status.alias("status"))
