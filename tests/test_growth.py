@@ -41,3 +41,16 @@ def test_rows_meet_before_they_are_counted(spark):
     got = parity.differing_keys(rows, other, ["k"], ["v"])
     assert {r["k"]: r["status"] for r in got.collect()} == {**{k: "only_left" for k in range(3, 2000, 10)}, **{k: "differs" for k in range(0, 2000, 50)}}
     assert "REPARTITION_BY_NUM" in plan_text(got, "simple")
+
+
+def test_groups_go_to_the_rows(spark, sf_dir):
+    from tidewater.plans import QUERIES
+
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = QUERIES["approx_percentile"](spark, sf_dir)
+        assert "SortMergeJoin" not in plan_text(got, "simple")
+        assert all(r["median_close"] and r["p95_close"] for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
