@@ -54,3 +54,10 @@ def test_groups_go_to_the_rows(spark, sf_dir):
         assert all(r["median_close"] and r["p95_close"] for r in got.collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_pairs_are_dealt_before_they_are_counted(spark):
+    lines = spark.createDataFrame([(b, i) for b in range(30) for i in (b % 3, 10 + b % 2, 10 + b % 2, 99)] + [(None, 1), (1, None)], "b int, i int")
+    got = joins.basket_pairs(lines, "b", "i", 3, seed_items=2)
+    assert [tuple(r) for r in got.collect()] == [(10, 99, 15), (11, 99, 15), (0, 99, 10)]
+    assert "REPARTITION_BY_NUM" in plan_text(got, "simple")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.operators.ordered import HOT_ROWS, ordered, running
 from tidewater.operators.ranking import latest
 from tidewater.operators.skew import pairs_within
-from tidewater.session import cut_lineage
+from tidewater.session import by_rows, cut_lineage
 
 
 def asof_join(
@@ -88,8 +88,11 @@ def basket_pairs(df: DataFrame, basket: str, item: str, top: int = 10, seed_item
     frequent items give a bound that the answer must reach; items below it are
     dropped before the full pairing, which cannot change the result.
     """
-    named = df.select(F.col(basket).alias("__basket"), F.col(item).alias("__item"))
-    lines = cut_lineage(named.where("__basket IS NOT NULL AND __item IS NOT NULL").distinct())  # read three times below
+    spark = df.sparkSession
+    named = df.select(F.col(basket).alias("__basket"), F.col(item).alias("__item")).where("__basket IS NOT NULL AND __item IS NOT NULL")
+    # lines hardly repeat within a task: they meet by both columns first, so that no task holds more than its part
+    spread = named.repartition(by_rows(spark, named.count()), "__basket", "__item")
+    lines = cut_lineage(spread.distinct())  # read three times below
     support = lines.groupBy("__item").agg(F.count(F.lit(1)).alias("__n"))
     frequent = support.orderBy(F.desc("__n"), "__item").limit(seed_items).select("__item")
     few = lines.join(F.broadcast(frequent), "__item", "left_semi")  # at most seed_items rows per basket
@@ -98,7 +101,9 @@ def basket_pairs(df: DataFrame, basket: str, item: str, top: int = 10, seed_item
     bound = best[-1]["n"] if len(best) == top else 1
     if bound > 1 and not support.where(F.col("__n") < bound).isEmpty():
         lines = lines.join(support.where(F.col("__n") >= bound).select("__item"), "__item", "left_semi")
-    pairs = pairs_within(lines, ["__basket"], "__item")
+    n = F.col("__n").cast("double")
+    made = lines.groupBy("__basket").agg(F.count(F.lit(1)).alias("__n")).agg(F.coalesce(F.sum(n * (n - 1) / 2), F.lit(0.0))).first()[0]
+    pairs = pairs_within(lines, ["__basket"], "__item").repartition(by_rows(spark, int(made)), "a", "b")
     counts = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("pair_count"))
     return counts.orderBy(F.desc("pair_count"), "a", "b").limit(top)
 
