@@ -61,3 +61,18 @@ def test_pairs_are_dealt_before_they_are_counted(spark):
     got = joins.basket_pairs(lines, "b", "i", 3, seed_items=2)
     assert [tuple(r) for r in got.collect()] == [(10, 99, 15), (11, 99, 15), (0, 99, 10)]
     assert "REPARTITION_BY_NUM" in plan_text(got, "simple")
+
+
+def test_compaction_shuffles_no_row(spark, tmp_path, monkeypatch):
+    from tidewater.sources import sinks
+
+    source, target = str(tmp_path / "many"), str(tmp_path / "few")
+    spark.range(1000).repartition(9).write.parquet(source)
+
+    def refused(*_):
+        raise AssertionError("rows are shuffled")
+
+    monkeypatch.setattr(type(spark.range(1)), "repartition", refused)
+    sinks.compact(spark, source, target)
+    assert sorted(r[0] for r in spark.read.parquet(target).collect()) == list(range(1000))
+    assert len(list((tmp_path / "few").glob("*.parquet"))) == 1

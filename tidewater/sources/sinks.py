@@ -33,10 +33,13 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> str:
 
 
 def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 256 << 20) -> str:
-    """Rewrite many small files as few large ones in a new folder; the source is not touched."""
+    """Rewrite many small files as few large ones in a new folder; the source is not touched.
+
+    A task reads the files that make up its own one, and no row is shuffled.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(source)
     size = files.agg(F.sum("length").alias("b")).first()["b"] or 0
-    spark.read.parquet(source).repartition(max(1, -(-size // file_bytes))).write.mode("overwrite").parquet(target)
+    spark.read.parquet(source).coalesce(max(1, -(-size // file_bytes))).write.mode("overwrite").parquet(target)
     return target
 
 
