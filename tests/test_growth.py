@@ -76,3 +76,48 @@ def test_compaction_shuffles_no_row(spark, tmp_path, monkeypatch):
     sinks.compact(spark, source, target)
     assert sorted(r[0] for r in spark.read.parquet(target).collect()) == list(range(1000))
     assert len(list((tmp_path / "few").glob("*.parquet"))) == 1
+
+
+def test_state_is_written_once_a_batch():
+    from collections import Counter
+
+    import pandas as pd
+
+    from tidewater.streaming.processors import Sessions
+
+    calls = Counter()
+
+    class Value:
+        held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held
+
+        def update(self, v):
+            calls["value"] += 1
+            self.held = v
+
+    class Map(dict):
+        containsKey, getValue = dict.__contains__, dict.__getitem__
+
+        def updateValue(self, k, v):
+            calls["map"] += 1
+            self[k] = v
+
+    class Handle:
+        def deleteTimer(self, at):
+            calls["timer"] += 1
+
+        registerTimer = deleteTimer
+
+    p = Sessions("k", "at", "kind", 1000)
+    p.handle, p.open, p.kinds = Handle(), Value(), Map()
+    frame = lambda ms, kinds: pd.DataFrame({"at": pd.to_datetime(ms, unit="ms"), "kind": kinds})
+    assert list(p.handleInputRows(("u",), iter([frame(range(500), ["a", "b"] * 250)]), None)) == []
+    assert (calls["value"], calls["map"], calls["timer"]) == (1, 2, 1) and p.open.held == (0, 499_000, 500)
+    first, = p.handleInputRows(("u",), iter([frame([600, 5000], [None, "a"]), frame([9000], ["a"])]), None)
+    assert first[["events", "kinds"]].values.tolist() == [[501, 3], [1, 1]]
+    assert p.open.held == (9_000_000, 9_000_000, 1) and dict(p.kinds) == {("a",): (1,)}

@@ -6,6 +6,7 @@ uploads its changes to the checkpoint.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -24,7 +25,8 @@ def with_rocksdb(spark: SparkSession) -> SparkSession:
 class Sessions(StatefulProcessor):
     """One open session per key: bounds and size as a value, events by kind as a map.
 
-    Rows of a batch come in any order; they are taken by time.  An event after the gap
+    Rows of a batch come in any order; they are taken by time.  State is read once and
+    written once for a key and batch, not for each event.  An event after the gap
     closes the open session.  A timer one gap after the last event closes it when the
     watermark gets there, so an idle key leaves no state.
     """
@@ -38,36 +40,45 @@ class Sessions(StatefulProcessor):
         self.open = handle.getValueState("open", bounds)
         self.kinds = handle.getMapState("kinds", StructType([StructField("kind", StringType())]), StructType([StructField("n", LongType())]))
 
+    def _row(self, key, state: tuple, kinds: int) -> dict:
+        first, last, n = state
+        return {self.key: key, "session_start": pd.Timestamp(first, unit="us"), "session_end": pd.Timestamp(last, unit="us"), "events": n, "kinds": kinds}
+
     def _closed(self, key) -> dict:
-        first, last, n = self.open.get()
-        kinds = sum(1 for _ in self.kinds.keys())
+        row = self._row(key, self.open.get(), sum(1 for _ in self.kinds.keys()))
         self.open.clear()
         self.kinds.clear()
-        return {self.key: key, "session_start": pd.Timestamp(first, unit="us"), "session_end": pd.Timestamp(last, unit="us"), "events": n, "kinds": kinds}
+        return row
 
     def _frame(self, rows: list[dict]) -> pd.DataFrame:
         return pd.DataFrame(rows, columns=[self.key, "session_start", "session_end", "events", "kinds"])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        closed, before = [], self.open.get()[1] if self.open.exists() else None
-        events = pd.concat(rows)
-        at = events[self.ts].astype("datetime64[us]").astype("int64")
-        for micros, kind in sorted(zip(at.tolist(), events[self.kind].tolist()), key=lambda e: (e[0], e[1] or "")):
-            if self.open.exists():
-                first, last, n = self.open.get()
-                if micros - last > self.gap_ms * 1000:
-                    closed.append(self._closed(key[0]))
-                    first, last, n = micros, micros, 0
-            else:
-                first, last, n = micros, micros, 0
-            self.open.update((min(first, micros), max(last, micros), n + 1))
-            kind = ("" if kind is None else kind,)
-            self.kinds.updateValue(kind, (1 + (self.kinds.getValue(kind)[0] if self.kinds.containsKey(kind) else 0),))
-        last = self.open.get()[1]
-        if before is not None and before != last:
+        events = [e for batch in rows for e in zip(batch[self.ts].astype("datetime64[us]").astype("int64").tolist(), batch[self.kind].tolist())]
+        closed, state = [], self.open.get() if self.open.exists() else None
+        before = state[1] if state else None
+        stored = state is not None  # the map holds kinds of the open session
+        seen: Counter = Counter()  # those of this batch
+        for micros, kind in sorted(events, key=lambda e: (e[0], e[1] or "")):
+            first, last, n = state or (micros, micros, 0)
+            if micros - last > self.gap_ms * 1000:
+                kinds = {k[0] for k in self.kinds.keys()} if stored else set()
+                closed.append(self._row(key[0], state, len(kinds | seen.keys())))
+                if stored:
+                    self.kinds.clear()
+                stored, seen, first, last, n = False, Counter(), micros, micros, 0
+            state = (min(first, micros), max(last, micros), n + 1)
+            seen["" if kind is None else kind] += 1
+        self.open.update(state)
+        for kind, times in seen.items():
+            known = stored and self.kinds.containsKey((kind,))
+            self.kinds.updateValue((kind,), (times + (self.kinds.getValue((kind,))[0] if known else 0),))
+        if before is not None and before != state[1]:
             self.handle.deleteTimer(before // 1000 + self.gap_ms + 1)
-        self.handle.registerTimer(last // 1000 + self.gap_ms + 1)
-        yield self._frame(closed)
+        if before != state[1]:
+            self.handle.registerTimer(state[1] // 1000 + self.gap_ms + 1)
+        if closed:
+            yield self._frame(closed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield self._frame([self._closed(key[0])] if self.open.exists() else [])
