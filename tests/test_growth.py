@@ -121,3 +121,25 @@ def test_state_is_written_once_a_batch():
     first, = p.handleInputRows(("u",), iter([frame([600, 5000], [None, "a"]), frame([9000], ["a"])]), None)
     assert first[["events", "kinds"]].values.tolist() == [[501, 3], [1, 1]]
     assert p.open.held == (9_000_000, 9_000_000, 1) and dict(p.kinds) == {("a",): (1,)}
+
+
+def test_words_are_packed_before_the_shuffle(spark, monkeypatch, tmp_path):
+    from tidewater.operators import search_index
+
+    rows = [(1, "a b a c " * 300), (2, None), (3, ""), (4, "b b"), (4, "b b"), (4, "a"), (None, "a"), (5, "z Ab ab")]
+    dealt = []
+    plain = type(spark.range(1)).repartition
+
+    def noted(df, *by):
+        if by == ("bucket", "cell"):
+            dealt.append(df.count())
+        return plain(df, *by)
+
+    monkeypatch.setattr(type(spark.range(1)), "repartition", noted)
+    index = search_index.build_index(spark.createDataFrame(rows, "id int, body string"), "id", "body", str(tmp_path / "i"))
+    assert dealt and dealt[0] <= 3 + 1 + 1 + 1 + 2  # a document's words, not 1208
+    got = {(r["term"], r["doc"], r["n_words"], r["tf"], tuple(r["positions"])) for r in index.postings(["a", "b", "ab"]).collect() if r["doc"] != 1}
+    assert got == {("b", 4, 2, 4, (0, 0, 1, 1)), ("a", 4, 1, 1, (0,)), ("ab", 5, 3, 2, (1, 2))}
+    long = {r["term"]: r["positions"] for r in index.postings(["a", "b", "c"]).where("doc = 1").collect()}
+    assert long["b"] == list(range(1, 1200, 4)) and long["a"] == sorted([*range(0, 1200, 4), *range(2, 1200, 4)])
+    assert (index.n_docs, index.n_words) == (7, 1208)

@@ -12,9 +12,12 @@ give k scores, and only cells that can reach the k-th of them are read.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,7 @@ from tidewater.session import cut_lineage, scratch_path
 K1, B = 1.2, 0.75  # fixed values: the usual BM25 parameters
 BUCKETS = 64
 CELL_DOCS = 1024
+PACK_WORDS = 500_000  # of the documents that are packed together
 SLACK = 1e-7  # scores are compared after rounding to 8 digits
 
 
@@ -65,8 +69,39 @@ def _share(tf: Column, n_words: Column, mean: float) -> Column:
     return tf * (K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * n_words / F.lit(mean)))
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each document and folder: its terms joined by blanks, and the positions of each from its start on.
+
+    So a word costs the shuffle a position, and only a document's distinct terms their letters.
+    """
+    for whole in batches:
+        upto = np.cumsum(pc.list_value_length(whole.column("w")).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < whole.num_rows:  # documents of about PACK_WORDS words at a time
+            before = upto[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(upto, before + PACK_WORDS, "right")))
+            batch, at = whole.slice(at, end - at), end
+            flat, sizes = batch.column("w").flatten(), pc.list_value_length(batch.column("w")).to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            named = flat.dictionary_encode()
+            code, bucket = named.indices.to_numpy(), batch.column("b").flatten().to_numpy()
+            order = np.lexsort((code, bucket, row))  # stable: positions stay ascending
+            row, code, bucket, place = row[order], code[order], bucket[order], place[order].astype(np.int32)
+            term = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (code[1:] != code[:-1])]))
+            r, b = row[term], bucket[term]
+            group = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (b[1:] != b[:-1])]))
+            cuts = pa.array(np.append(group, len(term)).astype(np.int32))
+            starts = (term - np.repeat(term[group], np.diff(np.append(group, len(term))))).astype(np.int32)
+            letters = pc.binary_join(pa.ListArray.from_arrays(cuts, named.dictionary.take(pa.array(code[term]))), " ")
+            places = pa.ListArray.from_arrays(pa.array(np.append(term[group], len(row)).astype(np.int32)), pa.array(place))
+            of = pa.array(r[group])
+            out = [batch.column("doc").take(of), batch.column("cell").take(of), pa.array(sizes[r[group]].astype(np.int32)), pa.array(b[group].astype(np.int32)), letters, pa.ListArray.from_arrays(cuts, pa.array(starts)), places]
+            yield pa.record_batch(out, ["doc", "cell", "n_words", "bucket", "terms", "starts", "positions"])
+
+
 def build_index(df: DataFrame, doc: str, text: str, path: str | None = None, buckets: int = BUCKETS, cell_docs: int = CELL_DOCS) -> SearchIndex:
-    """Write the index of all texts below `path`; one shuffle brings words to their (folder, cell).
+    """Write the index of all texts below `path`; one shuffle brings the terms of a document, with their positions, to their (folder, cell).
 
     Documents without an id are left out; a null or empty text is a document without words.
     """
@@ -76,8 +111,15 @@ def build_index(df: DataFrame, doc: str, text: str, path: str | None = None, buc
     n_docs = texts.count()
     cells = max(1, -(-n_docs // cell_docs))
     tokens = spread(texts.select(F.col(doc).alias("doc"), F.col(text).alias("text")), "doc").select("doc", F.pmod(F.xxhash64("doc"), F.lit(cells)).cast("int").alias("cell"), words("text").alias("w"))
-    each = tokens.select("doc", "cell", F.size("w").alias("n_words"), F.posexplode("w").alias("at", "term")).withColumn("bucket", _bucket(F.col("term"), buckets))
-    met = each.repartition("bucket", "cell").groupBy("bucket", "cell", "term", "doc", "n_words").agg(F.sort_array(F.collect_list("at")).alias("positions"))
+    dealt = tokens.where("size(w) > 0").withColumn("b", F.transform("w", lambda t: _bucket(t, buckets)))
+    kind = dict(dealt.dtypes)["doc"]
+    packed = dealt.mapInArrow(_packed, f"doc {kind}, cell int, n_words int, bucket int, terms string, starts array<int>, positions array<int>")
+    each = packed.repartition("bucket", "cell").select("bucket", "cell", "doc", "n_words", "starts", "positions", F.posexplode(F.split("terms", " ")).alias("i", "term"))
+    start = F.get("starts", F.col("i"))
+    tf = F.coalesce(F.get("starts", F.col("i") + 1), F.size("positions")) - start
+    met = each.select("bucket", "cell", "term", "doc", "n_words", F.slice("positions", start + 1, tf).alias("positions"))
+    if not texts.groupBy(doc).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():  # rows of one id and length are one document
+        met = met.groupBy("bucket", "cell", "term", "doc", "n_words").agg(F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"))
     rows = met.select("term", "cell", "doc", "n_words", F.size("positions").alias("tf"), "positions", "bucket")
     rows.sortWithinPartitions("bucket", "term", "cell", "doc").write.partitionBy("bucket").parquet(f"{path}/postings")
     stored = spark.read.schema(rows.schema).parquet(f"{path}/postings")
