@@ -143,3 +143,28 @@ def test_words_are_packed_before_the_shuffle(spark, monkeypatch, tmp_path):
     long = {r["term"]: r["positions"] for r in index.postings(["a", "b", "c"]).where("doc = 1").collect()}
     assert long["b"] == list(range(1, 1200, 4)) and long["a"] == sorted([*range(0, 1200, 4), *range(2, 1200, 4)])
     assert (index.n_docs, index.n_words) == (7, 1208)
+
+
+def test_records_of_one_template_are_not_compared_in_pairs(spark, monkeypatch):
+    from tidewater.operators import near_duplicates
+
+    compared = []
+    plain = near_duplicates._similar
+
+    def noted(pairs, sets, threshold):
+        compared.append(pairs.count())
+        return plain(pairs, sets, threshold)
+
+    monkeypatch.setattr(near_duplicates, "_similar", noted)
+    names = spark.range(400).select("id", F.format_string("automobile 15 %07d", F.col("id") * 7919).alias("name"))
+    names = names.unionByName(names.where("id = 9").select(F.lit(900).cast("bigint").alias("id"), F.concat(F.expr("left(name, 20)"), F.lit("x")).alias("name")))
+    sets = {r["id"]: {f"  {r['name']} "[i : i + 3] for i in range(len(r["name"]) + 1)} for r in names.collect()}
+    want = {i: i for i in sorted(sets)}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and want[a] != want[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((want[a], want[b]))
+                want = {k: low if v == high else v for k, v in want.items()}
+    groups = {r["id"]: r["group_id"] for r in near_duplicates.near_duplicate_groups(names, "id", F.col("name")).collect()}
+    assert groups == want and want[900] == 9
+    assert sum(compared) < 2000  # of 80 000 pairs
