@@ -15,7 +15,7 @@ from odd_rows import documents, none, odd  # noqa: F401
 from tidewater.llm import chat, fertility, language_model, url_filter
 from tidewater.llm.queries import URL_RULES
 from tidewater.llm.storage import staged
-from tidewater.llm.words import words
+from tidewater.llm.words import LOWER as LOWER_BYTES, VISIBLE, words
 
 SPLIT = "[ \t-\r]+"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -208,3 +208,23 @@ def test_pipeline_near_duplicates(spark, sf_dir):
     rows = [(1, " ".join(text)), (2, " ".join(copy)), (3, " ".join(copy[:100] + text[20:60]))]
     kept = corpus_pipeline.distinct_documents(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), sf_dir)
     assert {r.doc_id for r in kept.collect()} == {1, 3}
+
+
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_language_model_learns_from_every_token(spark, documents, odd, rounds):
+    """The rounds' packets hold each training token once, with the two classes before it."""
+    texts = documents.select("text").unionByName(odd.select("text")).unionByName(documents.select("text").limit(3))
+    known = np.sort(np.unique(words(pa.array([" ".join(r.text or "" for r in texts.limit(40).collect())]), VISIBLE, LOWER_BYTES).hash))
+    classes = language_model.Classes(known, np.arange(len(known)) + 1)
+    want, got = Counter(), Counter()
+    for r in texts.collect():
+        w = words(pa.array([r.text], pa.string()), VISIBLE, LOWER_BYTES)
+        _, token, one, two = language_model.sequences(w, 1, classes.of(w.hash), classes.end)
+        want.update(zip(token.tolist(), one.tolist(), two.tolist()))
+    keyed = language_model.keyed(texts)
+    for turn in range(rounds):
+        drawn = language_model.packets(keyed.where(F.col("key") % rounds == turn), classes, rounds)
+        rows = language_model.dealt(drawn, turn, rounds, 2).collect()
+        for r in rows:
+            got.update(zip(*(x.tolist() for x in language_model.unpacked([bytes(r.tokens)], classes.end))))
+    assert sum(got.values()) > 1000 and got == want

@@ -1,4 +1,4 @@
-"""A log-bilinear language model, trained with noise-contrastive estimation on draws from the whole corpus.
+"""A log-bilinear language model, trained with noise-contrastive estimation on every token of the corpus.
 
 The vocabulary grows with the corpus: the words that occur at least as often as
 `least_count` says, the end of a text, and one class for all rarer words, which
@@ -9,11 +9,11 @@ three choices: among the most frequent words, the end, the rare class and the
 branches; among the groups of a branch; among the words of a group.  Each choice
 is normalised over all its alternatives by batched matrix products.
 
-All training texts are counted, and every token of them has the same chance to
-be drawn, so draws grow with the tokens.  The draws are dealt into shards of a
-bounded number of draws, as many as there are draws for; in each round every
-shard improves the model on its own, and a vector becomes the mean of the shards
-that met it.  When texts are scored, the vocabulary goes to every task; all other
+All training texts are counted, and the model learns from each of their tokens
+once.  A text belongs to one of the rounds; a round's tokens go in packets, dealt
+at random, to shards of a bounded number of tokens, as many as there are tokens
+for; every shard improves the model on its own, and a vector becomes the mean of
+the shards that met it.  When texts are scored, the vocabulary goes to every task; all other
 words are looked up by a join.
 
 Words are compared as 64-bit hashes.  A null or empty text is its end alone; rows
@@ -24,7 +24,7 @@ unknown and the model is uniform.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,12 +41,13 @@ HEAD = 32  # most frequent words, each a choice of its own
 BRANCHES = 32
 GROUP = 64  # least words of a full group
 ROUNDS = 3
-SHARE = 0.0625  # draws by training tokens, all rounds together
-SHARD = 1_000_000  # draws of a shard, at least DRAWS_BY_WORD for each word of the vocabulary
-DRAWS_BY_WORD = 8
+SHARD = 1_000_000  # tokens of a shard, at least TOKENS_BY_WORD for each word of the vocabulary
+TOKENS_BY_WORD = 64
+PACKET = 1024  # tokens that follow each other and are dealt together
+BATCH = 256  # packets whose tokens take a step together; fewer when a shard has less than STEPS times as many
+STEPS = 64
 NOISE = 64  # alternatives to a first choice, shared by a batch
-DEEP_NOISE = 4  # alternatives to each further choice
-BATCH = 1024
+DEEP_NOISE = 8  # alternatives to each further choice, shared by a batch's tokens that choose among the same ones
 RATE = 0.1
 PIECE = 1 << 19
 HELD = 1_000_000  # distinct counts that a task holds before it gives them away
@@ -145,22 +146,38 @@ def sequences(w: Words, rows: int, classes: np.ndarray, end: int) -> tuple[np.nd
     return doc, token, before[0], before[1]
 
 
-def draws(texts: DataFrame, classes: Classes, share: float = SHARE) -> DataFrame:
-    """`w, one, two, key`: classes of tokens drawn at random and of the two before each; the key is random."""
+def keyed(texts: DataFrame) -> DataFrame:
+    """`text, key`: the key tells a text's round and is different for equal texts."""
+    return texts.select("text", F.xxhash64(F.monotonically_increasing_id(), "text").bitwiseAND((1 << 31) - 1).alias("key"))
+
+
+def packets(texts: DataFrame, classes: Classes, rounds: int = ROUNDS) -> DataFrame:
+    """`tokens, key` from `text, key`: the classes of all tokens in packets, each behind the two classes before it.
+
+    The key is random, but leaves what the texts' keys leave when divided by `rounds`.
+    """
     sent = texts.sparkSession.sparkContext.broadcast(classes)
 
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng([11, TaskContext.get().partitionId()])
         known = sent.value
         for batch in slices(batches, "text"):
             w = words(batch.column("text"), VISIBLE, LOWER)
-            _, token, one, two = sequences(w, batch.num_rows, known.of(w.hash), known.end)
-            times = rng.poisson(share, len(token))
-            picked = np.repeat(np.arange(len(token)), times)
-            key = rng.integers(0, 1 << 31, len(picked))
-            yield pa.record_batch([pa.array(x.astype(np.int32)) for x in (token[picked], one[picked], two[picked], key)], ["w", "one", "two", "key"])
+            doc, token, one, two = sequences(w, batch.num_rows, known.of(w.hash), known.end)
+            at = np.arange(0, len(token), PACKET)
+            own = [np.concatenate([two[a : a + 1], one[a : a + 1], token[a : a + PACKET]]).astype("<i4").tobytes() for a in at.tolist()]
+            key = batch.column("key").to_numpy()[doc[at]] + rounds * rng.integers(0, 1 << 31, len(at))
+            yield pa.record_batch([pa.array(own, pa.binary()), pa.array(key)], ["tokens", "key"])
 
-    return texts.mapInArrow(draw, "w int, one int, two int, key int")
+    return texts.mapInArrow(pack, "tokens binary, key bigint")
+
+
+def unpacked(tokens: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class, class before and class before that, of all tokens in packets."""
+    held = [np.frombuffer(t, "<i4") for t in tokens]
+    w, one, two = (np.concatenate([h[k : len(h) - 2 + k] for h in held]) for k in (2, 1, 0))
+    two = np.where((one == end) | (two == end), end + 1, two)
+    return w, np.where(one == end, end + 1, one), two
 
 
 class Tree:
@@ -270,84 +287,111 @@ def first_model(classes: Classes, unigram: np.ndarray, width: int = WIDTH) -> Mo
     return Model(classes, context, np.zeros((tree.size, width), np.float32), bias.astype(np.float32), np.ones((2, width), np.float32))
 
 
-def improve(model: Model, w: np.ndarray, one: np.ndarray, two: np.ndarray, unigram: np.ndarray, seed: int, batch: int = BATCH, rate: float = RATE) -> tuple[Model, np.ndarray]:
-    """Noise-contrastive steps over all given draws, and which rows of the parameters they met.
+def improve(model: Model, draws: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]], unigram: np.ndarray, seed: int, rate: float = RATE) -> tuple[Model, np.ndarray]:
+    """A noise-contrastive step for each batch of tokens (class, class before and class before that), and which rows of the parameters they met.
 
-    The noise of a choice are alternatives by their shares; steps shrink by the squares of a row's slopes.
+    The noise of a choice are alternatives by their shares, drawn once in a batch for all tokens
+    that choose among the same ones; steps shrink by the squares of a row's slopes.
     """
     rng = np.random.default_rng(seed)
     tree = Tree(len(model.classes.words))
     upto = np.concatenate([[0], np.cumsum(tree.sums(unigram))])
     start, end = tree.borders()
     share = np.log(np.diff(upto) / (upto[end] - upto[start])).astype(np.float32)
-    offset = share + np.float32(np.log(DEEP_NOISE))
-    offset[: tree.first] = share[: tree.first] + np.float32(np.log(NOISE))
     context, target, bias, weight = (a.copy() for a in (model.context, model.target, model.bias, model.weight))
     least = np.float32(1e-1)
     squares = [np.full(len(a), least) for a in (context, target, bias, weight)]
 
-    def step(k: int, array: np.ndarray, at: np.ndarray, slope: np.ndarray) -> None:
-        order = np.argsort(at, kind="stable")
-        firsts = np.flatnonzero(np.concatenate([[True], np.diff(at[order]) != 0]))
-        rows, total = at[order][firsts], np.add.reduceat(slope[order], firsts, axis=0)
-        squares[k][rows] += (total * total).mean(axis=1) if total.ndim > 1 else total * total
+    def step(k: int, array: np.ndarray, rows: np.ndarray, total: np.ndarray) -> None:
+        squares[k][rows] += np.einsum("nw,nw->n", total, total) / np.float32(total.shape[1]) if total.ndim > 1 else total * total
         by = np.float32(rate) / np.sqrt(squares[k][rows])
         array[rows] += total * (by[:, None] if total.ndim > 1 else by)
 
     def chance(scores: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
-
-    order = rng.permutation(len(w))
-    for at in range(0, len(w), batch):
-        own = order[at : at + batch]
-        top, deep, group, word = tree.path(w[own])
-        first, second = context[one[own]], context[two[own]]
+        np.clip(scores, -30, 30, out=scores)
+        np.negative(scores, out=scores)
+        np.exp(scores, out=scores)
+        scores += 1
+        return np.reciprocal(scores, out=scores)
+
+    def runs(in_order: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(np.concatenate([[True], in_order[1:] != in_order[:-1]]))
+
+    def summed(at: np.ndarray, *slopes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distinct rows and the sums of their slopes."""
+        order = np.argsort(at)
+        firsts = runs(at[order])
+        return at[order[firsts]], *(np.add.reduceat(x[order], firsts, axis=0) for x in slopes)
+
+    def learn(choice: np.ndarray, r: np.ndarray, many: int) -> np.ndarray:
+        """Improve the choices, which are in order; slopes of the predictions."""
+        log_many = np.float32(np.log(many))
+        own = target[choice]
+        up = 1 - chance(np.einsum("nw,nw->n", own, r) + bias[choice] - share[choice] - log_many)
+        back = up[:, None] * own
+        same = runs(choice)
+        rows, slopes, errors = [choice[same]], [np.add.reduceat(up[:, None] * r, same, axis=0)], [np.add.reduceat(up, same)]
+        kin = start[choice]
+        firsts = runs(kin)
+        begin, upper = kin[firsts], end[choice[firsts]]
+        low, high = upto[begin], upto[upper]
+        noise = np.searchsorted(upto, low[:, None] + rng.random((len(firsts), many)) * (high - low)[:, None], "right") - 1
+        noise = np.clip(noise, begin[:, None], upper[:, None] - 1)
+        vectors, shift = target[noise], (bias - share)[noise] - log_many
+        ones = np.ones(PIECE, np.float32)
+        for k, (x, y) in enumerate(zip(firsts.tolist(), [*firsts[1:].tolist(), len(choice)])):
+            for at in range(x, y, 8192):
+                part = slice(at, min(at + 8192, y))
+                down = r[part] @ vectors[k].T
+                down += shift[k]
+                chance(down)
+                back[part] -= down @ vectors[k]
+                rows.append(noise[k])
+                slopes.append(-(down.T @ r[part]))
+                errors.append(-(ones[: len(down)] @ down))
+        met, total, error = summed(np.concatenate(rows), np.concatenate(slopes), np.concatenate(errors))
+        step(1, target, met, total)
+        step(2, bias, met, error)
+        return back
+
+    for w, one, two in draws:
+        order = np.argsort(w)
+        w, one, two = w[order], one[order], two[order]
+        top, deep, group, word = tree.path(w)
+        first, second = context[one], context[two]
         guess = first * weight[0] + second * weight[1]
-        drawn = np.minimum(np.searchsorted(upto, rng.random(NOISE) * upto[tree.first], "right") - 1, tree.first - 1)
-        up = 1 - chance(np.einsum("nw,nw->n", target[top], guess) + bias[top] - offset[top])
-        down = -chance(guess @ target[drawn].T + bias[drawn] - offset[drawn])
-        back = up[:, None] * target[top] + down @ target[drawn]
-        rows, slopes, errors = [top, drawn], [up[:, None] * guess, down.T @ guess], [up, down.sum(axis=0)]
-        for choice in (group, word):
-            low, high = upto[start[choice]], upto[end[choice]]
-            false = np.searchsorted(upto, low[:, None] + rng.random((len(choice), DEEP_NOISE)) * (high - low)[:, None], "right") - 1
-            false = np.clip(false, start[choice][:, None], end[choice][:, None] - 1)
-            among = np.concatenate([choice[:, None], false], axis=1)
-            vectors, r = target[among], guess[deep]
-            error = -chance(np.matmul(vectors, r[:, :, None])[:, :, 0] + bias[among] - offset[among])
-            error[:, 0] += 1
-            back[deep] += np.matmul(error[:, None, :], vectors)[:, 0]
-            rows.append(among.ravel())
-            slopes.append((error[:, :, None] * r[:, None, :]).reshape(-1, r.shape[1]))
-            errors.append(error.ravel())
-        met = np.concatenate(rows)
-        step(1, target, met, np.concatenate(slopes))
-        step(2, bias, met, np.concatenate(errors))
-        step(0, context, np.concatenate([one[own], two[own]]), np.concatenate([back * weight[0], back * weight[1]]))
-        step(3, weight, np.arange(2), np.stack([(back * first).sum(axis=0), (back * second).sum(axis=0)]))
+        by_top = np.argsort(top, kind="stable")
+        back = np.empty_like(guess)
+        back[by_top] = learn(top[by_top], guess[by_top], NOISE)
+        if len(deep):
+            r = guess[deep]
+            back[deep] += learn(group, r, DEEP_NOISE) + learn(word, r, DEEP_NOISE)
+        met, total = summed(np.concatenate([one, two]), np.concatenate([back * weight[0], back * weight[1]]))
+        step(0, context, met, total)
+        step(3, weight, np.arange(2), np.stack([np.einsum("nw,nw->w", back, first), np.einsum("nw,nw->w", back, second)]))
     moved = np.concatenate([s > least for s in (squares[0], np.maximum(squares[1], squares[2]), squares[3])])
     return Model(model.classes, context, target, bias, weight), moved
 
 
 def shards_of(drawn: int, vocabulary: int) -> int:
-    """Parts of a round's draws, each enough for the vectors it sends back."""
-    return max(1, -(-drawn // max(SHARD, DRAWS_BY_WORD * vocabulary)))
+    """Parts of a round's tokens, each enough for the vectors it sends back."""
+    return max(1, -(-drawn // max(SHARD, TOKENS_BY_WORD * vocabulary)))
 
 
 def dealt(drawn: DataFrame, turn: int, rounds: int, shards: int) -> DataFrame:
-    """The draws of a round, spread evenly by their keys."""
+    """The rows of a round, spread evenly by their keys."""
     return drawn.where(F.col("key") % rounds == turn).repartition(shards, F.xxhash64("key"))
 
 
-def trained(drawn: DataFrame, model: Model, unigram: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """Rounds of improvement in all shards; a row of the parameters becomes the mean of the shards that met it.
+def trained(texts: DataFrame, tokens: int, model: Model, unigram: np.ndarray, rounds: int = ROUNDS) -> Model:
+    """Rounds of improvement in all shards, each text in one of them; a row of the parameters becomes the mean of the shards that met it.
 
-    Only the rows that a shard met leave it, and are combined before the shuffle; the
+    `tokens` is the number of all tokens, ends included.  Only the rows that a shard met leave it, and are combined before the shuffle; the
     driver gets one mean for each, in all the size of the model.
     """
-    drawn = staged(drawn, "draws")
-    sc = drawn.sparkSession.sparkContext
-    shards = shards_of(drawn.count() // rounds, len(model.classes.words))
+    sc, classes = texts.sparkSession.sparkContext, model.classes
+    shards = shards_of(tokens // rounds, len(classes.words))
+    texts = keyed(texts)
     names = [f"x{i}" for i in range(model.context.shape[1] + 1)]
     for turn in range(rounds):
         sent = sc.broadcast((model, unigram))
@@ -356,14 +400,16 @@ def trained(drawn: DataFrame, model: Model, unigram: np.ndarray, rounds: int = R
             held = [b for b in batches if b.num_rows]
             if not held:
                 return
-            t = pa.Table.from_batches(held).sort_by([("key", "ascending"), ("w", "ascending"), ("one", "ascending"), ("two", "ascending")])
+            own = pa.Table.from_batches(held).sort_by([("key", "ascending"), ("tokens", "ascending")]).column("tokens")
             start, masses = sent.value
-            w, one, two = (t.column(k).to_numpy().astype(np.int64) for k in ("w", "one", "two"))
-            done, met = improve(start, w, one, two, masses, seed=1_000_003 * turn + TaskContext.get().partitionId())
+            size = max(1, min(BATCH, len(own) // STEPS))
+            batches_ = (unpacked(own[k : k + size].to_pylist(), start.classes.end) for k in range(0, len(own), size))
+            done, met = improve(start, batches_, masses, seed=1_000_003 * turn + TaskContext.get().partitionId())
             at = np.flatnonzero(met)
             rows = done.rows()[at]
             yield from pa.table([pa.array(at), *(pa.array(rows[:, i]) for i in range(len(names)))], ["row", *names]).to_batches(max_chunksize=50_000)
 
+        drawn = packets(texts.where(F.col("key") % rounds == turn), classes, rounds)
         parts = dealt(drawn, turn, rounds, shards).mapInArrow(work, "row bigint, " + ", ".join(f"{n} float" for n in names))
         means = parts.groupBy("row").agg(*(F.avg(n).cast("float").alias(n) for n in names)).toArrow()
         rows, at = model.rows(), means.column("row").to_numpy()
@@ -391,7 +437,7 @@ class Trained:
     times: np.ndarray  # of the words of the model's classes
 
 
-def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, share: float = SHARE) -> Trained:
+def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Trained:
     """Count and train on all rows of `docs`."""
     texts = docs.select(F.col(text).alias("text"))
     ends = docs.select(F.lit(1).alias("one")).count()
@@ -404,7 +450,7 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, share: float
     classes = Classes(hashes[rank][order], order + 1)
     inside = int(times.sum())
     unigram = np.concatenate([[sums["n"] - inside], times[rank], [ends]]) + 0.5
-    model = trained(draws(texts, classes, share), first_model(classes, unigram), unigram, rounds)
+    model = trained(texts, sums["n"] + ends, first_model(classes, unigram), unigram, rounds)
     totals = Totals(sums["n"] + ends, sums["v"] + (ends > 0), sums["n"] - inside, sums["v"] - len(classes.words))
     return Trained(model, totals, counts, times[rank][order])
 
