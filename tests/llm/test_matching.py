@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from odd_rows import documents, none, odd  # noqa: F401
 from tidewater.llm import decontaminate, graphs, jaccard_join, line_dedup
@@ -201,3 +202,17 @@ def test_contamination_odd_rows(spark, odd, none):
     assert got[2].n_words == 0 and not got[2].contaminated and got[2]["items"] == []
     assert decontaminate.contamination(none, items).count() == 0
     assert not any(r.contaminated for r in decontaminate.contamination(odd, items.where("false")).collect())
+
+
+def test_signatures_of_long_lines(spark):
+    """Cut into pieces, a line has the minima over all its shingles."""
+    rng = random.Random(12)
+    sizes = (7, 8, 9, 14, 15, 16, 17, 254, 255, 256, 257, 263, 264, 1000, 20_000)
+    lines = ["".join(rng.choice("abcdefgé ") for _ in range(n)) for n in sizes]
+    table = spark.createDataFrame([(x,) for x in lines * 2], "line string")
+    got = {r.line_hash: list(r)[1:] for r in line_dedup.signatures(table).collect()}
+    plain = spark.createDataFrame([(x, x.encode()[k : k + 8]) for x in lines for k in range(len(x.encode()) - 7)], "line string, shingle binary")
+    hashed = defaultdict(list)
+    for r in plain.select(F.xxhash64("line").alias("line_hash"), F.hash("shingle").alias("h")).collect():
+        hashed[r.line_hash].append(r.h & line_dedup._BITS)
+    assert got == {x: [min((h * f + s) & line_dedup._BITS for h in hs) for f, s in line_dedup._MAPS] for x, hs in hashed.items()}

@@ -37,6 +37,8 @@ BANDS, ROWS = 8, 4
 LEAST = 1  # bytes; blank lines alone are left out
 IDS_TO_SEND = 2_000_000  # 16 MB of line hashes
 PAIRS_A_TASK = 2_000  # verified by a task
+PIECE = 248  # shingles of a piece of a line
+PLACES = 8  # shingles whose hashes are one row
 BLOCK = 500  # lines of a bucket on each side of a cell whose pairs one task compares
 
 _BITS = (1 << 31) - 1  # of a shingle's hash and of a MinHash value
@@ -64,14 +66,21 @@ def _shingle_hashes(line: Column) -> Column:
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """`line_hash` and BANDS * ROWS MinHash values of every distinct line that has a shingle."""
-    spread = lines.where(F.octet_length("line") >= SHINGLE).select(
-        F.xxhash64("line").alias("line_hash"),
-        F.col("line").cast("binary").alias("raw"),
-        F.explode(F.sequence(F.lit(1), F.octet_length("line") - (SHINGLE - 1))).alias("at"),
-    )
-    h = spread.select("line_hash", F.hash(_shingle(F.col("raw"), F.col("at"))).cast("bigint").bitwiseAND(_BITS).alias("h"))
-    values = [F.min((F.col("h") * F.lit(factor).cast("bigint") + F.lit(summand).cast("bigint")).bitwiseAND(_BITS)) for factor, summand in _MAPS]
+    """`line_hash` and BANDS * ROWS MinHash values of every distinct line that has a shingle.
+
+    A line is cut into pieces that share SHINGLE - 1 bytes, so that its bytes are
+    not copied for each place; a row below holds the hashes of PLACES shingles.
+    """
+    starts = lambda raw: F.sequence(F.lit(0), F.octet_length(raw) - SHINGLE, F.lit(PIECE))
+    cut = lambda raw: F.transform(starts(raw), lambda at: F.substring(raw, at + 1, F.lit(PIECE + SHINGLE - 1)))
+    held = lines.where(F.octet_length("line") >= SHINGLE).select(F.xxhash64("line").alias("line_hash"), F.flatten(F.transform(F.array(F.col("line").cast("binary")), cut)).alias("raws"))
+    pieces = held.select("line_hash", F.explode("raws").alias("raw"))
+    last = F.octet_length("raw") - (SHINGLE - 1)
+    spread = pieces.select("line_hash", "raw", F.explode(F.sequence(F.lit(1), last, F.lit(PLACES))).alias("at"))
+    hashed = lambda k: F.hash(_shingle(F.col("raw"), F.least(F.col("at") + k, last))).cast("bigint").bitwiseAND(_BITS)
+    h = spread.select("line_hash", *[hashed(k).alias(f"h{k}") for k in range(PLACES)])
+    value = lambda k, factor, summand: (F.col(f"h{k}") * F.lit(factor).cast("bigint") + F.lit(summand).cast("bigint")).bitwiseAND(_BITS)
+    values = [F.min(F.least(*[value(k, *m) for k in range(PLACES)])) for m in _MAPS]
     return h.groupBy("line_hash").agg(*[v.alias(f"m{k}") for k, v in enumerate(values)])
 
 
