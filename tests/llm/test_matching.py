@@ -216,3 +216,32 @@ def test_signatures_of_long_lines(spark):
     for r in plain.select(F.xxhash64("line").alias("line_hash"), F.hash("shingle").alias("h")).collect():
         hashed[r.line_hash].append(r.h & line_dedup._BITS)
     assert got == {x: [min((h * f + s) & line_dedup._BITS for h in hs) for f, s in line_dedup._MAPS] for x, hs in hashed.items()}
+
+
+@pytest.mark.parametrize("home", [2_000_000, 400])
+def test_sets_are_sent_once(spark, monkeypatch, home):
+    """Pairs are verified where the sets of a group of near copies are, each sent there once; a large group has several places."""
+    monkeypatch.setattr(jaccard_join, "HOME", home)
+    rng = random.Random(13)
+    rows, pairs = [], set()
+    for group in range(40):
+        base = [rng.choice("abcdefghijklmnop") + str(rng.randrange(99)) for _ in range(60)]
+        members = 60 if group == 7 else rng.randrange(2, 5)
+        for k in range(members):
+            own = list(base)
+            for _ in range(rng.randrange(4)):
+                own[rng.randrange(60)] = "x" + str(rng.randrange(10**6))
+            rows.append((1000 * group + k, " ".join(own)))
+        pairs |= {(1000 * group, 1000 * group + k) for k in range(1, members)} | {(1000 * group + k, 1000 * group + k + 1) for k in range(members - 1)}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    points = jaccard_join.sketches(docs, "doc_id", "text", 3, jaccard_join.LOWER)
+    asked = spark.createDataFrame(sorted(pairs), "a bigint, b bigint")
+    placed = jaccard_join.at_home(asked, points).collect()
+    assert sorted((r.a, r.b) for r in placed) == sorted(pairs)
+    sent = {(d, r.home) for r in placed for d in (r.a, r.b)}
+    assert len(sent) <= len(rows) + (200 if home < 1000 else 60)
+    assert home > 1000 or len({r.home for r in placed if r.a // 1000 == 7}) > 3
+    shingles = {d: {tuple(w[k : k + 3]) for k in range(58)} for d, t in rows for w in [t.split()]}
+    want = {(a, b) for a, b in pairs if 100 * len(shingles[a] & shingles[b]) >= 80 * len(shingles[a] | shingles[b])}
+    got = jaccard_join.verified(asked, points, docs, "doc_id", "text", 3, 80, jaccard_join.LOWER)
+    assert 20 < len(want) < len(pairs) and {(r.a, r.b) for r in got.collect()} == want

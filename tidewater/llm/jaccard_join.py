@@ -41,6 +41,7 @@ DIMENSIONS = 64
 BLOCK = 3_000  # members of a bucket that one task indexes
 LEAF, FAN = 16, 8
 IDS_TO_SEND = 2_000_000  # 16 MB of candidate ids
+HOME = 2_000_000  # shingles of the sets that are verified together
 
 
 def _pow(values: np.ndarray, k: int) -> np.ndarray:
@@ -241,7 +242,7 @@ def partners(points: np.ndarray, sizes: np.ndarray, docs: np.ndarray, roots: np.
 
 
 def _searched(members: DataFrame, percent: int, begin: int, end: int) -> DataFrame:
-    """`a, b, more` from all cells of buckets: members of a cell follow each other."""
+    """`key, a, b, more` from all cells of buckets: members of a cell follow each other."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -252,7 +253,7 @@ def _searched(members: DataFrame, percent: int, begin: int, end: int) -> DataFra
             points = np.frombuffer(b"".join(t.column("point").to_pylist()), "<u4").reshape(-1, DIMENSIONS)
             pairs, more = partners(points, t.column("n_shingles").to_numpy(), t.column("doc_id").to_numpy(), t.column("root").to_numpy(), t.column("first").to_numpy(), percent, begin, end)
             pairs = pairs or ([(None, None)] if more else [])
-            return pa.record_batch([pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64()), pa.array([more] * len(pairs), pa.bool_())], ["a", "b", "more"])
+            return pa.record_batch([pa.array([cell[0]] * len(pairs), pa.int64()), pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64()), pa.array([more] * len(pairs), pa.bool_())], ["key", "a", "b", "more"])
 
         for batch in batches:
             cells = np.stack([batch.column(c).to_numpy() for c in ("key", "x", "y")], axis=1)
@@ -267,37 +268,60 @@ def _searched(members: DataFrame, percent: int, begin: int, end: int) -> DataFra
             yield flush()
 
     ordered = members.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "doc_id")
-    return ordered.mapInArrow(search, "a bigint, b bigint, more boolean")
+    return ordered.mapInArrow(search, "key bigint, a bigint, b bigint, more boolean")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int, percent: int, fold: np.ndarray) -> DataFrame:
-    """The pairs (a, b) whose sets, made again from the texts, are similar enough."""
+def at_home(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """`a, b, home`: the pairs and the groups they are verified in.
+
+    Pairs go to the home of `b`, that of its smallest partner, so a group of near
+    copies is mostly in one place and each of its sets is sent once.  A smallest
+    partner with many others has several homes.
+    """
+    weights = points.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("weight"))
+    near = pairs.groupBy("b").agg(F.min("a").alias("near")).join(weights, "b")
+    load = staged(near.groupBy("near").agg(F.sum("weight").alias("load")), "loads")
+    total = load.agg(F.coalesce(F.sum("load"), F.lit(0)).alias("n")).first()["n"]
+    most = min(HOME, max(HOME // 40, total // int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    piece = F.pmod(F.xxhash64("b"), F.ceil(F.col("load") / most))
+    homes = near.join(load, "near").select("b", F.pmod(F.xxhash64("near", piece), F.lit(total // most + 1)).alias("home"))
+    return pairs.join(homes, "b").select("a", "b", "home")
+
+
+def verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int, percent: int, fold: np.ndarray) -> DataFrame:
+    """The pairs (a, b) whose sets, made again from the texts, are similar enough.
+
+    Sets are sent to the homes of their pairs and written nowhere else.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             grams, sizes = sets_of(words(batch.column("text"), VISIBLE, fold), batch.num_rows, size)
             ends = np.cumsum(sizes)
-            yield pa.record_batch([batch.column("doc_id"), pa.array([grams[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist())], pa.binary())], ["doc_id", "set"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-                left, right = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([left, right])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= percent * (len(both) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+            own = pa.array([grams[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist())], pa.binary())
+            yield pa.record_batch([batch.column("doc_id"), batch.column("home"), own], ["doc_id", "home", "set"])
+
+    def compare(sets: pa.Table, near: pa.Table) -> pa.Table:
+        held: dict[int, list[np.ndarray]] = {}
+        for doc, x in zip(sets.column("doc_id").to_pylist(), sets.column("set")):
+            held.setdefault(doc, []).append(np.frombuffer(x.as_buffer(), np.uint64))
+
+        def linked(left: np.ndarray, right: np.ndarray) -> bool:
+            both = np.concatenate([left, right])
+            both.sort()
+            shared = int((both[1:] == both[:-1]).sum())
+            return 100 * shared >= percent * (len(both) - shared)
+
+        a, b = near.column("a").to_pylist(), near.column("b").to_pylist()
+        keep = [any(linked(x, y) for x in held[i] for y in held[j]) for i, j in zip(a, b)]
+        return near.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    placed = staged(at_home(pairs, points), "placed")
+    ids = staged(placed.select("home", F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidates")
     named = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    ids = F.broadcast(ids) if ids.count() <= IDS_TO_SEND else ids
-    sets = staged(named.join(ids, "doc_id", "left_semi").mapInArrow(make, "doc_id bigint, set binary"), "sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b"))
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
-    return met.mapInArrow(compare, "a bigint, b bigint")
+    few = F.broadcast(ids) if ids.count() <= IDS_TO_SEND else ids
+    sets = named.join(few, "doc_id").select("doc_id", "home", "text").mapInArrow(make, "doc_id bigint, home bigint, set binary")
+    return sets.groupBy("home").cogroup(placed.groupBy("home")).applyInArrow(compare, "a bigint, b bigint")
 
 
 def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -329,7 +353,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     buckets = keyed.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("members")).where("low <> high")
     members = staged(keyed.join(buckets.hint("shuffle_hash"), "key").select("key", "doc_id", "low", "members"), "buckets")
 
-    same = lambda pairs: verified(pairs, docs, doc_id, text, size, percent, fold)
+    same = lambda pairs: verified(pairs, points, docs, doc_id, text, size, percent, fold)
     pairs = members.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
     tested = staged(_bounded(pairs, points, percent), "pairs")
     links = staged(same(tested), "links")
@@ -337,8 +361,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     firsts = roots.select(F.col("node").alias("doc_id"), F.col("root").alias("first"))
 
     begin, end = 0, 1
+    crowd = members.where("members > 2").select("key", "doc_id")
     while True:
-        crowd = members.where("members > 2").select("key", "doc_id", "members")
         placed = crowd.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").join(firsts, "doc_id", "left").withColumns({"root": F.coalesce("root", "doc_id"), "first": F.coalesce("first", "doc_id")})
         mixed_ = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("rows")).where("r0 <> r1").select("key", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
         mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
@@ -346,15 +370,18 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         spread = placed.join(mixed_, "key").withColumn("mine", mine).withColumn("other", cells)
         spread = spread.select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "doc_id", "root", "first")
         found = staged(_searched(spread.join(points, "doc_id"), percent, begin, end), "partners")
-        more = found.agg(F.max("more").alias("m")).first()["m"]
+        unfinished = found.where("more").select("key").distinct()
+        many = unfinished.count()
         fresh = found.where("a is not null").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
         fresh = staged(fresh, "pairs")
         if not fresh.isEmpty():
             tested = tested.unionByName(fresh)
             links = links.unionByName(staged(same(fresh), "links"))
             roots = components(links)
-        elif not more:
+        elif not many:
             break
+        # components only grow: a bucket without further candidates for others never gets any
+        crowd = members.join(F.broadcast(unfinished) if many <= IDS_TO_SEND else unfinished, "key", "left_semi").select("key", "doc_id")
         begin, end = end, end * 8
 
     named = classes.join(roots, classes["rep"] == roots["node"], "left").select("sig_a", "sig_b", "n_shingles", F.coalesce("root", "rep").alias("class_root"))
