@@ -4,6 +4,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -245,3 +246,34 @@ def test_sets_are_sent_once(spark, monkeypatch, home):
     want = {(a, b) for a, b in pairs if 100 * len(shingles[a] & shingles[b]) >= 80 * len(shingles[a] | shingles[b])}
     got = jaccard_join.verified(asked, points, docs, "doc_id", "text", 3, 80, jaccard_join.LOWER)
     assert 20 < len(want) < len(pairs) and {(r.a, r.b) for r in got.collect()} == want
+
+
+def test_fine_points_exclude_no_link_and_tell_unlike_sets_apart():
+    rng = np.random.default_rng(5)
+    fresh = lambda n: np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) << np.uint64(1))
+    for size in (1_025, 3_000, 20_000):
+        own, other = fresh(size), fresh(size)
+        assert not jaccard_join.may_link(jaccard_join.fine_point(own), jaccard_join.fine_point(other), 80)
+        for share in (0.85, 0.95, 1.0):
+            near = np.sort(np.concatenate([own[: int(share * len(own))], other[: int((1 - share) * len(own))]]))
+            shared = len(np.intersect1d(own, near))
+            linked = 100 * shared >= 80 * (len(own) + len(near) - shared)
+            assert not linked or jaccard_join.may_link(jaccard_join.fine_point(own), jaccard_join.fine_point(near), 80)
+    assert jaccard_join.fine_point(fresh(900)) is None
+
+
+def test_small_graphs_take_few_tasks(spark, monkeypatch):
+    """However many partitions a shuffle has, a round of a small graph is written by a handful of tasks."""
+    written = []
+    monkeypatch.setattr(graphs, "staged", lambda df, label, real=graphs.staged: written.append(real(df, label)) or written[-1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        edges = spark.range(1_000).selectExpr("id as a", "id + 1 as b").where("b % 100 <> 0")
+        got = {r.node: r.root for r in graphs.components(edges).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {n: n // 100 * 100 for n in range(1_001) if n % 100 and n <= 999}
+    assert max(len(w.inputFiles()) for w in written[1:]) <= 4

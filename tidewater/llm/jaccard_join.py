@@ -31,13 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.graphs import components
-from tidewater.llm.storage import staged
+from tidewater.llm.graphs import components, extended
+from tidewater.llm.storage import ROWS_TO_SEND, packed, sent, staged
 from tidewater.llm.words import LOWER, SAME, VISIBLE, Words, bounds, mixed, run_hashes, slices, windows, words
 
 SHINGLE = 3
 PERCENT = 90
 DIMENSIONS = 64
+FINE = 16  # shingles of a group of a fine point, at most; a set of up to DIMENSIONS * FINE has none
 BLOCK = 3_000  # members of a bucket that one task indexes
 LEAF, FAN = 16, 8
 IDS_TO_SEND = 2_000_000  # 16 MB of candidate ids
@@ -135,11 +136,29 @@ def bucket_keys(grams: np.ndarray, sizes: np.ndarray, levels: Levels) -> tuple[n
     return rows[order], keys[order]
 
 
-SKETCH = "doc_id bigint, n_shingles bigint, sig_a bigint, sig_b bigint, point binary"
+SKETCH = "doc_id bigint, n_shingles bigint, sig_a bigint, sig_b bigint, point binary, fine binary"
+
+
+def fine_point(grams: np.ndarray) -> bytes | None:
+    """Counts of a large set's shingles in so many groups, a power of two, that the counts of unlike sets differ."""
+    if len(grams) <= DIMENSIONS * FINE:
+        return None
+    bits = (len(grams) // FINE).bit_length()
+    return np.bincount((grams >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<u4").tobytes()
+
+
+def may_link(left: bytes | None, right: bytes | None, percent: int) -> bool:
+    """Whether the sum of the minima of two fine points allows a link; the finer one is folded to the other's groups."""
+    if left is None or right is None:
+        return True
+    a, b = np.frombuffer(left, "<u4").astype(np.int64), np.frombuffer(right, "<u4").astype(np.int64)
+    groups = min(len(a), len(b))
+    shared = np.minimum(a.reshape(groups, -1).sum(axis=1), b.reshape(groups, -1).sum(axis=1)).sum()
+    return bool((100 + percent) * shared >= percent * (a.sum() + b.sum()))
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str, size: int, fold: np.ndarray) -> DataFrame:
-    """Per document: the size of its set, two hashes of the set, and its point."""
+    """Per document: the size of its set, two hashes of the set, its point, and the fine point of a large set."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -154,8 +173,9 @@ def sketches(docs: DataFrame, doc_id: str, text: str, size: int, fold: np.ndarra
                     pa.array(_sums(mixed(grams), sizes).view(np.int64)),
                     pa.array(_sums(mixed(grams ^ np.uint64(0xBF58476D1CE4E5B9)), sizes).view(np.int64)),
                     pa.array([p.tobytes() for p in points], pa.binary()),
+                    pa.array([fine_point(grams[e - n : e]) for e, n in zip(np.cumsum(sizes).tolist(), sizes.tolist())], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "sig_a", "sig_b", "point"],
+                ["doc_id", "n_shingles", "sig_a", "sig_b", "point", "fine"],
             )
 
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(make, SKETCH)
@@ -278,14 +298,15 @@ def at_home(pairs: DataFrame, points: DataFrame) -> DataFrame:
     copies is mostly in one place and each of its sets is sent once.  A smallest
     partner with many others has several homes.
     """
+    n = pairs.count()
     weights = points.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("weight"))
-    near = pairs.groupBy("b").agg(F.min("a").alias("near")).join(weights, "b")
-    load = staged(near.groupBy("near").agg(F.sum("weight").alias("load")), "loads")
+    near = weights.join(sent(packed(pairs.groupBy("b").agg(F.min("a").alias("near")), n), n), "b")
+    load = staged(packed(near.groupBy("near").agg(F.sum("weight").alias("load")), n), "loads")
     total = load.agg(F.coalesce(F.sum("load"), F.lit(0)).alias("n")).first()["n"]
     most = min(HOME, max(HOME // 40, total // int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     piece = F.pmod(F.xxhash64("b"), F.ceil(F.col("load") / most))
-    homes = near.join(load, "near").select("b", F.pmod(F.xxhash64("near", piece), F.lit(total // most + 1)).alias("home"))
-    return pairs.join(homes, "b").select("a", "b", "home")
+    homes = near.join(sent(load, n), "near").select("b", F.pmod(F.xxhash64("near", piece), F.lit(total // most + 1)).alias("home"))
+    return packed(pairs.join(sent(homes, n), "b").select("a", "b", "home"), n)
 
 
 def verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int, percent: int, fold: np.ndarray) -> DataFrame:
@@ -317,7 +338,8 @@ def verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, doc_id: str,
         return near.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     placed = staged(at_home(pairs, points), "placed")
-    ids = staged(placed.select("home", F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidates")
+    rows = 2 * placed.count()
+    ids = staged(packed(placed.select("home", F.explode(F.array("a", "b")).alias("doc_id")).distinct(), rows), "candidates")
     named = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     few = F.broadcast(ids) if ids.count() <= IDS_TO_SEND else ids
     sets = named.join(few, "doc_id").select("doc_id", "home", "text").mapInArrow(make, "doc_id bigint, home bigint, set binary")
@@ -325,7 +347,7 @@ def verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, doc_id: str,
 
 
 def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Pairs that sizes and the sum of coordinate minima cannot exclude."""
+    """Pairs that the sums of coordinate minima cannot exclude, of points and then of fine points."""
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -333,11 +355,18 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
             left, right = side("point_a"), side("point_b")
             n = left.sum(axis=1) + right.sum(axis=1)
             fits = (100 + percent) * np.minimum(left, right).sum(axis=1) >= percent * n
+            for i in np.flatnonzero(fits).tolist():
+                fits[i] = may_link(batch.column("fine_a")[i].as_py(), batch.column("fine_b")[i].as_py(), percent)
             yield batch.select(["a", "b"]).filter(pa.array(fits))
 
-    left = points.select(F.col("doc_id").alias("a"), F.col("point").alias("point_a"))
-    right = points.select(F.col("doc_id").alias("b"), F.col("point").alias("point_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "point_a", "point_b").mapInArrow(bound, "a bigint, b bigint").distinct()
+    n = pairs.count()
+    side = lambda end: points.select(F.col("doc_id").alias(end), F.col("point").alias(f"point_{end}"), F.col("fine").alias(f"fine_{end}"))
+    if n <= ROWS_TO_SEND:  # then only the points of these pairs are shuffled
+        met = side("a").join(F.broadcast(pairs), "a").join(side("b").join(F.broadcast(pairs), "b"), ["a", "b"])
+    else:
+        met = pairs.join(side("a"), "a").join(side("b"), "b")
+    met = packed(met.select("a", "b", "point_a", "point_b", "fine_a", "fine_b"), n)
+    return packed(met.mapInArrow(bound, "a bigint, b bigint").distinct(), n)
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT, lower: bool = True, block: int = BLOCK) -> DataFrame:
@@ -347,37 +376,39 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     filled = table.where("n_shingles > 0")
     classes = staged(filled.groupBy("sig_a", "sig_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
     ids = classes.select(F.col("rep").alias("doc_id")).where("doc_id is not null").distinct()
-    points = staged(filled.join(ids, "doc_id", "left_semi").select("doc_id", "n_shingles", "point"), "points")
+    points = staged(filled.join(ids, "doc_id", "left_semi").select("doc_id", "n_shingles", "point", "fine"), "points")
 
     keyed = keyed_documents(docs, ids, doc_id, text, size, percent, fold).repartition("key")
     buckets = keyed.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("members")).where("low <> high")
     members = staged(keyed.join(buckets.hint("shuffle_hash"), "key").select("key", "doc_id", "low", "members"), "buckets")
 
     same = lambda pairs: verified(pairs, points, docs, doc_id, text, size, percent, fold)
-    pairs = members.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
-    tested = staged(_bounded(pairs, points, percent), "pairs")
-    links = staged(same(tested), "links")
+    tested = staged(members.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct(), "met")
+    links = staged(same(staged(_bounded(tested, points, percent), "pairs")), "links")
     roots = components(links)
-    firsts = roots.select(F.col("node").alias("doc_id"), F.col("root").alias("first"))
+    firsts, n_firsts = roots.select(F.col("node").alias("doc_id"), F.col("root").alias("first")), roots.count()
 
     begin, end = 0, 1
     crowd = members.where("members > 2").select("key", "doc_id")
     while True:
-        placed = crowd.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").join(firsts, "doc_id", "left").withColumns({"root": F.coalesce("root", "doc_id"), "first": F.coalesce("first", "doc_id")})
+        rows, n_roots = crowd.count(), roots.count()
+        now = sent(roots.select(F.col("node").alias("doc_id"), "root"), n_roots)
+        placed = crowd.join(now, "doc_id", "left").join(sent(firsts, n_firsts), "doc_id", "left").withColumns({"root": F.coalesce("root", "doc_id"), "first": F.coalesce("first", "doc_id")})
         mixed_ = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("rows")).where("r0 <> r1").select("key", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
         mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
         cells = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        spread = placed.join(mixed_, "key").withColumn("mine", mine).withColumn("other", cells)
+        spread = placed.join(sent(packed(mixed_, rows), rows), "key").withColumn("mine", mine).withColumn("other", cells)
         spread = spread.select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "doc_id", "root", "first")
-        found = staged(_searched(spread.join(points, "doc_id"), percent, begin, end), "partners")
-        unfinished = found.where("more").select("key").distinct()
+        found = staged(_searched(spread.join(points.drop("fine"), "doc_id"), percent, begin, end), "partners")
+        given = found.count()
+        unfinished = staged(packed(found.where("more").select("key").distinct(), given), "unfinished")
         many = unfinished.count()
-        fresh = found.where("a is not null").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-        fresh = staged(fresh, "pairs")
+        fresh = packed(found.where("a is not null").select("a", "b").distinct(), given)
+        fresh = staged(packed(fresh.join(tested, ["a", "b"], "left_anti"), given), "pairs")
         if not fresh.isEmpty():
             tested = tested.unionByName(fresh)
-            links = links.unionByName(staged(same(fresh), "links"))
-            roots = components(links)
+            links = staged(same(staged(_bounded(fresh, points, percent), "pairs")), "links")
+            roots = roots if links.isEmpty() else extended(roots, links)
         elif not many:
             break
         # components only grow: a bucket without further candidates for others never gets any
