@@ -379,8 +379,11 @@ def shards_of(drawn: int, vocabulary: int) -> int:
 
 
 def dealt(drawn: DataFrame, turn: int, rounds: int, shards: int) -> DataFrame:
-    """The rows of a round, spread evenly by their keys."""
-    return drawn.where(F.col("key") % rounds == turn).repartition(shards, F.xxhash64("key"))
+    """The rows of a round, spread evenly by their keys; no more shards than asked for, however many partitions they were dealt to.
+
+    Each shard sends its vectors back, so what a round shuffles grows with their number.
+    """
+    return drawn.where(F.col("key") % rounds == turn).repartition(shards, F.xxhash64("key")).coalesce(shards)
 
 
 def trained(texts: DataFrame, tokens: int, model: Model, unigram: np.ndarray, rounds: int = ROUNDS) -> Model:
