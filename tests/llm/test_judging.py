@@ -228,3 +228,12 @@ def test_language_model_learns_from_every_token(spark, documents, odd, rounds):
         for r in rows:
             got.update(zip(*(x.tolist() for x in language_model.unpacked([bytes(r.tokens)], classes.end))))
     assert sum(got.values()) > 1000 and got == want
+
+
+def test_shards_are_as_many_as_asked_for(spark, monkeypatch):
+    """Also where a shuffle deals to more partitions than it was told."""
+    frame = spark.range(1_000).withColumnRenamed("id", "key")
+    real = type(frame).repartition
+    monkeypatch.setattr(type(frame), "repartition", lambda self, n, *c: real(self, max(n, 16), *c))
+    dealt = language_model.dealt(frame, 1, 3, 2)
+    assert dealt.rdd.getNumPartitions() == 2 and dealt.count() == 333

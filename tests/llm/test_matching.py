@@ -277,3 +277,27 @@ def test_small_graphs_take_few_tasks(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert got == {n: n // 100 * 100 for n in range(1_001) if n % 100 and n <= 999}
     assert max(len(w.inputFiles()) for w in written[1:]) <= 4
+
+
+def test_unlike_lines_of_a_bucket_are_told_apart_by_their_parities(spark, monkeypatch):
+    rng = random.Random(9)
+    own = ["".join(rng.choices("abcdefghijklmnop", k=300)) for _ in range(40)]
+    lines = spark.createDataFrame([(x,) for x in own + [x[:-1] + "!" for x in own[:3]]], "line string")
+    members = lines.select(F.lit(1).cast("bigint").alias("key"), F.lit(0).alias("band"), F.xxhash64("line").alias("line_hash"))
+    seen = []
+    monkeypatch.setattr(line_dedup, "similar_lines", lambda table, pairs, s, real=line_dedup.similar_lines: seen.append(pairs.count()) or real(table, pairs, s))
+    none_yet = spark.createDataFrame([], "node bigint, root bigint")
+    got = {frozenset((r.a, r.b)) for r in line_dedup.missing_links(lines, members, none_yet, block=7).collect()}
+    named = {r.line: r.line_hash for r in lines.select("line", F.xxhash64("line").alias("line_hash")).collect()}
+    assert got == {frozenset((named[x], named[x[:-1] + "!"])) for x in own[:3]}
+    assert seen == [3]
+
+
+def test_lines_alone_in_their_class_are_their_own_heads(spark, monkeypatch):
+    """Only classes of several lines are looked up."""
+    heads = {}
+    monkeypatch.setattr(line_dedup, "staged", lambda df, label, real=line_dedup.staged: heads.setdefault(label, real(df, label)))
+    frame = spark.createDataFrame([(1, "alone in this one\nsaid twice"), (2, "said twice\nanother line by itself")], "doc_id bigint, text string")
+    got = {(r.doc_id, r.line_no): (r.first_doc, r.first_line, r.copies, r.kept) for r in line_dedup.line_classes(frame).collect()}
+    assert got == {(1, 0): (1, 0, 1, True), (1, 1): (1, 1, 2, True), (2, 0): (1, 1, 2, False), (2, 1): (2, 1, 1, True)}
+    assert heads["heads"].count() == 1

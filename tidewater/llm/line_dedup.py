@@ -7,7 +7,8 @@ with its neighbour in the order of the next band's key; the exact Jaccard
 similarity of the shingle sets decides and distributed union-find joins what is
 linked.  In buckets that then still hold several components, every line outside
 the largest one is compared with all lines of other components whose size allows a
-link, block by block.  Links inside a component would change nothing, so no pair
+link, block by block; groups of shingles whose numbers are odd in one set and even in
+the other are counted first, since two sets differ in at least as many.  Links inside a component would change nothing, so no pair
 of a bucket that could join two components is left untested.  The first line of
 each component, by doc_id and line number, is kept.
 
@@ -28,8 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidewater.llm.graphs import components
-from tidewater.llm.storage import settled, staged
+from tidewater.llm.graphs import components, extended
+from tidewater.llm.storage import packed, sent, settled, staged
 
 SHINGLE = 8
 SIMILARITY = 0.8
@@ -39,6 +40,7 @@ IDS_TO_SEND = 2_000_000  # 16 MB of line hashes
 PAIRS_A_TASK = 2_000  # verified by a task
 PIECE = 248  # shingles of a piece of a line
 PLACES = 8  # shingles whose hashes are one row
+PARITY = 32  # words of 64 groups of shingles
 BLOCK = 500  # lines of a bucket on each side of a cell whose pairs one task compares
 
 _BITS = (1 << 31) - 1  # of a shingle's hash and of a MinHash value
@@ -114,12 +116,13 @@ def _texts(lines: DataFrame, ids: DataFrame) -> DataFrame:
 
 def similar_lines(lines: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs whose exact Jaccard similarity reaches the threshold."""
-    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("line_hash")).distinct(), "candidates")
+    n = pairs.count()
+    ids = staged(packed(pairs.select(F.explode(F.array("a", "b")).alias("line_hash")).distinct(), 2 * n), "candidates")
     texts = staged(_texts(lines, ids), "lines")
     left = texts.select(F.col("line_hash").alias("a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("line_hash").alias("b"), F.col("line").alias("line_b"))
-    parts = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs.count() // PAIRS_A_TASK))
-    met = pairs.join(left, "a").join(right, "b").repartition(parts, "b")
+    parts = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PAIRS_A_TASK))
+    met = left.join(sent(pairs, n), "a").join(right, "b").select("a", "b", "line_a", "line_b").repartition(parts, "b")
     both = F.struct(_shingle_hashes(F.col("line_a")).alias("left"), _shingle_hashes(F.col("line_b")).alias("right"))
     # behind a generator both lists are made once, and the test stays behind the exchange that spreads the pairs
     listed = met.select("a", "b", F.explode(F.array(both)).alias("s"))
@@ -127,45 +130,53 @@ def similar_lines(lines: DataFrame, pairs: DataFrame, similarity: float = SIMILA
     return listed.where(shared >= similarity * either).select("a", "b")
 
 
+def _parities(texts: DataFrame) -> DataFrame:
+    """`line_hash, n, odd`: the size of a line's set, and a bit for each group of its shingles: whether their number is odd."""
+    each = texts.select("line_hash", F.explode(F.array_distinct(_shingle_hashes(F.col("line")))).alias("x"))
+    word, bit = F.shiftrightunsigned("x", 56) % PARITY, F.expr("shiftleft(1L, cast(x & 63 as int))")
+    bits = [F.coalesce(F.bit_xor(F.when(word == w, bit)), F.lit(0).cast("bigint")) for w in range(PARITY)]
+    return each.groupBy("line_hash").agg(F.count(F.lit(1)).alias("n"), F.array(*bits).alias("odd"))
+
+
 def missing_links(lines: DataFrame, members: DataFrame, roots: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
-    """`a, b`: links between different components of a bucket, one for any two components that are linked.
+    """`a, b`: links between different components of a bucket.
 
     Every line outside a bucket's largest component meets all lines of other
     components, but for those that an earlier band has brought together.  Both
-    sides are cut into blocks, so a large bucket is dealt out in cells.
+    sides are cut into blocks, so a large bucket is dealt out in cells.  Pairs meet
+    with their parities alone; the texts of those that may be linked follow.
     """
-    named = roots.select(F.col("node").alias("line_hash"), "root")
-    placed = members.join(named, "line_hash", "left").select("key", "band", "line_hash", F.coalesce("root", "line_hash").alias("root"))
+    named, rows = roots.select(F.col("node").alias("line_hash"), "root"), members.count()
+    placed = members.join(sent(named, roots.count()), "line_hash", "left").select("key", "band", "line_hash", F.coalesce("root", "line_hash").alias("root"))
     sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     split = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots")).where("roots > 1 and n > 2")
     cut = split.select("key", F.col("main.root").alias("main"), F.ceil(F.col("n") / block).cast("int").alias("ys"), F.ceil((F.col("n") - F.col("main.n")) / block).cast("int").alias("xs"))
-    mixed = staged(placed.join(cut, "key"), "mixed")
+    mixed = staged(placed.join(sent(packed(cut, rows), rows), "key"), "mixed")
 
     ids = mixed.select("line_hash").distinct()
-    texts = _texts(lines, staged(ids, "candidates"))
-    sets = texts.select("line_hash", F.explode(F.array(F.array_distinct(_shingle_hashes(F.col("line"))))).alias("s"))
+    sketched = _parities(_texts(lines, staged(ids, "candidates")))
     # the buckets of a line, by band: a pair is compared in the first that both are in
     met = mixed.groupBy("line_hash").agg(F.collect_list(F.struct("band", "key")).alias("met"))
-    known = staged(sets.join(met, "line_hash"), "sets")
+    known = staged(sketched.join(met, "line_hash"), "sketched")
     full = mixed.join(known, "line_hash")
     hashed = lambda cells: F.pmod(F.xxhash64("line_hash"), F.col(cells)).cast("int")
     every = lambda cells: F.explode(F.sequence(F.lit(0), F.col(cells) - 1))
-    side = lambda table, tag: table.select("key", "x", "y", F.col("band").alias(f"band_{tag}"), F.col("line_hash").alias(f"line_{tag}"), F.col("root").alias(f"root_{tag}"), F.col("s").alias(f"s_{tag}"), F.col("met").alias(f"met_{tag}"), (F.col("root") == F.col("main")).alias(f"main_{tag}"))
+    side = lambda table, tag: table.select("key", "x", "y", F.col("band").alias(f"band_{tag}"), F.col("line_hash").alias(f"line_{tag}"), F.col("root").alias(f"root_{tag}"), F.col("n").alias(f"n_{tag}"), F.col("met").alias(f"met_{tag}"), (F.col("root") == F.col("main")).alias(f"main_{tag}"), F.col("odd").alias(f"odd_{tag}"))
     left = side(full.where("root <> main").withColumn("x", hashed("xs")).withColumn("y", every("ys")), "a")
     right = side(full.withColumn("y", hashed("ys")).withColumn("x", every("xs")), "b")
-    n_a, n_b = F.size("s_a"), F.size("s_b")
-    shared = F.size(F.array_intersect("s_a", "s_b"))
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    unlike = F.aggregate(F.zip_with("odd_a", "odd_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
     first = F.array_min(F.transform(F.array_intersect("met_a", "met_b"), lambda m: m["band"]))
     tests = (
         (F.col("root_a") != F.col("root_b"))
         & (F.col("main_b") | (F.col("line_a") < F.col("line_b")))
         & (F.least(n_a, n_b) >= similarity * F.greatest(n_a, n_b))
+        & ((1 + similarity) * unlike <= (1 - similarity) * (n_a + n_b) + 1e-6)
         & (first == F.col("band_a"))
-        & (shared >= similarity * (n_a + n_b - shared))
     )
-    linked = left.join(right.hint("merge"), ["key", "x", "y"]).where(tests)
-    one = linked.groupBy(F.least("root_a", "root_b").alias("r0"), F.greatest("root_a", "root_b").alias("r1")).agg(F.min(F.struct(F.col("line_a").alias("a"), F.col("line_b").alias("b"))).alias("p"))
-    return one.select(F.least("p.a", "p.b").alias("a"), F.greatest("p.a", "p.b").alias("b"))
+    near = left.join(right.hint("merge"), ["key", "x", "y"]).where(tests)
+    pairs = near.select(F.least("line_a", "line_b").alias("a"), F.greatest("line_a", "line_b").alias("b")).distinct()
+    return similar_lines(lines, staged(pairs, "pairs"), similarity)
 
 
 def linked_lines(lines: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
@@ -175,7 +186,7 @@ def linked_lines(lines: DataFrame, similarity: float = SIMILARITY, block: int =
     links = staged(similar_lines(lines, pairs, similarity), "links")
     roots = components(links)
     rest = staged(missing_links(lines, members, roots, similarity, block), "links")
-    return roots if rest.isEmpty() else components(links.unionByName(rest))
+    return roots if rest.isEmpty() else extended(roots, rest)
 
 
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -187,12 +198,14 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     lines = _line_rows(docs, doc_id, text)
     roots = linked_lines(lines, similarity)
     named = lines.select("doc_id", "version", "line_no", F.xxhash64("line").alias("line_hash"))
-    placed = named.join(roots, named["line_hash"] == roots["node"], "left")
+    placed = named.join(sent(roots, roots.count()), named["line_hash"] == roots["node"], "left")
     classed = staged(placed.select("doc_id", "version", "line_no", F.coalesce("root", "line_hash").alias("class")), "classes")
     first = F.min(F.struct("doc_id", "line_no", "version"))
-    heads = classed.groupBy("class").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
+    # a line alone in its class is its own first one, so only the heads of the others are looked up
+    heads = staged(classed.groupBy("class").agg(first.alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1"), "heads")
     me = F.struct("doc_id", "line_no", "version")
-    return classed.join(heads, "class").select(
+    headed = classed.join(sent(heads, heads.count()), "class", "left").withColumns({"first": F.coalesce("first", me), "copies": F.coalesce("copies", F.lit(1).cast("bigint"))})
+    return headed.select(
         "doc_id", "version", "line_no", F.col("first.doc_id").alias("first_doc"), F.col("first.line_no").alias("first_line"), "copies", me.eqNullSafe(F.col("first")).alias("kept")
     )
 
