@@ -237,3 +237,27 @@ def test_shards_are_as_many_as_asked_for(spark, monkeypatch):
     monkeypatch.setattr(type(frame), "repartition", lambda self, n, *c: real(self, max(n, 16), *c))
     dealt = language_model.dealt(frame, 1, 3, 2)
     assert dealt.rdd.getNumPartitions() == 2 and dealt.count() == 333
+
+
+def test_quality_rules_work_on_small_slices(spark, monkeypatch):
+    """Texts are measured about a megabyte at a time, so that a worker's arrays stay small; verdicts do not depend on it."""
+    from tidewater.llm import packing, words as places
+
+    sizes = []
+    real = fertility.base_counts
+    monkeypatch.setattr(fertility, "base_counts", lambda column: sizes.append(sum(len(x.as_py() or "") for x in column)) or real(column))
+    text = " ".join(f"word{i % 977}" for i in range(3000))
+    batch = pa.record_batch([pa.array(range(200)), pa.array([text] * 200), pa.array(["en"] * 200)], ["doc_id", "text", "lang"])
+
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, work, schema):
+            return list(work(iter([batch])))
+
+    out = fertility.measured(Rows())
+    assert sum(b.num_rows for b in out) == 200 and len(sizes) > 3 and max(sizes) <= 1 << 20
+    monkeypatch.setattr(fertility, "SLICE", places.SLICE_BYTES)
+    assert pa.Table.from_batches(fertility.measured(Rows())).equals(pa.Table.from_batches(out).combine_chunks())
+    assert packing.SLICE == 1 << 20

@@ -15,6 +15,7 @@ from tidewater.llm.words import VISIBLE, hashes, spans, text_buffer
 
 MOST_STRETCHES = 1_200_000  # remembered by a worker
 MOST_IDS = 8_000_000
+SLICE = 1 << 20  # bytes of text encoded at once: what is made on the way takes some fifty times as much, in every worker
 
 _BLANK = ~VISIBLE
 #: Bytes that surely begin something else than white space: ASCII, or a lead byte of no white space beyond ASCII.

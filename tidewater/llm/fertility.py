@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.encoders import encoder
+from tidewater.llm.encoders import SLICE, encoder
 from tidewater.llm.storage import staged
 from tidewater.llm.words import VISIBLE, hashes, mixed, slices, spans, text_buffer, words, windows
 
@@ -122,7 +122,7 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     """One row per document with the counts, the measures, its group (language or script) and its script."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             column = batch.column("text")
             counts = base_counts(column)
             found = token_measures(column, counts["word_chars"], fallback, second)

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.encoders import encoder
+from tidewater.llm.encoders import SLICE, encoder
 from tidewater.llm.storage import staged
 from tidewater.llm.words import slices
 
@@ -33,7 +33,7 @@ def cut_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", voca
     """Encode, append the end id, and cut each document into full windows and a rest: columns of PIECES."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             ids, begin = encoder(vocabulary).encode(batch.column("text"))
             rows: list[tuple[int, int, int, int, int]] = []
             for i in range(batch.num_rows):
