@@ -261,3 +261,29 @@ def test_quality_rules_work_on_small_slices(spark, monkeypatch):
     monkeypatch.setattr(fertility, "SLICE", places.SLICE_BYTES)
     assert pa.Table.from_batches(fertility.measured(Rows())).equals(pa.Table.from_batches(out).combine_chunks())
     assert packing.SLICE == 1 << 20
+
+
+def test_language_model_sends_few_bytes():
+    """Tokens in as many bytes as they need; a shard's rows in blocks of four bytes a number, at any place."""
+    rng = np.random.default_rng(3)
+    values = np.concatenate([[0, 1, 127, 128, 16383, 16384, 2097151, 2097152, 2**31 - 1, 2**33], rng.integers(0, 300, 5000)])
+    raw, begin = language_model.short(values)
+    got, last = language_model.long(np.frombuffer(raw, np.uint8))
+    assert got.tolist() == values.tolist() and (last == begin[1:] - 1).all() and len(raw) < 2 * len(values)
+    at = np.flatnonzero(rng.random(200_000) < 0.3)
+    rows = rng.standard_normal((len(at), 17)).astype(np.float32)
+    table = language_model.in_blocks(at, rows)
+    assert sum(map(len, table.column("vectors").to_pylist())) == rows.nbytes and table.nbytes < 1.1 * rows.nbytes
+    back, new = language_model.of_blocks(table, 17)
+    assert (back == at).all() and (new == rows).all()
+    assert len(language_model.of_blocks(language_model.in_blocks(at[:0], rows[:0]), 17)[0]) == 0
+
+
+def test_means_of_shards(spark):
+    """Each row is the mean over the shards that met it."""
+    rows = np.arange(12, dtype=np.float32).reshape(4, 3)
+    shards = [(np.array([0, 5, 3000, 70_000]), rows), (np.array([5, 70_000]), 10 * rows[:2])]
+    frame = spark.createDataFrame(pa.concat_tables([language_model.in_blocks(*s) for s in shards]))
+    at, new = language_model.of_blocks(language_model.means(frame, 3).toArrow(), 3)
+    got = dict(zip(at.tolist(), new.tolist()))
+    assert got == {0: [0, 1, 2], 5: [1.5, 7, 12.5], 3000: [6, 7, 8], 70_000: [19.5, 25, 30.5]}

@@ -50,6 +50,7 @@ NOISE = 64  # alternatives to a first choice, shared by a batch
 DEEP_NOISE = 8  # alternatives to each further choice, shared by a batch's tokens that choose among the same ones
 RATE = 0.1
 PIECE = 1 << 19
+BLOCK = 1024  # rows of the parameters that leave a shard together
 HELD = 1_000_000  # distinct counts that a task holds before it gives them away
 
 
@@ -151,6 +152,32 @@ def keyed(texts: DataFrame) -> DataFrame:
     return texts.select("text", F.xxhash64(F.monotonically_increasing_id(), "text").bitwiseAND((1 << 31) - 1).alias("key"))
 
 
+def short(values: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Numbers from 0 on in as few bytes as they need, seven bits each, the last one below 128; where each number begins, and the end."""
+    sizes = [np.flatnonzero(values >= 1 << 7 * k) for k in range(1, 5)]
+    size = np.ones(len(values), np.int64)
+    for longer in sizes:
+        size[longer] += 1
+    start = np.concatenate([[0], np.cumsum(size)])
+    out = np.zeros(start[-1], np.uint8)
+    out[start[:-1]] = values & 127
+    for k, longer in enumerate(sizes):
+        out[start[longer] + k] |= 128
+        out[start[longer] + k + 1] = values[longer] >> 7 * (k + 1) & 127
+    return out.tobytes(), start
+
+
+def long(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that `short` wrote, and where the last byte of each is."""
+    last = np.flatnonzero(data < 128)
+    start = np.concatenate([[0], last + 1])[:-1]
+    size, values = last - start, (data[start] & 127).astype(np.int64)
+    for k in range(1, 5):
+        longer = np.flatnonzero(size >= k)
+        values[longer] |= (data[start[longer] + k] & 127).astype(np.int64) << 7 * k
+    return values, last
+
+
 def packets(texts: DataFrame, classes: Classes, rounds: int = ROUNDS) -> DataFrame:
     """`tokens, key` from `text, key`: the classes of all tokens in packets, each behind the two classes before it.
 
@@ -165,7 +192,9 @@ def packets(texts: DataFrame, classes: Classes, rounds: int = ROUNDS) -> DataFra
             w = words(batch.column("text"), VISIBLE, LOWER)
             doc, token, one, two = sequences(w, batch.num_rows, known.of(w.hash), known.end)
             at = np.arange(0, len(token), PACKET)
-            own = [np.concatenate([two[a : a + 1], one[a : a + 1], token[a : a + PACKET]]).astype("<i4").tobytes() for a in at.tolist()]
+            (front, upto), (rest, begin) = short(np.stack([two[at], one[at]], axis=1).ravel()), short(token)
+            upto, begin = upto[::2].tolist(), [*begin[at].tolist(), len(rest)]
+            own = [front[upto[i] : upto[i + 1]] + rest[begin[i] : begin[i + 1]] for i in range(len(at))]
             key = batch.column("key").to_numpy()[doc[at]] + rounds * rng.integers(0, 1 << 31, len(at))
             yield pa.record_batch([pa.array(own, pa.binary()), pa.array(key)], ["tokens", "key"])
 
@@ -174,8 +203,12 @@ def packets(texts: DataFrame, classes: Classes, rounds: int = ROUNDS) -> DataFra
 
 def unpacked(tokens: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Class, class before and class before that, of all tokens in packets."""
-    held = [np.frombuffer(t, "<i4") for t in tokens]
-    w, one, two = (np.concatenate([h[k : len(h) - 2 + k] for h in held]) for k in (2, 1, 0))
+    held, last = long(np.frombuffer(b"".join(tokens), np.uint8))
+    firsts = np.searchsorted(last, np.cumsum([0, *map(len, tokens)])[:-1])
+    inside = np.ones(len(held), bool)
+    inside[firsts] = inside[firsts + 1] = False
+    at = np.flatnonzero(inside)
+    w, one, two = held[at], held[at - 1], held[at - 2]
     two = np.where((one == end) | (two == end), end + 1, two)
     return w, np.where(one == end, end + 1, one), two
 
@@ -386,16 +419,44 @@ def dealt(drawn: DataFrame, turn: int, rounds: int, shards: int) -> DataFrame:
     return drawn.where(F.col("key") % rounds == turn).repartition(shards, F.xxhash64("key")).coalesce(shards)
 
 
+def in_blocks(at: np.ndarray, rows: np.ndarray) -> pa.Table:
+    """`block, met, vectors`: the rows numbered `at`, which are in order, BLOCK places to a row of bytes."""
+    first = np.arange(at[0] // BLOCK, at[-1] // BLOCK + 1) if len(at) else np.zeros(0, np.int64)
+    cuts = np.searchsorted(at, np.append(first, first[-1:] + 1) * BLOCK)
+    own = [(b, (at[x:y] - b * BLOCK).astype("<u2").tobytes(), rows[x:y].astype("<f4").tobytes()) for b, x, y in zip(first.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()) if y > x]
+    return pa.table([pa.array([o[k] for o in own], kind) for k, kind in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["block", "met", "vectors"])
+
+
+def of_blocks(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers and rows that `in_blocks` took, block after block."""
+    at = [b * BLOCK + np.frombuffer(m, "<u2").astype(np.int64) for b, m in zip(table.column("block").to_pylist(), table.column("met").to_pylist())]
+    rows = [np.frombuffer(v, "<f4").reshape(-1, width) for v in table.column("vectors").to_pylist()]
+    return np.concatenate([np.zeros(0, np.int64), *at]), np.concatenate([np.zeros((0, width), np.float32), *rows])
+
+
+def means(parts: DataFrame, width: int) -> DataFrame:
+    """`block, met, vectors`: the mean of each row over the shards that sent it."""
+
+    def mean(table: pa.Table) -> pa.Table:
+        at, rows = of_blocks(table, width)
+        own, back, times = np.unique(at, return_inverse=True, return_counts=True)
+        total = np.zeros((len(own), width))
+        np.add.at(total, back, rows)
+        return in_blocks(own, total / times[:, None])
+
+    return parts.groupBy("block").applyInArrow(mean, parts.schema)
+
+
 def trained(texts: DataFrame, tokens: int, model: Model, unigram: np.ndarray, rounds: int = ROUNDS) -> Model:
     """Rounds of improvement in all shards, each text in one of them; a row of the parameters becomes the mean of the shards that met it.
 
-    `tokens` is the number of all tokens, ends included.  Only the rows that a shard met leave it, and are combined before the shuffle; the
-    driver gets one mean for each, in all the size of the model.
+    `tokens` is the number of all tokens, ends included.  Only the rows that a shard met leave it, in blocks of bytes, which take half of what
+    columns of sums and counts do; the driver gets one mean for each, in all the size of the model.
     """
     sc, classes = texts.sparkSession.sparkContext, model.classes
     shards = shards_of(tokens // rounds, len(classes.words))
     texts = keyed(texts)
-    names = [f"x{i}" for i in range(model.context.shape[1] + 1)]
+    width = model.context.shape[1] + 1
     for turn in range(rounds):
         sent = sc.broadcast((model, unigram))
 
@@ -409,17 +470,15 @@ def trained(texts: DataFrame, tokens: int, model: Model, unigram: np.ndarray, ro
             batches_ = (unpacked(own[k : k + size].to_pylist(), start.classes.end) for k in range(0, len(own), size))
             done, met = improve(start, batches_, masses, seed=1_000_003 * turn + TaskContext.get().partitionId())
             at = np.flatnonzero(met)
-            rows = done.rows()[at]
-            yield from pa.table([pa.array(at), *(pa.array(rows[:, i]) for i in range(len(names)))], ["row", *names]).to_batches(max_chunksize=50_000)
+            yield from in_blocks(at, done.rows()[at]).to_batches(max_chunksize=50)
 
         drawn = packets(texts.where(F.col("key") % rounds == turn), classes, rounds)
-        parts = dealt(drawn, turn, rounds, shards).mapInArrow(work, "row bigint, " + ", ".join(f"{n} float" for n in names))
-        means = parts.groupBy("row").agg(*(F.avg(n).cast("float").alias(n) for n in names)).toArrow()
-        rows, at = model.rows(), means.column("row").to_numpy()
-        for i, n in enumerate(names):
-            rows[at, i] = means.column(n).to_numpy()
+        parts = dealt(drawn, turn, rounds, shards).mapInArrow(work, "block bigint, met binary, vectors binary")
+        at, new = of_blocks(means(parts, width).toArrow(), width)
+        rows = model.rows()
+        rows[at] = new
         sent.destroy()
-        del means, sent
+        del at, new, sent
         model = model.of_rows(rows)
     return model
 
