@@ -24,8 +24,10 @@ lines' fate; rows without doc_id come first.  An empty table gives no rows.
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -39,13 +41,13 @@ LEAST = 1  # bytes; blank lines alone are left out
 IDS_TO_SEND = 2_000_000  # 16 MB of line hashes
 PAIRS_A_TASK = 2_000  # verified by a task
 PIECE = 248  # shingles of a piece of a line
-PLACES = 8  # shingles whose hashes are one row
+PLACES = 16  # shingles whose hashes are one row
 PARITY = 32  # words of 64 groups of shingles
 BLOCK = 500  # lines of a bucket on each side of a cell whose pairs one task compares
 
 _BITS = (1 << 31) - 1  # of a shingle's hash and of a MinHash value
 _DRAWN = random.Random(2)
-#: An odd factor and a summand for each hash function; products stay below 2^62.
+#: An odd factor and a summand for each hash function; products keep their lowest 31 bits.
 _MAPS = [(_DRAWN.getrandbits(31) | 1, _DRAWN.getrandbits(31)) for _ in range(BANDS * ROWS)]
 
 
@@ -67,6 +69,23 @@ def _shingle_hashes(line: Column) -> Column:
     return F.flatten(F.transform(F.array(line.cast("binary")), lambda raw: F.transform(places(raw), lambda at: F.xxhash64(_shingle(raw, at)))))
 
 
+@contextmanager
+def wrapping(spark: SparkSession) -> Iterator[None]:
+    """Integer sums and products of the columns made inside wrap around and are not checked, whatever the session says."""
+    name = "spark.sql.ansi.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _int(bits: int) -> Column:
+    """The 32-bit integer of these bits; the lowest 31 bits of sums and products are the same as of larger ones."""
+    return F.lit(bits - (1 << 32) if bits >> 31 else bits)
+
+
 def signatures(lines: DataFrame) -> DataFrame:
     """`line_hash` and BANDS * ROWS MinHash values of every distinct line that has a shingle.
 
@@ -79,23 +98,27 @@ def signatures(lines: DataFrame) -> DataFrame:
     pieces = held.select("line_hash", F.explode("raws").alias("raw"))
     last = F.octet_length("raw") - (SHINGLE - 1)
     spread = pieces.select("line_hash", "raw", F.explode(F.sequence(F.lit(1), last, F.lit(PLACES))).alias("at"))
-    hashed = lambda k: F.hash(_shingle(F.col("raw"), F.least(F.col("at") + k, last))).cast("bigint").bitwiseAND(_BITS)
+    hashed = lambda k: F.hash(_shingle(F.col("raw"), F.least(F.col("at") + k, last)))
     h = spread.select("line_hash", *[hashed(k).alias(f"h{k}") for k in range(PLACES)])
-    value = lambda k, factor, summand: (F.col(f"h{k}") * F.lit(factor).cast("bigint") + F.lit(summand).cast("bigint")).bitwiseAND(_BITS)
-    values = [F.min(F.least(*[value(k, *m) for k in range(PLACES)])) for m in _MAPS]
-    return h.groupBy("line_hash").agg(*[v.alias(f"m{k}") for k, v in enumerate(values)])
+    value = lambda k, factor, summand: (F.col(f"h{k}") * _int(factor) + _int(summand)).bitwiseAND(F.lit(_BITS))
+    values = [F.min(F.least(*[value(k, *m) for k in range(PLACES)])).cast("bigint") for m in _MAPS]
+    with wrapping(lines.sparkSession):
+        return h.groupBy("line_hash").agg(*[v.alias(f"m{k}") for k, v in enumerate(values)])
 
 
 def buckets(sketched: DataFrame) -> DataFrame:
-    """`key, next, band, line_hash, low`: the members of every bucket of more than one line, its smallest line and the key of its next band.
+    """`key, next, band, line_hash, low`: the members of every bucket of more than one line, its smallest line and 32 bits of the key of its next band.
 
-    The signatures are read once: both uses of the dealt bands share one exchange.
+    The signatures are read once: both uses of the dealt bands share one exchange,
+    which takes next and band as one number.
     """
     keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b + BANDS * r}") for r in range(ROWS)]) for b in range(BANDS)]
-    bands = F.array(*[F.struct(k.alias("key"), keys[(b + 1) % BANDS].alias("next"), F.lit(b).alias("band")) for b, k in enumerate(keys)])
-    banded = sketched.select("line_hash", F.explode(bands).alias("at")).select("line_hash", "at.key", "at.next", "at.band").repartition("key")
+    after = lambda b: F.shiftleft(F.shiftrightunsigned(keys[(b + 1) % BANDS], 32), 8).bitwiseOR(F.lit(b).cast("bigint"))
+    bands = F.array(*[F.struct(k.alias("key"), after(b).alias("after")) for b, k in enumerate(keys)])
+    banded = sketched.select("line_hash", F.explode(bands).alias("at")).select("line_hash", "at.key", "at.after").repartition("key")
     shared = banded.groupBy("key").agg(F.min("line_hash").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return staged(banded.join(shared.hint("shuffle_hash"), "key").select("key", "next", "band", "line_hash", "low"), "buckets")
+    split = [F.shiftrightunsigned("after", 8).alias("next"), F.col("after").bitwiseAND(255).cast("int").alias("band")]
+    return staged(banded.join(shared.hint("shuffle_hash"), "key").select("key", *split, "line_hash", "low"), "buckets")
 
 
 def candidate_pairs(members: DataFrame) -> DataFrame:
